@@ -25,10 +25,13 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the whitespace stripped around a cell (ASCII, as str.strip).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def clean_text(c: str | Column) -> Column:
     """Strip surrounding whitespace; blank text becomes null."""
-    s = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-    return F.when(s != "", s)
+    return F.nullif(F.btrim(_col(c), F.lit(WHITESPACE)), F.lit(""))
 
 
 def is_number_text(c: str | Column) -> Column:
@@ -78,15 +81,8 @@ def label_rank(lbl: str | Column, order: list[str]) -> Column:
     return F.coalesce(F.create_map(*pairs)[_col(lbl)], F.lit(len(order)))
 
 
-def canonical_text(c: str | Column) -> Column:
-    """Canonical text of a raw cell.
-
-    null / blank -> null; integral numbers written any way ("3", "3.0",
-    " 3 ", "1e3") -> integer text; integer text keeps all its digits
-    (no float round trip); any other text is returned stripped, including
-    "nan" and "Infinity" which are numbers but not finite.
-    """
-    s = clean_text(c)
+def canonical_from_clean(s: Column) -> Column:
+    """S4 on already-cleaned text (see ``canonical_text``)."""
     d = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
     integral = is_finite(d) & (d == F.floor(d))
     as_int_text = s.try_cast("decimal(38,0)").cast("string")
@@ -99,6 +95,17 @@ def canonical_text(c: str | Column) -> Column:
     )
 
 
+def canonical_text(c: str | Column) -> Column:
+    """Canonical text of a raw cell.
+
+    null / blank -> null; integral numbers written any way ("3", "3.0",
+    " 3 ", "1e3") -> integer text; integer text keeps all its digits
+    (no float round trip); any other text is returned stripped, including
+    "nan" and "Infinity" which are numbers but not finite.
+    """
+    return canonical_from_clean(clean_text(c))
+
+
 def canonical_text_of_number(c: str | Column) -> Column:
     """S4 for typed numeric or boolean input columns: NaN -> null,
     +/-inf -> "Infinity"/"-Infinity", whole numbers -> integer text."""

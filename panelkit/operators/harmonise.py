@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.coerce import label, to_code, to_double, to_id
+from panelkit.functions.coerce import INTEGER_PATTERN, NUMBER_PATTERN, clean_text, is_finite, label
 from panelkit.plans.survey import PanelSpec
 
 
@@ -16,12 +16,30 @@ def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
     then derived columns, then dictionary labels. Provenance columns are
     passed through untouched: the period comes from the source, never from
     the file content.
+
+    Built as stacked projections (clean text once, parse numbers once,
+    then codes and labels from the parsed values) so every cell is
+    trimmed and parsed a single time; Catalyst does not re-inline the
+    non-cheap parse into its several uses, which keeps the generated code
+    small enough for whole-stage codegen.
     """
+    raws = sorted(set(spec.ids.values()) | set(spec.measures.values()) | set(spec.codes.values()))
+    t = df.select(*spec.provenance, *[clean_text(r).alias(f"_t_{r}") for r in raws])
+    nums = sorted(set(spec.measures.values()) | set(spec.codes.values()))
+    t = t.select(
+        *spec.provenance,
+        *[F.col(f"_t_{r}") for r in spec.ids.values()],
+        *[F.when(F.col(f"_t_{r}").rlike(NUMBER_PATTERN), F.col(f"_t_{r}").try_cast("double")).alias(f"_d_{r}")
+          for r in nums],
+    )
     cols = [F.col(c) for c in spec.provenance]
-    cols += [to_id(raw).alias(name) for name, raw in spec.ids.items()]
-    cols += [to_double(raw).alias(name) for name, raw in spec.measures.items()]
-    cols += [to_code(raw).alias(name) for name, raw in spec.codes.items()]
-    typed = df.select(*cols)
+    cols += [F.when(F.col(f"_t_{raw}").rlike(INTEGER_PATTERN), F.col(f"_t_{raw}").try_cast("bigint")).alias(name)
+             for name, raw in spec.ids.items()]
+    cols += [F.col(f"_d_{raw}").alias(name) for name, raw in spec.measures.items()]
+    cols += [F.when(is_finite(f"_d_{raw}") & (F.col(f"_d_{raw}") == F.floor(f"_d_{raw}")),
+                    F.col(f"_d_{raw}").try_cast("int")).alias(name)
+             for name, raw in spec.codes.items()]
+    typed = t.select(*cols)
     if spec.derived:
         typed = typed.withColumns({name: fn() for name, fn in spec.derived.items()})
     if spec.labels:

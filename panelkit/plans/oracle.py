@@ -17,7 +17,8 @@ def sql_str(v: str) -> str:
 
 
 def clean(c: str) -> str:
-    return f"NULLIF(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '')"
+    ws = "chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+    return f"NULLIF(trim({c}, {ws}), '')"
 
 
 def to_double(c: str) -> str:

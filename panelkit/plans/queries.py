@@ -105,3 +105,345 @@ def q_typed_panel(spark, sf_dir):
     upto="marked", final="SELECT period, household, person, exclusion_reason FROM marked"))
 def q_marked(spark, sf_dir):
     return marked(spark, sf_dir).select("period", "household", "person", R.REASON)
+
+
+# ---- 2.2 scalar conversions on raw text -----------------------------------
+
+from panelkit.functions import coerce as C  # noqa: E402
+from panelkit.functions.predicates import should_answer  # noqa: E402
+from panelkit.operators import keys as K  # noqa: E402
+from panelkit.operators import missing as M  # noqa: E402
+from panelkit.plans.survey import CONTENT_COLUMNS, KEY, RAW_COLUMNS  # noqa: E402
+from panelkit.sources import ingest as I  # noqa: E402
+
+
+def _canon_sql(c: str) -> str:
+    s = O.clean(c)
+    d = O.to_double(c)
+    dec_s = f"TRY_CAST({s} AS DECIMAL(38,0))"
+    dec_d = f"TRY_CAST({d} AS DECIMAL(38,0))"
+    return (f"(CASE WHEN {s} IS NULL THEN NULL "
+            f"WHEN regexp_matches({s}, {O.sql_str(C.INTEGER_PATTERN)}) AND {dec_s} IS NOT NULL THEN CAST({dec_s} AS VARCHAR) "
+            f"WHEN {O.finite(d)} AND {d} = floor({d}) AND {dec_d} IS NOT NULL THEN CAST({dec_d} AS VARCHAR) "
+            f"ELSE {s} END)")
+
+
+_TEXT_COLS = ["NUM_HOGAR", "TRIMESTRE", "DOMINIO", "P02A03", "P05C07B", "P05D01"]
+
+
+@register("S4_canonical_text", O.with_chain(upto="raw", final="SELECT period, " + ", ".join(
+    f"{c} AS raw_{c}, {_canon_sql(c)} AS canon_{c}" for c in _TEXT_COLS) + " FROM raw"))
+def q_canonical_text(spark, sf_dir):
+    raw = raw_panel(spark, sf_dir)
+    return raw.select("period", *[x for c in _TEXT_COLS
+                                  for x in (F.col(c).alias(f"raw_{c}"), C.canonical_text(c).alias(f"canon_{c}"))])
+
+
+@register("E1_safe_double", O.with_chain(upto="raw", final="SELECT P02A03 AS raw, " + O.to_double("P02A03")
+                                         + " AS value, " + O.to_double("P05D01") + " AS wage FROM raw"))
+def q_safe_double(spark, sf_dir):
+    return raw_panel(spark, sf_dir).select(F.col("P02A03").alias("raw"), C.to_double("P02A03").alias("value"),
+                                           C.to_double("P05D01").alias("wage"))
+
+
+@register("E2_safe_code", O.with_chain(upto="raw", final="SELECT DOMINIO AS raw_domain, " + O.to_code("DOMINIO")
+                                       + " AS domain_code, TRIMESTRE AS raw_quarter, " + O.to_code("TRIMESTRE")
+                                       + " AS quarter_code, " + O.to_code("P02A03") + " AS age_code FROM raw"))
+def q_safe_code(spark, sf_dir):
+    return raw_panel(spark, sf_dir).select(
+        F.col("DOMINIO").alias("raw_domain"), C.to_code("DOMINIO").alias("domain_code"),
+        F.col("TRIMESTRE").alias("raw_quarter"), C.to_code("TRIMESTRE").alias("quarter_code"),
+        C.to_code("P02A03").alias("age_code"))
+
+
+@register("E3_id_to_long", O.with_chain(upto="raw", final="SELECT " + O.to_id("NUM_HOGAR") + " AS household, "
+                                        + O.to_id("NUM_PERSONA") + " AS person, " + O.to_id("P02A03")
+                                        + " AS age_as_id FROM raw"))
+def q_id_to_long(spark, sf_dir):
+    return raw_panel(spark, sf_dir).select(C.to_id("NUM_HOGAR").alias("household"),
+                                           C.to_id("NUM_PERSONA").alias("person"),
+                                           C.to_id("P02A03").alias("age_as_id"))
+
+
+@register("E4_dictionary_labels", O.with_chain(upto="typed", final="""
+    SELECT education_code, education, category_code, category, domain_code, domain, count(*) AS n
+    FROM typed GROUP BY ALL"""))
+def q_labels(spark, sf_dir):
+    return (typed(spark, sf_dir).groupBy("education_code", "education", "category_code", "category",
+                                         "domain_code", "domain").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("E6_derived_tenure", O.with_chain(upto="typed", final="""
+    SELECT household, person, tenure_years, tenure_months, tenure FROM typed"""))
+def q_tenure(spark, sf_dir):
+    return typed(spark, sf_dir).select("household", "person", "tenure_years", "tenure_months", "tenure")
+
+
+@register("E7_finite_flags", O.with_chain(upto="typed", final="""
+    SELECT CAST(sum(CASE WHEN isfinite(age) THEN 1 ELSE 0 END) AS BIGINT) AS finite_age,
+           CAST(sum(CASE WHEN age IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_age,
+           CAST(sum(CASE WHEN isnan(age) THEN 1 ELSE 0 END) AS BIGINT) AS nan_age,
+           CAST(sum(CASE WHEN isinf(age) THEN 1 ELSE 0 END) AS BIGINT) AS inf_age,
+           CAST(sum(CASE WHEN age >= 15 THEN 1 ELSE 0 END) AS BIGINT) AS ge15_unguarded,
+           CAST(sum(CASE WHEN isfinite(age) AND age >= 15 THEN 1 ELSE 0 END) AS BIGINT) AS ge15_finite
+    FROM typed"""))
+def q_finite(spark, sf_dir):
+    a = F.col("age")
+    one = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+    return typed(spark, sf_dir).agg(
+        one(C.is_finite(a)).alias("finite_age"), one(a.isNull()).alias("null_age"),
+        one(F.isnan(a)).alias("nan_age"), one(F.abs(a) == F.lit(float("inf"))).alias("inf_age"),
+        one(a >= 15).alias("ge15_unguarded"), one(C.is_finite(a) & (a >= 15)).alias("ge15_finite"))
+
+
+@register("E10_keep_rows", O.with_chain(upto="kept", final="SELECT period, household, person, age, wage FROM kept"))
+def q_keep(spark, sf_dir):
+    return kept(spark, sf_dir).select("period", "household", "person", "age", "wage")
+
+
+_should_sql = ("coalesce(" + O.to_double("P02A03") + " >= 15 AND " + O.to_double("OCUPADOS") + " = 1 AND "
+               + O.to_double("P05C16") + " IN (1, 2, 3, 4), false)")
+
+
+@register("E11_should_answer", O.with_chain(upto="raw", final=f"""
+    SELECT {_should_sql} AS should_answer, count(*) AS n FROM raw GROUP BY 1"""))
+def q_should_answer(spark, sf_dir):
+    return (raw_panel(spark, sf_dir).groupBy(should_answer("P02A03", "OCUPADOS", "P05C16").alias("should_answer"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---- 2.3 / 2.4 / 2.5 key audits -------------------------------------------
+
+_typed_key_sql = "SELECT * FROM typed"
+
+
+@register("A6_key_audit", O.with_chain(upto="typed", final="""
+    SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS surplus_rows,
+           CAST(coalesce(sum(CASE WHEN household IS NULL OR person IS NULL THEN n END), 0) AS BIGINT) AS null_key_rows
+    FROM (SELECT period, household, person, count(*) AS n FROM typed GROUP BY ALL)"""))
+def q_key_audit(spark, sf_dir):
+    return K.key_audit(typed(spark, sf_dir), KEY, ["household", "person"])
+
+
+@register("A6_key_audit_kept", O.with_chain(upto="kept", final="""
+    SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS surplus_rows,
+           CAST(coalesce(sum(CASE WHEN household IS NULL OR person IS NULL THEN n END), 0) AS BIGINT) AS null_key_rows
+    FROM (SELECT period, household, person, count(*) AS n FROM kept GROUP BY ALL)"""))
+def q_key_audit_kept(spark, sf_dir):
+    return K.key_audit(kept(spark, sf_dir), KEY, ["household", "person"])
+
+
+@register("U2_distinct_keys", O.with_chain(upto="typed", final="SELECT DISTINCT period, household, person FROM typed"))
+def q_distinct_keys(spark, sf_dir):
+    return K.distinct_keys(typed(spark, sf_dir), KEY)
+
+
+def _raw_keyed(spark, sf_dir):
+    """Raw text panel with typed keys (typed once, before any join)."""
+    return raw_panel(spark, sf_dir).withColumns(
+        {"household": C.to_id("NUM_HOGAR"), "person": C.to_id("NUM_PERSONA")})
+
+
+_RAW_KEYED = """raw_keyed AS (SELECT *, """ + O.to_id("NUM_HOGAR") + " AS household, " + O.to_id("NUM_PERSONA") + """ AS person FROM raw)"""
+_DUPS = """dups AS (
+  SELECT period, household, person, count(*) AS n_rows,
+         count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) AS n_versions,
+         CASE WHEN count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) = 1 THEN 'exact_repeat' ELSE 'conflict' END AS kind
+  FROM raw_keyed GROUP BY period, household, person HAVING count(*) > 1)"""
+
+
+def _dups(spark, sf_dir):
+    return K.duplicate_keys(_raw_keyed(spark, sf_dir), KEY, CONTENT_COLUMNS)
+
+
+@register("A7_duplicate_keys", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="SELECT * FROM dups"))
+def q_duplicate_keys(spark, sf_dir):
+    return _dups(spark, sf_dir)
+
+
+@register("A8_duplicate_summary", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="""
+    SELECT period, kind, count(*) AS keys, CAST(sum(n_rows) AS BIGINT) AS rows FROM dups GROUP BY period, kind"""))
+def q_duplicate_summary(spark, sf_dir):
+    return K.duplicate_summary(_dups(spark, sf_dir))
+
+
+@register("E12_signature_versions", O.with_chain(upto="raw", final="""
+    SELECT count(*) AS rows, count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) AS versions FROM raw"""))
+def q_signature(spark, sf_dir):
+    raw = raw_panel(spark, sf_dir)
+    return (raw.select(K.row_signature(CONTENT_COLUMNS).alias("sig"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sig").alias("versions")))
+
+
+_ANALYTIC = ", ".join(["source", "period", "period_year", "period_quarter", "household", "person", "weight",
+                       "audit_year", "audit_quarter", "wage", "age", "tenure_years", "tenure_months", "tenure",
+                       "hours", "education_code", "education", "category_code", "category", "domain_code",
+                       "domain", "employed"])
+
+
+def prepared(spark, sf_dir, null_keys="report"):
+    from panelkit.plans.survey import ANALYTIC_COLUMNS
+    flagged = K.flag_duplicates(kept(spark, sf_dir), _dups(spark, sf_dir), KEY, null_keys=null_keys)
+    return flagged.select(*ANALYTIC_COLUMNS, "duplicate_key")
+
+
+_PREPARED = """prepared AS (
+  SELECT k.*, coalesce(d.flag, false) AS duplicate_key
+  FROM kept k LEFT JOIN (SELECT period, household, person, true AS flag FROM dups) d USING (period, household, person))"""
+
+
+@register("J1_prepared_with_flag", O.with_chain(_RAW_KEYED, _DUPS, _PREPARED, upto="kept",
+                                                final=f"SELECT {_ANALYTIC}, duplicate_key FROM prepared"))
+def q_prepared(spark, sf_dir):
+    return prepared(spark, sf_dir)
+
+
+@register("E14_flag_counts", O.with_chain(_RAW_KEYED, _DUPS, _PREPARED, upto="kept", final="""
+    SELECT period, duplicate_key, count(*) AS n FROM prepared GROUP BY ALL"""))
+def q_flag_counts(spark, sf_dir):
+    return prepared(spark, sf_dir).groupBy("period", "duplicate_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("E14_flag_null_safe", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="""
+    SELECT k.period, coalesce(d.flag, false) AS duplicate_key, count(*) AS n
+    FROM kept k LEFT JOIN (SELECT period, household, person, true AS flag FROM dups) d
+      ON k.period IS NOT DISTINCT FROM d.period AND k.household IS NOT DISTINCT FROM d.household
+     AND k.person IS NOT DISTINCT FROM d.person
+    GROUP BY ALL"""))
+def q_flag_null_safe(spark, sf_dir):
+    return (prepared(spark, sf_dir, null_keys="flag").groupBy("period", "duplicate_key")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("T2_top_duplicates", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="""
+    SELECT * FROM dups ORDER BY n_versions DESC, n_rows DESC, period ASC NULLS FIRST,
+             household ASC NULLS FIRST, person ASC NULLS FIRST LIMIT 10"""))
+def q_top_dups(spark, sf_dir):
+    return K.top_duplicates(_dups(spark, sf_dir), KEY, 10)
+
+
+@register("J2_duplicate_examples", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="""
+    SELECT r.*, e.kind FROM raw_keyed r JOIN (
+      SELECT period, household, person, kind FROM dups
+      WHERE period IS NOT NULL AND household IS NOT NULL AND person IS NOT NULL ORDER BY n_versions DESC, n_rows DESC,
+             period ASC NULLS FIRST, household ASC NULLS FIRST, person ASC NULLS FIRST LIMIT 10) e
+    USING (period, household, person)"""))
+def q_dup_examples(spark, sf_dir):
+    return K.duplicate_examples(_raw_keyed(spark, sf_dir), _dups(spark, sf_dir), KEY, 10)
+
+
+# ---- missing data ----------------------------------------------------------
+
+def _missing_sql(src: str, tag: str) -> str:
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS variable, {i} AS position, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_{tag}, "
+        f"100.0 * sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) / nullif(count(*), 0) AS pct_{tag} FROM {src}"
+        for i, c in enumerate(RAW_COLUMNS))
+    return rows
+
+
+@register("A3_missing_table", O.with_chain(upto="raw", final=_missing_sql("raw", "all")))
+def q_missing(spark, sf_dir):
+    return M.missing_table(raw_panel(spark, sf_dir), RAW_COLUMNS, "all")
+
+
+@register("J4_missing_compare", O.with_chain(
+    "ma AS (" + _missing_sql("(SELECT * FROM raw WHERE period_year <= 2000)", "develop") + ")",
+    "mb AS (" + _missing_sql("(SELECT * FROM raw WHERE period_year = 2001)", "test") + ")",
+    upto="raw", final="SELECT ma.*, mb.missing_test, mb.pct_test FROM ma JOIN mb USING (variable)"))
+def q_missing_compare(spark, sf_dir):
+    raw = raw_panel(spark, sf_dir)
+    return M.missing_compare(raw.filter(F.col("period_year") <= 2000), raw.filter(F.col("period_year") == 2001),
+                             RAW_COLUMNS, "develop", "test")
+
+
+_LAB = {"P05D01": "wage", "P05C07A": "tenure_years", "P05C07B": "tenure_months", "P05H01A": "hours"}
+
+
+@register("A4_missing_by_flag", O.with_chain(upto="raw", final=f"""
+    SELECT {_should_sql} AS should_answer, count(*) AS rows, """ + ", ".join(
+        f"100.0 * avg(CASE WHEN {r} IS NULL THEN 1 ELSE 0 END) AS pct_null_{n}" for r, n in _LAB.items())
+    + " FROM raw GROUP BY 1"))
+def q_missing_by_flag(spark, sf_dir):
+    return M.missing_by_flag(raw_panel(spark, sf_dir), should_answer("P02A03", "OCUPADOS", "P05C16"), _LAB)
+
+
+@register("E24_null_indicator", O.with_chain(upto="raw", final="""
+    SELECT period, CAST(sum(CASE WHEN P02A03 IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_age,
+           CAST(sum(CASE WHEN OCUPADOS IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_employed
+    FROM raw GROUP BY period"""))
+def q_null_indicator(spark, sf_dir):
+    return raw_panel(spark, sf_dir).groupBy("period").agg(
+        F.sum(M.null_indicator("P02A03")).cast("long").alias("null_age"),
+        F.sum(M.null_indicator("OCUPADOS")).cast("long").alias("null_employed"))
+
+
+# ---- ingest / storage -------------------------------------------------------
+
+def _messy_source(spark, sf_dir):
+    """A source frame as a file would deliver it: lower-case padded
+    headers, one required column absent (TRIMESTRE), an extra column, and
+    hours / domain delivered as numbers rather than text."""
+    raw = raw_panel(spark, sf_dir)
+    cols = [F.col(c).alias(f" {c.lower()} ") for c in RAW_COLUMNS if c not in ("TRIMESTRE", "P05H01A", "DOMINIO")]
+    cols += [C.to_double("P05H01A").alias("p05h01a"), C.to_code("DOMINIO").alias("Dominio "),
+             F.lit("x").alias("EXTRA_COL"), "period", "period_year", "period_quarter", "source"]
+    return raw.select(*cols)
+
+
+_INGEST_SQL_COLS = ", ".join(
+    ([f"{_canon_sql(c)} AS {c}" for c in RAW_COLUMNS if c not in ("TRIMESTRE", "P05H01A", "DOMINIO")]))
+
+
+@register("S1_ingest_source", O.with_chain(upto="raw", final=(
+    "SELECT " + _INGEST_SQL_COLS + ", NULL::VARCHAR AS TRIMESTRE, CAST(CAST(" + O.to_double("P05H01A")
+    + " AS DECIMAL(38,0)) AS VARCHAR) AS P05H01A, CAST(" + O.to_code("DOMINIO") + " AS VARCHAR) AS DOMINIO, "
+    "source, period, period_year, period_quarter FROM raw")))
+def q_ingest(spark, sf_dir):
+    src = _messy_source(spark, sf_dir)
+    return I.ingest_frame(src, RAW_COLUMNS, {
+        "source": F.col("SOURCE"), "period": F.col("PERIOD"),
+        "period_year": F.col("PERIOD_YEAR"), "period_quarter": F.col("PERIOD_QUARTER")})
+
+
+@register("S10_load_summary", O.with_chain(upto="raw", final="""
+    SELECT period, source, count(*) AS rows, 18 AS source_columns, 'TRIMESTRE' AS missing_required
+    FROM raw GROUP BY period, source"""))
+def q_load_summary(spark, sf_dir):
+    return I.load_summary(_messy_source(spark, sf_dir), RAW_COLUMNS, by="period", source_col="source")
+
+
+@register("S7_partitioned_roundtrip", O.with_chain(upto="kept", final="""
+    SELECT household, person, wage, age, period FROM kept"""))
+def q_partitioned_roundtrip(spark, sf_dir):
+    import uuid
+
+    from panelkit.session import ensure_checkpoint_dir
+    from panelkit.sources.storage import read_parquet, write_partitioned
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    write_partitioned(kept(spark, sf_dir).select("period", "household", "person", "wage", "age"), path)
+    return read_parquet(spark, path)
+
+
+@register("U1_union_by_name", O.with_chain(upto="typed", final="""
+    SELECT period, household, person, wage FROM typed WHERE period_year <= 2000
+    UNION ALL SELECT period, household, person, wage FROM typed WHERE period_year > 2000"""))
+def q_union(spark, sf_dir):
+    t = typed(spark, sf_dir)
+    a = t.filter(F.col("period_year") <= 2000).select("period", "household", "person", "wage")
+    b = t.filter(F.col("period_year") > 2000).select("wage", "person", "household", "period")
+    return R.union_all_by_name([a, b])
+
+
+@register("A2_observed_codes", O.with_chain(upto="typed", final="""
+    SELECT period, audit_year, audit_quarter, count(*) AS n FROM typed GROUP BY ALL"""))
+def q_observed(spark, sf_dir):
+    return typed(spark, sf_dir).groupBy("period", "audit_year", "audit_quarter").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("A1_row_counts", O.with_chain(upto="kept", final="""
+    SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM kept) AS kept_rows"""))
+def q_counts(spark, sf_dir):
+    m = marked(spark, sf_dir)
+    return m.agg(F.count(F.lit(1)).alias("raw_rows"),
+                 F.count(F.when(F.col(R.REASON).isNull(), 1)).alias("kept_rows"))
