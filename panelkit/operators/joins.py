@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared folder
+    (``spark.checkpoint.dir``) and cut its lineage; later counts and joins
+    read the checkpoint instead of recomputing the input."""
+    from panelkit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checked_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  known_rows: int | None = None) -> DataFrame:

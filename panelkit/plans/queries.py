@@ -37,10 +37,38 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_panel(raw_panel(spark, sf_dir), SURVEY_SPEC)
 
 
-def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marked_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.mark_reasons(typed(spark, sf_dir), survey_rules())
 
 
+_PANELS: dict[tuple[str, str], str] = {}
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marked panel, written once per session as Parquet partitioned by
+    period under the shared checkpoint folder and read back.
+
+    This is the prepared-table stage of the pipeline: typing and rule
+    marking run once; every analysis reads the table (filters on the
+    reason and the period are pushed into the scan / pruned), instead of
+    re-deriving it. It also stops Catalyst from pushing a filter on the
+    reason through the typing projections, which would inline the whole
+    parse tree into the join condition.
+    """
+    import hashlib
+
+    from panelkit.session import ensure_checkpoint_dir
+    from panelkit.sources.storage import write_partitioned
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _PANELS.get(key)
+    if path is None:
+        tag = hashlib.md5(f"{key[0]}|{sf_dir}".encode()).hexdigest()[:16]
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panels/marked-{tag}"
+        write_partitioned(marked_lazy(spark, sf_dir), path, "period")
+        _PANELS[key] = path
+    return spark.read.parquet(path)
+
+
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.keep_rows(marked(spark, sf_dir))
 
@@ -447,3 +475,218 @@ def q_counts(spark, sf_dir):
     m = marked(spark, sf_dir)
     return m.agg(F.count(F.lit(1)).alias("raw_rows"),
                  F.count(F.when(F.col(R.REASON).isNull(), 1)).alias("kept_rows"))
+
+
+# ---- 2.5 descriptive statistics ---------------------------------------------
+
+from panelkit.operators import charts as CH  # noqa: E402
+from panelkit.operators import corr as CR  # noqa: E402
+from panelkit.operators import describe as D  # noqa: E402
+from panelkit.operators import sampling as SM  # noqa: E402
+from panelkit.plans.survey import EDUCATION_ORDER, NUMERIC_VARS  # noqa: E402
+
+
+def _skew_sql(x: str, src: str) -> str:
+    return (f"(SELECT avg(power({x} - m, 3)) / power(avg(power({x} - m, 2)), 1.5) "
+            f"FROM {src}, (SELECT avg({x}) AS m FROM {src}) mm)")
+
+
+_profile_sql = "\nUNION ALL ".join(
+    f"SELECT '{v}' AS variable, count({v}) AS n, avg({v}) AS mean, stddev_samp({v}) AS sd, min({v}) AS min, "
+    f"quantile_cont({v}, 0.25) AS p25, quantile_cont({v}, 0.5) AS median, quantile_cont({v}, 0.75) AS p75, "
+    f"quantile_cont({v}, 0.95) AS p95, max({v}) AS max, {_skew_sql(v, 'kept')} AS skewness FROM kept"
+    for v in NUMERIC_VARS)
+
+
+@register("A9_numeric_profile", O.with_chain(upto="kept", final=_profile_sql))
+def q_profile(spark, sf_dir):
+    return D.numeric_profile(kept(spark, sf_dir), NUMERIC_VARS)
+
+
+@register("E25_profile_ratios", O.with_chain(f"prof AS ({_profile_sql})", upto="kept", final="""
+    SELECT variable, mean - median AS mean_minus_median,
+           100.0 * (mean / nullif(median, 0) - 1.0) AS mean_over_median_pct,
+           max / nullif(median, 0) AS max_over_median FROM prof"""))
+def q_profile_ratios(spark, sf_dir):
+    return D.profile_ratios(D.numeric_profile(kept(spark, sf_dir), NUMERIC_VARS))
+
+
+def _freq_sql(col: str) -> str:
+    return f"SELECT {col}, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS pct FROM kept GROUP BY {col}"
+
+
+@register("A10_frequencies_category", O.with_chain(upto="kept", final=_freq_sql("category")))
+def q_freq_cat(spark, sf_dir):
+    return D.frequencies(kept(spark, sf_dir), "category")
+
+
+@register("T4_frequencies_education_ordered", O.with_chain(upto="kept", final=_freq_sql("education")))
+def q_freq_edu(spark, sf_dir):
+    return D.frequencies(kept(spark, sf_dir), "education", EDUCATION_ORDER)
+
+
+@register("W3_share_within_group", O.with_chain(upto="kept", final="""
+    SELECT education, category, count(*) AS n,
+           100.0 * count(*) / sum(count(*)) OVER (PARTITION BY education) AS pct
+    FROM kept GROUP BY education, category"""))
+def q_share(spark, sf_dir):
+    c = kept(spark, sf_dir).groupBy("education", "category").agg(F.count(F.lit(1)).alias("n"))
+    return c.withColumn("pct", D.share_of_total("n", ["education"]))
+
+
+def _group_q_sql(by: str) -> str:
+    return (f"SELECT {by}, count(wage) AS n, quantile_cont(wage, 0.5) AS median, quantile_cont(wage, 0.25) AS p25, "
+            f"quantile_cont(wage, 0.75) AS p75, avg(wage) AS mean, "
+            f"quantile_cont(wage, 0.5) - quantile_cont(wage, 0.25) AS median_minus_p25, "
+            f"quantile_cont(wage, 0.75) - quantile_cont(wage, 0.5) AS p75_minus_median FROM kept GROUP BY {by}")
+
+
+@register("A11_median_by_education", O.with_chain(upto="kept", final=_group_q_sql("education")))
+def q_median_edu(spark, sf_dir):
+    return D.group_quantiles(kept(spark, sf_dir), "education", "wage")
+
+
+@register("A11_median_by_category", O.with_chain(upto="kept", final=_group_q_sql("category")))
+def q_median_cat(spark, sf_dir):
+    return D.group_quantiles(kept(spark, sf_dir), "category", "wage")
+
+
+_per_period_sql = ("SELECT period, count(wage) AS n, quantile_cont(wage, 0.5) AS median, avg(wage) AS mean "
+                   "FROM kept GROUP BY period")
+
+
+@register("A12_per_period", O.with_chain(upto="kept", final=_per_period_sql))
+def q_per_period(spark, sf_dir):
+    return D.per_period(kept(spark, sf_dir), "wage")
+
+
+@register("J5_retained_share", O.with_chain(f"pp AS ({_per_period_sql})", upto="kept", final="""
+    SELECT pp.*, o.original_rows, 100.0 * pp.n / o.original_rows AS pct_retained
+    FROM pp JOIN (SELECT period, count(*) AS original_rows FROM marked GROUP BY period) o USING (period)"""))
+def q_retained(spark, sf_dir):
+    m = marked(spark, sf_dir)
+    stats = D.per_period(R.keep_rows(m), "wage")
+    originals = m.groupBy("period").agg(F.count(F.lit(1)).alias("original"))
+    return D.retained_share(stats, originals)
+
+
+@register("A16_p90_test_wage", O.with_chain(upto="kept", final="""
+    SELECT quantile_cont(wage, 0.9) AS p90 FROM kept WHERE period_year = 2001"""))
+def q_p90(spark, sf_dir):
+    return D.scalar_quantile(kept(spark, sf_dir).where(F.col("period_year") == 2001), "wage", 0.9)
+
+
+def _hist_sql(expr: str, bins: int = 80) -> str:
+    return f"""
+    xs AS (SELECT {expr} AS x FROM kept WHERE {expr} IS NOT NULL),
+    bnd AS (SELECT min(x) AS lo, max(x) AS hi, CASE WHEN max(x) > min(x) THEN (max(x) - min(x)) / {bins} ELSE 1.0 END AS w FROM xs),
+    hb AS (SELECT CAST(least(floor((x - lo) / w), {bins - 1}) AS INTEGER) AS bin, lo, w FROM xs, bnd)"""
+
+
+@register("C1_histogram_linear", O.with_chain(_hist_sql("wage"), upto="kept", final="""
+    SELECT bin, any_value(lo) + bin * any_value(w) AS lower, any_value(lo) + (bin + 1) * any_value(w) AS upper,
+           count(*) AS n FROM hb GROUP BY bin"""))
+def q_hist(spark, sf_dir):
+    return CH.histogram(kept(spark, sf_dir), "wage", 80)
+
+
+@register("C2_histogram_log10", O.with_chain(_hist_sql("CASE WHEN wage > 0 THEN log10(wage) END"), upto="kept", final="""
+    SELECT bin, any_value(lo) + bin * any_value(w) AS lower, any_value(lo) + (bin + 1) * any_value(w) AS upper,
+           count(*) AS n FROM hb GROUP BY bin"""))
+def q_hist_log(spark, sf_dir):
+    return CH.histogram(kept(spark, sf_dir), "wage", 80, log10=True)
+
+
+def _box_sql(by: str) -> tuple[str, str]:
+    cte = f"""q AS (SELECT {by}, count(wage) AS n, quantile_cont(wage, 0.25) AS q1, quantile_cont(wage, 0.5) AS median,
+                 quantile_cont(wage, 0.75) AS q3 FROM kept GROUP BY {by})"""
+    final = f"""SELECT q.{by.replace(', ', ', q.')}, any_value(q.n) AS n, any_value(q.q1) AS q1, any_value(q.median) AS median,
+                any_value(q.q3) AS q3,
+                min(CASE WHEN k.wage >= q.q1 - 1.5 * (q.q3 - q.q1) THEN k.wage END) AS whisker_low,
+                max(CASE WHEN k.wage <= q.q3 + 1.5 * (q.q3 - q.q1) THEN k.wage END) AS whisker_high
+    FROM q JOIN kept k USING ({by}) GROUP BY q.{by.replace(', ', ', q.')}"""
+    return cte, final
+
+
+@register("C3_box_by_education", O.with_chain(_box_sql("education")[0], upto="kept", final=_box_sql("education")[1]))
+def q_box(spark, sf_dir):
+    return CH.box_stats(kept(spark, sf_dir), "wage", ["education"])
+
+
+@register("C3_box_by_education_category", O.with_chain(_box_sql("education, category")[0], upto="kept",
+                                                      final=_box_sql("education, category")[1]))
+def q_box2(spark, sf_dir):
+    return CH.box_stats(kept(spark, sf_dir), "wage", ["education", "category"])
+
+
+_KEY_HASH_SQL = "md5(concat_ws('|', CAST(period AS VARCHAR), CAST(household AS VARCHAR), CAST(person AS VARCHAR)))"
+
+
+@register("T6_hash_sample", O.with_chain(upto="kept", final=f"""
+    SELECT period, household, person, wage, age FROM kept
+    ORDER BY {_KEY_HASH_SQL}, period NULLS FIRST, household NULLS FIRST, person NULLS FIRST,
+             wage NULLS FIRST, age NULLS FIRST LIMIT 500"""))
+def q_hash_sample(spark, sf_dir):
+    return SM.hash_sample(kept(spark, sf_dir).select("period", "household", "person", "wage", "age"), KEY, 500)
+
+
+@register("C4_scatter_points", O.with_chain(upto="kept", final=f"""
+    SELECT period, household, person, age, tenure, wage, hours,
+           least(greatest(hours / 6.0, 1.0), 30.0) AS marker_size FROM kept
+    ORDER BY {_KEY_HASH_SQL}, period NULLS FIRST, household NULLS FIRST, person NULLS FIRST,
+             age NULLS FIRST, tenure NULLS FIRST, wage NULLS FIRST, hours NULLS FIRST LIMIT 2000"""))
+def q_scatter(spark, sf_dir):
+    pts = kept(spark, sf_dir).select(*KEY, "age", "tenure", "wage", "hours")
+    return CH.scatter_points(pts, KEY, ["age", "tenure", "wage", "hours"], 2000, size_from="hours")
+
+
+@register("T5_bernoulli_sample")
+def q_bernoulli(spark, sf_dir):
+    return SM.bernoulli_sample(kept(spark, sf_dir).select(*KEY, "wage"), 1000, seed=42)
+
+
+@register("T7_first_rows")
+def q_first_rows(spark, sf_dir):
+    return SM.first_rows(kept(spark, sf_dir).select(*KEY, "wage", "education"), 20)
+
+
+# ---- correlation --------------------------------------------------------------
+
+def _pearson_sql(src: str) -> str:
+    parts = []
+    for a in NUMERIC_VARS:
+        for b in NUMERIC_VARS:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS var_x, '{b}' AS var_y, CAST(1.0 AS DOUBLE) AS r")
+            else:
+                parts.append(f"SELECT '{a}' AS var_x, '{b}' AS var_y, corr({a}, {b}) AS r FROM {src}")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("M1_pearson_matrix", O.with_chain(upto="kept", final=_pearson_sql("kept")))
+def q_pearson(spark, sf_dir):
+    return CR.pearson_matrix(kept(spark, sf_dir), NUMERIC_VARS)
+
+
+_RANKED = "ranked AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {v}) + (count(*) OVER (PARTITION BY {v}) - 1) / 2.0 AS {v}" for v in NUMERIC_VARS) + " FROM kept)"
+
+
+@register("M2_spearman_matrix", O.with_chain(_RANKED, upto="kept", final=_pearson_sql("ranked")))
+def q_spearman(spark, sf_dir):
+    return CR.spearman_matrix(kept(spark, sf_dir), NUMERIC_VARS)
+
+
+@register("W6_average_ranks", O.with_chain(upto="kept", final="""
+    SELECT hours, any_value(r) AS avg_rank FROM (
+      SELECT hours, rank() OVER (ORDER BY hours) + (count(*) OVER (PARTITION BY hours) - 1) / 2.0 AS r FROM kept)
+    GROUP BY hours"""))
+def q_avg_ranks(spark, sf_dir):
+    from panelkit.operators.ranks import average_ranks
+    return average_ranks(kept(spark, sf_dir), "hours")
+
+
+@register("M3_correlation_ranking", O.with_chain(upto="kept", final="SELECT var_y AS variable, r FROM (" + _pearson_sql("kept")
+                                                 + ") WHERE var_x = 'wage' AND var_y <> 'wage'"))
+def q_corr_rank(spark, sf_dir):
+    return CR.correlation_ranking(CR.pearson_matrix(kept(spark, sf_dir), NUMERIC_VARS), "wage")
