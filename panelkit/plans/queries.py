@@ -690,3 +690,244 @@ def q_avg_ranks(spark, sf_dir):
                                                  + ") WHERE var_x = 'wage' AND var_y <> 'wage'"))
 def q_corr_rank(spark, sf_dir):
     return CR.correlation_ranking(CR.pearson_matrix(kept(spark, sf_dir), NUMERIC_VARS), "wage")
+
+
+# ---- 2.9 features / regression / errors ------------------------------------
+
+from panelkit.ml import features as FE  # noqa: E402
+from panelkit.ml import regress as RG  # noqa: E402
+from panelkit.ml import segment as SG  # noqa: E402
+from panelkit.operators import errors as ER  # noqa: E402
+from panelkit.operators import metrics as MT  # noqa: E402
+from panelkit.plans.survey import FEATURE_CATEGORIES, FEATURE_NUMERIC, TARGET  # noqa: E402
+
+TRAIN_SQL, VALID_SQL, DEVELOP_SQL, TEST_SQL = ("period_year <= 1999", "period_year = 2000",
+                                               "period_year <= 2000", "period_year = 2001")
+
+
+def split(spark, sf_dir) -> dict[str, DataFrame]:
+    """Train <= 1999, validate 2000, develop <= 2000, test 2001."""
+    y = F.col("period_year")
+    s = RG.TemporalSplit(train=y <= 1999, validate=y == 2000, develop=y <= 2000, test=y == 2001)
+    return s.frames(kept(spark, sf_dir))
+
+
+@register("E16_temporal_split", O.with_chain(upto="kept", final=f"""
+    SELECT 'train' AS split, count(*) AS n FROM kept WHERE {TRAIN_SQL}
+    UNION ALL SELECT 'validate', count(*) FROM kept WHERE {VALID_SQL}
+    UNION ALL SELECT 'develop', count(*) FROM kept WHERE {DEVELOP_SQL}
+    UNION ALL SELECT 'test', count(*) FROM kept WHERE {TEST_SQL}"""))
+def q_split(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    return MT.stack_metrics([fr[k].agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("split"), "n")
+                             for k in ("train", "validate", "develop", "test")])
+
+
+@register("A15_training_mean", O.with_chain(upto="kept", final=f"""
+    SELECT avg(wage) AS mean_train FROM kept WHERE {TRAIN_SQL}"""))
+def q_train_mean(spark, sf_dir):
+    return split(spark, sf_dir)["train"].agg(F.avg(TARGET).alias("mean_train"))
+
+
+def _idx_sql(col: str, where: str) -> str:
+    return (f"SELECT '{col}' AS variable, {col} AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 "
+            f"AS DOUBLE) AS idx FROM kept WHERE {where} GROUP BY {col}")
+
+
+_IDX_ALL = "idx AS (" + "\nUNION ALL ".join(_idx_sql(c, TRAIN_SQL) for c in FEATURE_CATEGORIES) + ")"
+
+
+def _fitted_indexer(spark, sf_dir):
+    train = split(spark, sf_dir)["train"]
+    return FE.encoder_stages(FEATURE_CATEGORIES)[0].fit(train), train
+
+
+@register("M13_string_indexer", O.with_chain(_IDX_ALL, upto="kept", final="SELECT * FROM idx"))
+def q_indexer(spark, sf_dir):
+    model, _ = _fitted_indexer(spark, sf_dir)
+    rows = [(c, lbl, float(i)) for c, labels in zip(FEATURE_CATEGORIES, model.labelsArray)
+            for i, lbl in enumerate(labels)]
+    return spark.createDataFrame(rows, "variable string, label string, idx double")
+
+
+@register("M14_one_hot", O.with_chain(_IDX_ALL, "kk AS (SELECT variable, count(*) AS k FROM idx GROUP BY variable)",
+                                      "labs AS (" + "\nUNION ALL ".join(
+                                          f"SELECT DISTINCT '{c}' AS variable, {c} AS label FROM kept WHERE {VALID_SQL}"
+                                          for c in FEATURE_CATEGORIES) + ")",
+                                      "slots AS (SELECT variable, label, CAST(unnest(range(k)) AS INTEGER) AS slot "
+                                      "FROM labs JOIN kk USING (variable))",
+                                      upto="kept", final="""
+    SELECT s.variable, s.label, s.slot, CASE WHEN i.idx = s.slot THEN 1.0 ELSE 0.0 END AS value
+    FROM slots s LEFT JOIN idx i USING (variable, label)"""))
+def q_one_hot(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    stages = FE.encoder_stages(FEATURE_CATEGORIES)
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=stages).fit(fr["train"])
+    out = None
+    for c in FEATURE_CATEGORIES:
+        labs = fr["validate"].select(c).distinct()
+        other = {o: F.lit(fr["train"].select(o).first()[0]) for o in FEATURE_CATEGORIES if o != c}
+        enc = model.transform(labs.withColumns(other))
+        part = enc.select(F.lit(c).alias("variable"), F.col(c).alias("label"),
+                          F.posexplode(FE.vector_to_array(F.col(f"{c}_ohe"))).alias("slot", "value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("M5_standard_scaler", O.with_chain(upto="kept", final=f"""
+    SELECT household, person, """ + ", ".join(
+        f"({v} - avg({v}) OVER ()) / stddev_samp({v}) OVER () AS z_{v}" for v in FEATURE_NUMERIC)
+        + f" FROM kept WHERE {TRAIN_SQL}"))
+def q_scaler(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    train = split(spark, sf_dir)["train"]
+    model = Pipeline(stages=[VectorAssembler(inputCols=FEATURE_NUMERIC, outputCol="x"),
+                             FE.scaler("x", "z")]).fit(train)
+    z = model.transform(train).select("household", "person", "z")
+    return FE.vector_columns(z, "z", [f"z_{v}" for v in FEATURE_NUMERIC]).drop("z")
+
+
+def _feature_model(spark, sf_dir):
+    train = split(spark, sf_dir)["train"]
+    return FE.feature_pipeline(FEATURE_NUMERIC, FEATURE_CATEGORIES).fit(train), train
+
+
+_K_TOTAL = "(SELECT 3 + count(*) FROM idx)"
+
+
+@register("M4_assembled_vector", O.with_chain(_IDX_ALL, upto="kept", final=f"""
+    SELECT household, person, age, tenure, hours, CAST({_K_TOTAL} AS INTEGER) AS n_slots,
+           age + tenure + hours + 3.0 AS slot_sum FROM kept WHERE {TRAIN_SQL}"""))
+def q_assembled(spark, sf_dir):
+    model, train = _feature_model(spark, sf_dir)
+    v = model.transform(train).select("household", "person", "age", "tenure", "hours",
+                                      FE.vector_to_array("features").alias("_a"))
+    return v.select("household", "person", "age", "tenure", "hours", F.size("_a").alias("n_slots"),
+                    F.aggregate("_a", F.lit(0.0), lambda acc, x: acc + x).alias("slot_sum"))
+
+
+@register("M21_feature_names", O.with_chain(_IDX_ALL, upto="kept", final="""
+    SELECT 0 AS idx, 'age' AS name UNION ALL SELECT 1, 'tenure' UNION ALL SELECT 2, 'hours'
+    UNION ALL SELECT CAST(3 + idx AS INTEGER), 'education_ohe_' || label FROM idx WHERE variable = 'education'
+    UNION ALL SELECT CAST(3 + (SELECT count(*) FROM idx WHERE variable = 'education') + idx AS INTEGER),
+                     'category_ohe_' || label FROM idx WHERE variable = 'category'
+    UNION ALL SELECT CAST(3 + (SELECT count(*) FROM idx WHERE variable IN ('education', 'category')) + idx AS INTEGER),
+                     'domain_ohe_' || label FROM idx WHERE variable = 'domain'"""))
+def q_feature_names(spark, sf_dir):
+    model, train = _feature_model(spark, sf_dir)
+    return FE.feature_names_frame(model, train)
+
+
+def _metrics_sql(src: str, label: str, pred: str, model: str) -> str:
+    return (f"SELECT '{model}' AS model, count(*) AS n, avg(abs({label} - {pred})) AS mae, "
+            f"sqrt(avg(({label} - {pred}) * ({label} - {pred}))) AS rmse, "
+            f"1.0 - sum(({label} - {pred}) * ({label} - {pred})) / (var_pop({label}) * count(*)) AS r2 FROM {src}")
+
+
+_BASE_VALID = f"bv AS (SELECT *, (SELECT avg(wage) FROM kept WHERE {TRAIN_SQL}) AS pred FROM kept WHERE {VALID_SQL})"
+_BASE_TEST = f"bt AS (SELECT *, (SELECT avg(wage) FROM kept WHERE {DEVELOP_SQL}) AS pred FROM kept WHERE {TEST_SQL})"
+_GROUP_TEST = f"""gt AS (SELECT k.*, coalesce(g.gm, (SELECT avg(wage) FROM kept WHERE {DEVELOP_SQL})) AS pred
+  FROM (SELECT * FROM kept WHERE {TEST_SQL}) k
+  LEFT JOIN (SELECT education, avg(wage) AS gm FROM kept WHERE {DEVELOP_SQL} GROUP BY education) g USING (education))"""
+
+
+@register("M15_baseline_metrics", O.with_chain(_BASE_VALID, _BASE_TEST, upto="kept", final=(
+    _metrics_sql("bv", "wage", "pred", "baseline_validate") + "\nUNION ALL "
+    + _metrics_sql("bt", "wage", "pred", "baseline_test"))))
+def q_baseline(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    bv = RG.mean_baseline(fr["train"], fr["validate"], TARGET)
+    bt = RG.mean_baseline(fr["develop"], fr["test"], TARGET)
+    return MT.stack_metrics([MT.regression_metrics(bv, TARGET, RG.PRED, "baseline_validate"),
+                             MT.regression_metrics(bt, TARGET, RG.PRED, "baseline_test")])
+
+
+def _joint_test(spark, sf_dir):
+    """Both deterministic predictors applied to the same test rows."""
+    fr = split(spark, sf_dir)
+    t = RG.mean_baseline(fr["develop"], fr["test"], TARGET, "pred_mean")
+    t = RG.group_mean_predictor(fr["develop"], t, "education", TARGET, "pred_group")
+    return ER.add_residuals(t, TARGET, {"mean": "pred_mean", "group": "pred_group"})
+
+
+_JOINT = f"""jt AS (SELECT k.*, (SELECT avg(wage) FROM kept WHERE {DEVELOP_SQL}) AS pred_mean,
+  coalesce(g.gm, (SELECT avg(wage) FROM kept WHERE {DEVELOP_SQL})) AS pred_group
+  FROM (SELECT * FROM kept WHERE {TEST_SQL}) k
+  LEFT JOIN (SELECT education, avg(wage) AS gm FROM kept WHERE {DEVELOP_SQL} GROUP BY education) g USING (education)),
+jr AS (SELECT *, wage - pred_mean AS residual_mean, wage - pred_group AS residual_group FROM jt)"""
+
+
+@register("M25_joint_predictions", O.with_chain(_JOINT, upto="kept", final="""
+    SELECT period, household, person, wage, education, domain, pred_mean, pred_group, residual_mean, residual_group
+    FROM jr"""))
+def q_joint(spark, sf_dir):
+    return _joint_test(spark, sf_dir).select("period", "household", "person", "wage", "education", "domain",
+                                             "pred_mean", "pred_group", "residual_mean", "residual_group")
+
+
+@register("R6_metrics_stack", O.with_chain(_BASE_TEST, _GROUP_TEST, upto="kept", final=(
+    _metrics_sql("bt", "wage", "pred", "mean") + "\nUNION ALL " + _metrics_sql("gt", "wage", "pred", "group_mean"))))
+def q_metrics_stack(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    return RG.compare_on_test(fr["test"], TARGET, {
+        "mean": RG.mean_baseline(fr["develop"], fr["test"], TARGET),
+        "group_mean": RG.group_mean_predictor(fr["develop"], fr["test"], "education", TARGET)})
+
+
+@register("A19_metrics_one_pass", O.with_chain(_JOINT, upto="kept", final=(
+    _metrics_sql("jr", "wage", "pred_mean", "mean") + "\nUNION ALL " + _metrics_sql("jr", "wage", "pred_group", "group"))))
+def q_metrics_long(spark, sf_dir):
+    return MT.metrics_long(_joint_test(spark, sf_dir), TARGET, {"mean": "pred_mean", "group": "pred_group"})
+
+
+@register("W5_best_predictor", O.with_chain(_JOINT, upto="kept", final=(
+    "SELECT * FROM (" + _metrics_sql("jr", "wage", "pred_mean", "mean") + "\nUNION ALL "
+    + _metrics_sql("jr", "wage", "pred_group", "group") + ") ORDER BY rmse, model LIMIT 1")))
+def q_best(spark, sf_dir):
+    return MT.best_by(MT.metrics_long(_joint_test(spark, sf_dir), TARGET, {"mean": "pred_mean", "group": "pred_group"}))
+
+
+def _err_group_sql(g: str) -> str:
+    return (f"SELECT {g}, 'mean' AS model, count(residual_mean) AS n, avg(abs(residual_mean)) AS mae, "
+            f"avg(residual_mean) AS mean_error FROM jr GROUP BY {g} UNION ALL "
+            f"SELECT {g}, 'group', count(residual_group), avg(abs(residual_group)), avg(residual_group) FROM jr GROUP BY {g}")
+
+
+@register("A17_errors_by_education", O.with_chain(_JOINT, upto="kept", final=_err_group_sql("education")))
+def q_err_edu(spark, sf_dir):
+    return ER.errors_by_group(_joint_test(spark, sf_dir), "education", ["mean", "group"])
+
+
+@register("A17_errors_by_domain", O.with_chain(_JOINT, upto="kept", final=_err_group_sql("domain")))
+def q_err_dom(spark, sf_dir):
+    return ER.errors_by_group(_joint_test(spark, sf_dir), "domain", ["mean", "group"])
+
+
+@register("R5_errors_pivot", O.with_chain(_JOINT, upto="kept", final="""
+    SELECT domain, count(residual_mean) AS mean_n, avg(abs(residual_mean)) AS mean_mae, avg(residual_mean) AS mean_mean_error,
+           count(residual_group) AS group_n, avg(abs(residual_group)) AS group_mae, avg(residual_group) AS group_mean_error
+    FROM jr GROUP BY domain"""))
+def q_err_pivot(spark, sf_dir):
+    return ER.errors_by_group_wide(_joint_test(spark, sf_dir), "domain", ["mean", "group"])
+
+
+@register("A18_errors_by_p90", O.with_chain(_JOINT, upto="kept", final=f"""
+    SELECT CASE WHEN wage >= (SELECT quantile_cont(wage, 0.9) FROM kept WHERE {TEST_SQL}) THEN 'at_or_above' ELSE 'below' END AS band,
+           m.model, count(*) AS n, avg(m.residual) AS mean_error
+    FROM jr, LATERAL (SELECT 'mean' AS model, residual_mean AS residual UNION ALL SELECT 'group', residual_group) m
+    GROUP BY ALL"""))
+def q_err_p90(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    p90 = D.scalar_quantile(fr["test"], TARGET, 0.9).first()[0]
+    return ER.errors_by_threshold(_joint_test(spark, sf_dir), TARGET, p90, ["mean", "group"])
+
+
+@register("E19_threshold_split", O.with_chain(upto="kept", final=f"""
+    SELECT wage >= (SELECT quantile_cont(wage, 0.9) FROM kept WHERE {TEST_SQL}) AS at_or_above, count(*) AS n
+    FROM kept WHERE {TEST_SQL} GROUP BY 1"""))
+def q_threshold(spark, sf_dir):
+    t = split(spark, sf_dir)["test"]
+    p90 = D.scalar_quantile(t, TARGET, 0.9).first()[0]
+    return t.groupBy((F.col(TARGET) >= F.lit(p90)).alias("at_or_above")).agg(F.count(F.lit(1)).alias("n"))
