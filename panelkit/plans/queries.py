@@ -931,3 +931,289 @@ def q_threshold(spark, sf_dir):
     t = split(spark, sf_dir)["test"]
     p90 = D.scalar_quantile(t, TARGET, 0.9).first()[0]
     return t.groupBy((F.col(TARGET) >= F.lit(p90)).alias("at_or_above")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- segmentation -------------------------------------------------------------
+
+from panelkit.functions.predicates import age_band, hours_band, safe_log10, tenure_band  # noqa: E402
+from panelkit.plans.survey import CATEGORY_LABELS, DOMAIN_LABELS, EDUCATION_LABELS  # noqa: E402
+
+_RULE_CLUSTER_SQL = "CASE WHEN hours < 35 THEN 0 WHEN hours <= 48 THEN 1 ELSE 2 END"
+_SEG = f"seg AS (SELECT *, {_RULE_CLUSTER_SQL} AS cluster FROM kept WHERE {DEVELOP_SQL})"
+_MEASURES = ["age", "tenure", "hours"]
+
+
+def rule_segments(spark, sf_dir):
+    """A deterministic segmentation (hours band) used to check the
+    profile / composition / description operators against SQL."""
+    h = F.col("hours")
+    return split(spark, sf_dir)["develop"].withColumn(
+        "cluster", F.when(h < 35, 0).when(h <= 48, 1).otherwise(2))
+
+
+@register("A13_cluster_profile", O.with_chain(_SEG, upto="kept", final="""
+    SELECT cluster, count(*) AS n, """ + ", ".join(f"avg({m}) AS {m}_mean" for m in _MEASURES + ["wage"]) + """,
+           100.0 * count(*) / sum(count(*)) OVER () AS pct, """
+    + ", ".join(f"quantile_cont({m}, 0.5) AS {m}_median" for m in _MEASURES + ["wage"]) + " FROM seg GROUP BY cluster"))
+def q_cluster_profile(spark, sf_dir):
+    return SG.cluster_profile(rule_segments(spark, sf_dir), "cluster", _MEASURES, "wage")
+
+
+@register("A14_cluster_sizes", O.with_chain(_SEG, upto="kept", final="""
+    SELECT cluster, n, pct, min(pct) OVER () AS smallest_pct FROM (
+      SELECT cluster, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS pct FROM seg GROUP BY cluster)"""))
+def q_cluster_sizes(spark, sf_dir):
+    return SG.cluster_sizes(rule_segments(spark, sf_dir))
+
+
+_COMP_CAT = """comp AS (SELECT cluster, category, count(*) AS n,
+       100.0 * count(*) / sum(count(*)) OVER (PARTITION BY cluster) AS pct,
+       CAST(dense_rank() OVER (ORDER BY category) - 1 AS INTEGER) AS rank FROM seg GROUP BY cluster, category)"""
+_EDU_RANK = "CASE education " + " ".join(f"WHEN {O.sql_str(v)} THEN {i}" for i, v in enumerate(EDUCATION_ORDER)) + \
+            f" ELSE {len(EDUCATION_ORDER)} END"
+_COMP_EDU = f"""compe AS (SELECT cluster, education, count(*) AS n,
+       100.0 * count(*) / sum(count(*)) OVER (PARTITION BY cluster) AS pct,
+       CAST({_EDU_RANK} AS INTEGER) AS rank FROM seg GROUP BY cluster, education)"""
+
+
+@register("R4_composition", O.with_chain(_SEG, _COMP_CAT, upto="kept", final="SELECT * FROM comp"))
+def q_composition(spark, sf_dir):
+    return SG.composition(rule_segments(spark, sf_dir), "cluster", "category")
+
+
+@register("R4_composition_wide", O.with_chain(_SEG, upto="kept", final="SELECT cluster, " + ", ".join(
+    f"100.0 * count(*) FILTER (WHERE education = {O.sql_str(v)}) / count(*) AS \"{v}\"" for v in EDUCATION_ORDER)
+    + " FROM seg GROUP BY cluster"))
+def q_composition_wide(spark, sf_dir):
+    return SG.composition_wide(rule_segments(spark, sf_dir), "cluster", "education", EDUCATION_ORDER)
+
+
+@register("W4_modal_category", O.with_chain(_SEG, _COMP_CAT, upto="kept", final="""
+    SELECT cluster, category AS modal_category, pct AS modal_category_pct FROM (
+      SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pct DESC, rank) AS r FROM comp) WHERE r = 1"""))
+def q_modal(spark, sf_dir):
+    comp = SG.composition(rule_segments(spark, sf_dir), "cluster", "category")
+    return SG.modal_category(comp, "cluster", "category")
+
+
+def _band_sql(x: str, kind: str) -> str:
+    if kind == "age":
+        return f"CASE WHEN {x} < 35 THEN 'jóvenes' WHEN {x} < 55 THEN 'adultos' ELSE 'adultos mayores' END"
+    if kind == "tenure":
+        return f"CASE WHEN {x} < 5 THEN 'baja antigüedad' WHEN {x} <= 10 THEN 'antigüedad media' ELSE 'alta antigüedad' END"
+    return f"CASE WHEN {x} < 35 THEN 'jornada parcial' WHEN {x} <= 48 THEN 'jornada estándar' ELSE 'jornada extendida' END"
+
+
+@register("E20_bands", O.with_chain(upto="kept", final=f"""
+    SELECT {_band_sql('age', 'age')} AS age_band, {_band_sql('tenure', 'tenure')} AS tenure_band,
+           {_band_sql('hours', 'hours')} AS hours_band, count(*) AS n FROM kept GROUP BY ALL"""))
+def q_bands(spark, sf_dir):
+    return kept(spark, sf_dir).groupBy(age_band("age").alias("age_band"), tenure_band("tenure").alias("tenure_band"),
+                                       hours_band("hours").alias("hours_band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("E21_cluster_description", O.with_chain(_SEG, _COMP_CAT, _COMP_EDU, upto="kept", final=f"""
+    SELECT c.cluster,
+      upper(substr({_band_sql('c.age', 'age')}, 1, 1)) || lower(substr({_band_sql('c.age', 'age')}, 2)) || ', ' ||
+      {_band_sql('c.tenure', 'tenure')} || ', ' || {_band_sql('c.hours', 'hours')} || '; predomina ' ||
+      lower(mc.category) || ' (' || CAST(CAST(round(mc.pct) AS BIGINT) AS VARCHAR) || '%) y nivel ' || lower(me.education)
+      AS description
+    FROM (SELECT cluster, avg(age) AS age, avg(tenure) AS tenure, avg(hours) AS hours FROM seg GROUP BY cluster) c
+    JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pct DESC, rank) AS r FROM comp) WHERE r = 1) mc
+      USING (cluster)
+    JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pct DESC, rank) AS r FROM compe) WHERE r = 1) me
+      USING (cluster)"""))
+def q_description(spark, sf_dir):
+    seg = rule_segments(spark, sf_dir)
+    centres = seg.groupBy("cluster").agg(*[F.avg(m).alias(m) for m in _MEASURES])
+    cat = SG.modal_category(SG.composition(seg, "cluster", "category"), "cluster", "category")
+    edu = SG.modal_category(SG.composition(seg, "cluster", "education", EDUCATION_ORDER), "cluster", "education")
+    return SG.describe_clusters(centres, cat, edu)
+
+
+@register("E15_log10_wage", O.with_chain(upto="kept", final="""
+    SELECT household, person, CASE WHEN wage > 0 THEN log10(wage) END AS log_wage FROM kept"""))
+def q_log10(spark, sf_dir):
+    return kept(spark, sf_dir).select("household", "person", safe_log10("wage").alias("log_wage"))
+
+
+_MEMO: dict[tuple, object] = {}
+
+
+def _memo(spark, sf_dir, name, fn):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+FEATURE_SETS = {"A_without_wage": _MEASURES, "B_with_log_wage": _MEASURES + ["log_wage"]}
+K_VALUES = [2, 3, 4, 5]
+
+
+def _km_base(spark, sf_dir):
+    return split(spark, sf_dir)["develop"].withColumn("log_wage", safe_log10("wage"))
+
+
+def _km_grid(spark, sf_dir):
+    return _memo(spark, sf_dir, "kmeans_grid", lambda: SG.kmeans_grid(_km_base(spark, sf_dir), FEATURE_SETS, K_VALUES))
+
+
+@register("M7_kmeans_grid")
+def q_kmeans_grid(spark, sf_dir):
+    return _km_grid(spark, sf_dir).results
+
+
+@register("W2_wssse_drop")
+def q_wssse_drop(spark, sf_dir):
+    return SG.wssse_drop(_km_grid(spark, sf_dir).results)
+
+
+@register("M9_choose_k")
+def q_choose_k(spark, sf_dir):
+    return SG.choose_k(_km_grid(spark, sf_dir).results, "A_without_wage")
+
+
+def _chosen_model(spark, sf_dir):
+    g = _km_grid(spark, sf_dir)
+    k = SG.chosen_k(g.results, "A_without_wage")
+    return g.models[("A_without_wage", k)]
+
+
+@register("M10_assign_clusters")
+def q_assign(spark, sf_dir):
+    return SG.assign_clusters(_chosen_model(spark, sf_dir), _km_base(spark, sf_dir)).select(*KEY, "cluster")
+
+
+@register("M11_centroids")
+def q_centroids(spark, sf_dir):
+    return SG.centroids(_chosen_model(spark, sf_dir), _MEASURES)
+
+
+@register("A13_cluster_profile_kmeans")
+def q_profile_kmeans(spark, sf_dir):
+    seg = SG.assign_clusters(_chosen_model(spark, sf_dir), _km_base(spark, sf_dir))
+    return SG.cluster_profile(seg, "cluster", _MEASURES, "wage")
+
+
+@register("M6_kmeans_pipeline")
+def q_kmeans_pipeline(spark, sf_dir):
+    model = SG.kmeans_pipeline(_MEASURES, 4).fit(_km_base(spark, sf_dir))
+    return SG.cluster_sizes(model.transform(_km_base(spark, sf_dir)))
+
+
+@register("M8_silhouette")
+def q_silhouette(spark, sf_dir):
+    model = _chosen_model(spark, sf_dir)
+    pred = model.transform(_km_base(spark, sf_dir))
+    return spark.createDataFrame([(float(SG.silhouette(pred)),)], "silhouette double")
+
+
+@register("M12_persist_clusters")
+def q_persist_clusters(spark, sf_dir):
+    import uuid
+
+    from panelkit.session import ensure_checkpoint_dir
+    from panelkit.sources.storage import write_parquet
+    seg = SG.assign_clusters(_chosen_model(spark, sf_dir), _km_base(spark, sf_dir)).select(*KEY, "cluster")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clusters-{uuid.uuid4().hex}"
+    write_parquet(seg, path)
+    return spark.read.parquet(path)
+
+
+# ---- regression grids (rows-only: iterative / randomised fits) -----------------
+
+def _grid(spark, sf_dir, kind):
+    fr = split(spark, sf_dir)
+    return _memo(spark, sf_dir, f"grid_{kind}", lambda: RG.fit_grid(
+        fr["train"], fr["validate"], FEATURE_NUMERIC, FEATURE_CATEGORIES, TARGET, kind))
+
+
+@register("M17_lr_grid")
+def q_lr_grid(spark, sf_dir):
+    return _grid(spark, sf_dir, "lr").results
+
+
+@register("M19_rf_grid")
+def q_rf_grid(spark, sf_dir):
+    return _grid(spark, sf_dir, "rf").results
+
+
+@register("M16_linear_regression")
+def q_lr(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    model = RG.full_pipeline(FEATURE_NUMERIC, FEATURE_CATEGORIES, RG.lr_stage(TARGET, 0.0, 0.0)).fit(fr["train"])
+    return MT.regression_metrics(model.transform(fr["validate"]), TARGET, RG.PRED, "no_reg")
+
+
+@register("M18_random_forest")
+def q_rf(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    model = RG.full_pipeline(FEATURE_NUMERIC, FEATURE_CATEGORIES, RG.rf_stage(TARGET, 40, 5)).fit(fr["train"])
+    return MT.regression_metrics(model.transform(fr["validate"]), TARGET, RG.PRED, "rf_small")
+
+
+def _final_models(spark, sf_dir):
+    def fit():
+        fr = split(spark, sf_dir)
+        lr_best = _grid(spark, sf_dir, "lr").best
+        rf_best = _grid(spark, sf_dir, "rf").best
+        lr_cfg = next(c for c in RG.LR_CONFIGS if c[0] == lr_best)
+        rf_cfg = next(c for c in RG.RF_CONFIGS if c[0] == rf_best)
+        return (RG.refit(fr["develop"], FEATURE_NUMERIC, FEATURE_CATEGORIES, TARGET, "lr", lr_cfg),
+                RG.refit(fr["develop"], FEATURE_NUMERIC, FEATURE_CATEGORIES, TARGET, "rf", rf_cfg))
+    return _memo(spark, sf_dir, "final_models", fit)
+
+
+@register("M24_model_comparison")
+def q_comparison(spark, sf_dir):
+    fr = split(spark, sf_dir)
+    lr, rf = _final_models(spark, sf_dir)
+    return RG.compare_on_test(fr["test"], TARGET, {
+        "baseline_mean": RG.mean_baseline(fr["develop"], fr["test"], TARGET),
+        "linear_regression": lr.transform(fr["test"]),
+        "random_forest": rf.transform(fr["test"])})
+
+
+@register("M20_temporal_protocol")
+def q_protocol(spark, sf_dir):
+    """Validation vs test metrics of the chosen configurations."""
+    fr = split(spark, sf_dir)
+    lr, rf = _final_models(spark, sf_dir)
+    lrg, rfg = _grid(spark, sf_dir, "lr"), _grid(spark, sf_dir, "rf")
+    val = (lrg.results.where(F.col("config") == lrg.best).select(F.lit("linear_regression").alias("model"),
+                                                                   F.col("rmse").alias("rmse_validate"))
+           .unionByName(rfg.results.where(F.col("config") == rfg.best)
+                        .select(F.lit("random_forest").alias("model"), F.col("rmse").alias("rmse_validate"))))
+    test = MT.stack_metrics([MT.regression_metrics(lr.transform(fr["test"]), TARGET, RG.PRED, "linear_regression"),
+                             MT.regression_metrics(rf.transform(fr["test"]), TARGET, RG.PRED, "random_forest")])
+    return val.join(test.select("model", F.col("rmse").alias("rmse_test"), F.col("r2").alias("r2_test")), "model")
+
+
+@register("M22_lr_coefficients")
+def q_coefficients(spark, sf_dir):
+    lr, _ = _final_models(spark, sf_dir)
+    return RG.coefficient_table(lr, split(spark, sf_dir)["develop"])
+
+
+@register("M23_rf_importances")
+def q_importances(spark, sf_dir):
+    _, rf = _final_models(spark, sf_dir)
+    return RG.importance_table(rf, split(spark, sf_dir)["develop"])
+
+
+@register("S11_model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    import uuid
+
+    from panelkit.session import ensure_checkpoint_dir
+    from panelkit.sources.storage import load_model, save_model
+    lr, _ = _final_models(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/lr-{uuid.uuid4().hex}"
+    save_model(lr, path)
+    again = load_model(path)
+    t = split(spark, sf_dir)["test"]
+    # score the same rows with both models inside one projection chain
+    first = lr.transform(t).select(*t.columns, F.col(RG.PRED).alias("p1"))
+    both = again.transform(first).withColumnRenamed(RG.PRED, "p2")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
