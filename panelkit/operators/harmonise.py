@@ -9,29 +9,23 @@ from panelkit.functions.coerce import INTEGER_PATTERN, NUMBER_PATTERN, clean_tex
 from panelkit.plans.survey import PanelSpec
 
 
-def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Type and rename a raw panel.
-
-    ids -> long, measures -> double, codes -> int (all via safe casts),
-    then derived columns, then dictionary labels. Provenance columns are
-    passed through untouched: the period comes from the source, never from
-    the file content.
-
-    Built as stacked projections (clean text once, parse numbers once,
-    then codes and labels from the parsed values) so every cell is
-    trimmed and parsed a single time; Catalyst does not re-inline the
-    non-cheap parse into its several uses, which keeps the generated code
-    small enough for whole-stage codegen.
-    """
+def parse_stage(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """First half of the typing: trim every raw cell once and parse the
+    numeric ones once (``_t_<raw>`` text, ``_d_<raw>`` double)."""
     raws = sorted(set(spec.ids.values()) | set(spec.measures.values()) | set(spec.codes.values()))
     t = df.select(*spec.provenance, *[clean_text(r).alias(f"_t_{r}") for r in raws])
     nums = sorted(set(spec.measures.values()) | set(spec.codes.values()))
-    t = t.select(
+    return t.select(
         *spec.provenance,
         *[F.col(f"_t_{r}") for r in spec.ids.values()],
         *[F.when(F.col(f"_t_{r}").rlike(NUMBER_PATTERN), F.col(f"_t_{r}").try_cast("double")).alias(f"_d_{r}")
           for r in nums],
     )
+
+
+def finish_stage(parsed: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Second half: ids, measures, whole-number codes, derived columns and
+    dictionary labels from the parsed values."""
     cols = [F.col(c) for c in spec.provenance]
     cols += [F.when(F.col(f"_t_{raw}").rlike(INTEGER_PATTERN), F.col(f"_t_{raw}").try_cast("bigint")).alias(name)
              for name, raw in spec.ids.items()]
@@ -39,7 +33,7 @@ def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
     cols += [F.when(is_finite(f"_d_{raw}") & (F.col(f"_d_{raw}") == F.floor(f"_d_{raw}")),
                     F.col(f"_d_{raw}").try_cast("int")).alias(name)
              for name, raw in spec.codes.items()]
-    typed = t.select(*cols)
+    typed = parsed.select(*cols)
     if spec.derived:
         typed = typed.withColumns({name: fn() for name, fn in spec.derived.items()})
     if spec.labels:
@@ -47,6 +41,42 @@ def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return typed
 
 
+def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Type and rename a raw panel.
+
+    ids -> long, measures -> double, codes -> int (all via safe casts),
+    then derived columns, then dictionary labels. Provenance columns are
+    passed through untouched: the period comes from the source, never from
+    the file content.
+
+    Built as stacked projections (clean text once, parse numbers once,
+    then codes and labels from the parsed values) so every cell is
+    trimmed and parsed a single time; Catalyst does not re-inline the
+    non-cheap parse into its several uses, which keeps the generated code
+    small enough for whole-stage codegen.
+    """
+    return finish_stage(parse_stage(df, spec), spec)
+
+
+def prepare_panel(raw: DataFrame, spec: PanelSpec, rules, path: str, by: str = "period",
+                  files_per_partition: int = 8, reason_col: str = "exclusion_reason") -> None:
+    """E5 + E8 + S7: type, mark and write the panel partitioned by period.
+
+    The shuffle that clusters rows by (period, salt) for the write sits
+    between the parse and the rest of the typing, so each half is its own
+    code-generated stage (one fused stage holding every parse, code, label
+    and rule grows past the size the JIT compiles). The salt is a hash of
+    the parsed row: a hot period is spread over ``files_per_partition``
+    tasks and a retried task rebuilds the same partitioning.
+    """
+    from panelkit.operators.rules import mark_reasons
+    parsed = parse_stage(raw, spec)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in parsed.columns]), F.lit(files_per_partition))
+    shuffled = parsed.repartition(F.col(by), salt)
+    marked = mark_reasons(finish_stage(shuffled, spec), rules, reason_col)
+    marked.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def observed_codes(df: DataFrame, code_col: str, label_col: str | None = None) -> DataFrame:
     """A2: observed codes (and labels) with counts, ordered by code, to
     check a dictionary against the data."""

@@ -57,14 +57,14 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     import hashlib
 
+    from panelkit.operators.harmonise import prepare_panel
     from panelkit.session import ensure_checkpoint_dir
-    from panelkit.sources.storage import write_partitioned
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _PANELS.get(key)
     if path is None:
         tag = hashlib.md5(f"{key[0]}|{sf_dir}".encode()).hexdigest()[:16]
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panels/marked-{tag}"
-        write_partitioned(marked_lazy(spark, sf_dir), path, "period")
+        prepare_panel(raw_panel(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
         _PANELS[key] = path
     return spark.read.parquet(path)
 
