@@ -35,7 +35,7 @@ def kmeans_stage(k: int, seed: int = SEED, max_iter: int = 100, init_steps: int
 
 def kmeans_pipeline(cols: list[str], k: int, seed: int = SEED) -> Pipeline:
     """M6 as one pipeline: assemble -> standardise -> KMeans."""
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="x"), scaler("x", "features"),
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_kmx"), scaler("_kmx", "features"),
                             kmeans_stage(k, seed)])
 
 
@@ -59,7 +59,7 @@ def kmeans_grid(df: DataFrame, feature_sets: dict[str, list[str]], ks: list[int]
     spark = df.sparkSession
     rows, models = [], {}
     for option, cols in feature_sets.items():
-        prep = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="x"), scaler("x", "features")]).fit(df)
+        prep = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_kmx"), scaler("_kmx", "features")]).fit(df)
         scaled = prep.transform(df).persist()
         try:
             for k in ks:
@@ -110,7 +110,7 @@ def chosen_k(results: DataFrame, option: str | None = None, **kw) -> int:
 
 def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the cluster column, drop the work vectors."""
-    return model.transform(df).drop("x", "features")
+    return model.transform(df).drop("_kmx", "features")
 
 
 def centroids(model: PipelineModel, cols: list[str]) -> DataFrame:
