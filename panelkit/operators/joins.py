@@ -29,7 +29,13 @@ def checked_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     ``known_rows`` skips the count when the caller already has a bound
     (e.g. a ``limit(n)`` side).
     """
-    n = known_rows if known_rows is not None else right.count()
+    if known_rows is None:
+        # materialise the candidate side once: the count and the join then
+        # read the checkpoint instead of recomputing its lineage twice
+        right = cut(right)
+        n = right.count()
+    else:
+        n = known_rows
     if n <= max_broadcast_rows:
         right = F.broadcast(right)
     return left.join(right, on, how)

@@ -1217,3 +1217,83 @@ def q_model_roundtrip(spark, sf_dir):
     first = lr.transform(t).select(*t.columns, F.col(RG.PRED).alias("p1"))
     both = again.transform(first).withColumnRenamed(RG.PRED, "p2")
     return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
+
+
+# ---- further section-2 items as their own queries ------------------------------
+
+_RC_WIDE_SQL = ("SELECT period, " + ", ".join(
+    f"CAST(sum(CASE WHEN exclusion_reason = {O.sql_str(n)} THEN 1 ELSE 0 END) AS BIGINT) AS \"{n}\"" for n in RULE_NAMES)
+    + ", CAST(sum(CASE WHEN exclusion_reason IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS kept, count(*) AS total "
+    "FROM marked GROUP BY period")
+
+
+@register("R1_reason_pivot", O.with_chain(upto="marked", final=_RC_WIDE_SQL))
+def q_reason_pivot(spark, sf_dir):
+    return R.reason_counts_wide(marked(spark, sf_dir), RULE_NAMES, kept=KEPT)
+
+
+_W1_SQL = _casc_sql.replace("SELECT period, step, row, excluded,", "SELECT period, step,").replace(
+    ",\n       100.0 * (original - sum(excluded) OVER (PARTITION BY period ORDER BY step ROWS BETWEEN UNBOUNDED "
+    "PRECEDING AND CURRENT ROW)) / original AS pct_kept", "")
+
+
+@register("W1_remaining_after_rule", _W1_SQL)
+def q_remaining(spark, sf_dir):
+    return R.exclusion_cascade(marked(spark, sf_dir), RULE_NAMES).select("period", "step", "remaining")
+
+
+@register("A20_rollup_totals", O.with_chain(upto="marked", final="""
+    SELECT coalesce(period, 'total') AS period, count(*) AS rows,
+           CAST(sum(CASE WHEN exclusion_reason IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS kept
+    FROM marked GROUP BY ROLLUP (period)"""))
+def q_rollup(spark, sf_dir):
+    m = marked(spark, sf_dir)
+    return (m.rollup("period").agg(F.count(F.lit(1)).alias("rows"),
+                                   F.sum(F.when(F.col(R.REASON).isNull(), 1).otherwise(0)).cast("long").alias("kept"))
+            .withColumn("period", F.coalesce(F.col("period"), F.lit("total"))))
+
+
+_CT_LABELS = ["original_rows"] + [f"excluded_{n}" for n in RULE_NAMES] + ["rows_after_filters", "pct_kept"]
+
+
+@register("R3_cascade_table", O.with_chain(f"""ct AS (
+      SELECT coalesce(period, 'total') AS period, CAST(count(*) AS DOUBLE) AS r0, """ + ", ".join(
+        f"CAST(sum(CASE WHEN exclusion_reason = {O.sql_str(n)} THEN 1 ELSE 0 END) AS DOUBLE) AS r{i + 1}"
+        for i, n in enumerate(RULE_NAMES)) + f""",
+      CAST(sum(CASE WHEN exclusion_reason IS NULL THEN 1 ELSE 0 END) AS DOUBLE) AS r{len(RULE_NAMES) + 1}
+      FROM marked GROUP BY ROLLUP (period))""", upto="marked", final="\nUNION ALL ".join(
+    [f"SELECT period, {i} AS row_order, '{lbl}' AS row, r{i} AS value FROM ct" for i, lbl in enumerate(_CT_LABELS[:-1])]
+    + [f"SELECT period, {len(_CT_LABELS) - 1} AS row_order, 'pct_kept' AS row, "
+       f"100.0 * r{len(RULE_NAMES) + 1} / r0 AS value FROM ct"])))
+def q_cascade_table(spark, sf_dir):
+    return R.cascade_table(marked(spark, sf_dir), RULE_NAMES)
+
+
+@register("E13_duplicate_kind", O.with_chain(_RAW_KEYED, _DUPS, upto="kept", final="""
+    SELECT kind, count(*) AS keys FROM dups GROUP BY kind"""))
+def q_dup_kind(spark, sf_dir):
+    return _dups(spark, sf_dir).groupBy("kind").agg(F.count(F.lit(1)).alias("keys"))
+
+
+@register("T3_top_abs_correlation", O.with_chain(_RANKED, upto="kept", final="""
+    SELECT var_y AS variable, r FROM (""" + _pearson_sql("ranked") + """)
+    WHERE var_x = 'hours' AND var_y <> 'hours' ORDER BY abs(r) DESC, variable LIMIT 2"""))
+def q_top_abs(spark, sf_dir):
+    return CR.correlation_ranking(CR.spearman_matrix(kept(spark, sf_dir), NUMERIC_VARS), "hours", 2)
+
+
+@register("A2_observed_education_codes", O.with_chain(upto="typed", final="""
+    SELECT education_code, education, count(*) AS n FROM typed GROUP BY education_code, education"""))
+def q_observed_edu(spark, sf_dir):
+    from panelkit.operators.harmonise import observed_codes
+    return observed_codes(typed(spark, sf_dir), "education_code", "education")
+
+
+@register("S2_S3_required_columns", O.with_chain(upto="raw", final="""
+    SELECT period, count(*) AS rows, CAST(0 AS BIGINT) AS trimestre_non_null, count(P05D01) AS wage_non_null
+    FROM raw GROUP BY period"""))
+def q_required(spark, sf_dir):
+    src = I.ingest_frame(_messy_source(spark, sf_dir), RAW_COLUMNS, {"period": F.col("PERIOD")})
+    return src.groupBy("period").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.count("TRIMESTRE").cast("long").alias("trimestre_non_null"),
+                                     F.count("P05D01").cast("long").alias("wage_non_null"))
