@@ -1,0 +1 @@
+"""panelkit: survey-panel analytics on Spark (DataFrame / SQL / Spark ML)."""

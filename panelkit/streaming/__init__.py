@@ -1,0 +1,2 @@
+"""Intentionally empty: the survey workflow this library rebuilds has no
+streaming sources, watermarks or stateful operators, so none are added."""
