@@ -45,7 +45,25 @@ def label(code: str, d: dict[int, str]) -> str:
     return f"(CASE {whens} ELSE {sql_str(UNKNOWN_LABEL)} END)"
 
 
-def typed_cte(src: str = "raw") -> str:
+def canonical(c: str) -> str:
+    """S4 in SQL: canonical text of a raw cell."""
+    s = clean(c)
+    d = to_double(c)
+    dec_s = f"TRY_CAST({s} AS DECIMAL(38,0))"
+    dec_d = f"TRY_CAST({d} AS DECIMAL(38,0))"
+    return (f"(CASE WHEN {s} IS NULL THEN NULL "
+            f"WHEN regexp_matches({s}, {sql_str(INTEGER_PATTERN)}) AND {dec_s} IS NOT NULL THEN CAST({dec_s} AS VARCHAR) "
+            f"WHEN {finite(d)} AND {d} = floor({d}) AND {dec_d} IS NOT NULL THEN CAST({dec_d} AS VARCHAR) "
+            f"ELSE {s} END)")
+
+
+def canon_cte(src: str = "raw") -> str:
+    """The ingested raw store: every required column as canonical text."""
+    cols = [f"{canonical(c)} AS {c}" for c in SURVEY_SPEC.raw_columns] + list(SURVEY_SPEC.provenance)
+    return f"canon AS (SELECT {', '.join(cols)} FROM {src})"
+
+
+def typed_cte(src: str = "canon") -> str:
     spec = SURVEY_SPEC
     cols = list(spec.provenance)
     cols += [f"{to_id(raw)} AS {n}" for n, raw in spec.ids.items()]
@@ -81,7 +99,9 @@ KEPT_CTE = "kept AS (SELECT * FROM marked WHERE exclusion_reason IS NULL)"
 
 
 def base_chain(upto: str = "kept") -> str:
-    parts = [RAW_SQL.strip()]
+    parts = [RAW_SQL.strip()]  # upto: raw < canon < typed < marked < kept
+    if upto in ("canon", "typed", "marked", "kept"):
+        parts.append(canon_cte())
     if upto in ("typed", "marked", "kept"):
         parts.append(typed_cte())
     if upto in ("marked", "kept"):

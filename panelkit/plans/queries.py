@@ -17,6 +17,7 @@ from panelkit.operators.harmonise import type_panel
 from panelkit.plans import oracle as O
 from panelkit.plans.survey import KEPT, RULE_NAMES, SURVEY_SPEC, survey_rules
 from panelkit.plans.testpanel import raw_panel
+from panelkit.sources import ingest as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,40 +34,58 @@ def register(name: str, sql: str | None = None):
 
 # ---- shared Spark chain ---------------------------------------------------
 
+_STORES: dict[tuple[str, str, str], str] = {}
+
+
+def _store_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[tuple[str, str, str], str]:
+    import hashlib
+
+    from panelkit.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    tag = hashlib.md5("|".join(key).encode()).hexdigest()[:16]
+    return key, f"{ensure_checkpoint_dir(spark).rstrip('/')}/panels/{name}-{tag}"
+
+
+def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingested raw table (S1): the source panel with the required
+    columns as canonical text plus provenance, written once per session as
+    Parquet partitioned by period under the shared checkpoint folder."""
+    from panelkit.sources.storage import write_partitioned
+    key, path = _store_path(spark, sf_dir, "raw")
+    if key not in _STORES:
+        src = raw_panel(spark, sf_dir)
+        ingested = I.ingest_frame(src, RAW_COLUMNS, {c: F.col(c.upper()) for c in
+                                                     ["source", "period", "period_year", "period_quarter"]})
+        write_partitioned(ingested, path, "period")
+        _STORES[key] = path
+    return spark.read.parquet(_STORES[key])
+
+
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return type_panel(raw_panel(spark, sf_dir), SURVEY_SPEC)
+    return type_panel(raw_store(spark, sf_dir), SURVEY_SPEC)
 
 
 def marked_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.mark_reasons(typed(spark, sf_dir), survey_rules())
 
 
-_PANELS: dict[tuple[str, str], str] = {}
-
-
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marked panel, written once per session as Parquet partitioned by
     period under the shared checkpoint folder and read back.
 
     This is the prepared-table stage of the pipeline: typing and rule
-    marking run once; every analysis reads the table (filters on the
-    reason and the period are pushed into the scan / pruned), instead of
-    re-deriving it. It also stops Catalyst from pushing a filter on the
-    reason through the typing projections, which would inline the whole
-    parse tree into the join condition.
+    marking run once over the ingested raw table; every analysis reads
+    the result (filters on the reason and the period are pushed into the
+    scan / pruned) instead of re-deriving it. It also stops Catalyst from
+    pushing a filter on the reason through the typing projections, which
+    would inline the whole parse tree into the scan's filter.
     """
-    import hashlib
-
     from panelkit.operators.harmonise import prepare_panel
-    from panelkit.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _PANELS.get(key)
-    if path is None:
-        tag = hashlib.md5(f"{key[0]}|{sf_dir}".encode()).hexdigest()[:16]
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panels/marked-{tag}"
-        prepare_panel(raw_panel(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
-        _PANELS[key] = path
-    return spark.read.parquet(path)
+    key, path = _store_path(spark, sf_dir, "marked")
+    if key not in _STORES:
+        prepare_panel(raw_store(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
+        _STORES[key] = path
+    return spark.read.parquet(_STORES[key])
 
 
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,18 +161,9 @@ from panelkit.functions.predicates import should_answer  # noqa: E402
 from panelkit.operators import keys as K  # noqa: E402
 from panelkit.operators import missing as M  # noqa: E402
 from panelkit.plans.survey import CONTENT_COLUMNS, KEY, RAW_COLUMNS  # noqa: E402
-from panelkit.sources import ingest as I  # noqa: E402
 
 
-def _canon_sql(c: str) -> str:
-    s = O.clean(c)
-    d = O.to_double(c)
-    dec_s = f"TRY_CAST({s} AS DECIMAL(38,0))"
-    dec_d = f"TRY_CAST({d} AS DECIMAL(38,0))"
-    return (f"(CASE WHEN {s} IS NULL THEN NULL "
-            f"WHEN regexp_matches({s}, {O.sql_str(C.INTEGER_PATTERN)}) AND {dec_s} IS NOT NULL THEN CAST({dec_s} AS VARCHAR) "
-            f"WHEN {O.finite(d)} AND {d} = floor({d}) AND {dec_d} IS NOT NULL THEN CAST({dec_d} AS VARCHAR) "
-            f"ELSE {s} END)")
+_canon_sql = O.canonical
 
 
 _TEXT_COLS = ["NUM_HOGAR", "TRIMESTRE", "DOMINIO", "P02A03", "P05C07B", "P05D01"]
@@ -233,10 +243,10 @@ _should_sql = ("coalesce(" + O.to_double("P02A03") + " >= 15 AND " + O.to_double
                + O.to_double("P05C16") + " IN (1, 2, 3, 4), false)")
 
 
-@register("E11_should_answer", O.with_chain(upto="raw", final=f"""
-    SELECT {_should_sql} AS should_answer, count(*) AS n FROM raw GROUP BY 1"""))
+@register("E11_should_answer", O.with_chain(upto="canon", final=f"""
+    SELECT {_should_sql} AS should_answer, count(*) AS n FROM canon GROUP BY 1"""))
 def q_should_answer(spark, sf_dir):
-    return (raw_panel(spark, sf_dir).groupBy(should_answer("P02A03", "OCUPADOS", "P05C16").alias("should_answer"))
+    return (raw_store(spark, sf_dir).groupBy(should_answer("P02A03", "OCUPADOS", "P05C16").alias("should_answer"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -267,12 +277,12 @@ def q_distinct_keys(spark, sf_dir):
 
 
 def _raw_keyed(spark, sf_dir):
-    """Raw text panel with typed keys (typed once, before any join)."""
-    return raw_panel(spark, sf_dir).withColumns(
+    """Ingested raw table with typed keys (typed once, before any join)."""
+    return raw_store(spark, sf_dir).withColumns(
         {"household": C.to_id("NUM_HOGAR"), "person": C.to_id("NUM_PERSONA")})
 
 
-_RAW_KEYED = """raw_keyed AS (SELECT *, """ + O.to_id("NUM_HOGAR") + " AS household, " + O.to_id("NUM_PERSONA") + """ AS person FROM raw)"""
+_RAW_KEYED = """raw_keyed AS (SELECT *, """ + O.to_id("NUM_HOGAR") + " AS household, " + O.to_id("NUM_PERSONA") + """ AS person FROM canon)"""
 _DUPS = """dups AS (
   SELECT period, household, person, count(*) AS n_rows,
          count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) AS n_versions,
@@ -295,10 +305,10 @@ def q_duplicate_summary(spark, sf_dir):
     return K.duplicate_summary(_dups(spark, sf_dir))
 
 
-@register("E12_signature_versions", O.with_chain(upto="raw", final="""
-    SELECT count(*) AS rows, count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) AS versions FROM raw"""))
+@register("E12_signature_versions", O.with_chain(upto="canon", final="""
+    SELECT count(*) AS rows, count(DISTINCT (""" + ", ".join(CONTENT_COLUMNS) + """)) AS versions FROM canon"""))
 def q_signature(spark, sf_dir):
-    raw = raw_panel(spark, sf_dir)
+    raw = raw_store(spark, sf_dir)
     return (raw.select(K.row_signature(CONTENT_COLUMNS).alias("sig"))
             .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sig").alias("versions")))
 
@@ -370,17 +380,17 @@ def _missing_sql(src: str, tag: str) -> str:
     return rows
 
 
-@register("A3_missing_table", O.with_chain(upto="raw", final=_missing_sql("raw", "all")))
+@register("A3_missing_table", O.with_chain(upto="canon", final=_missing_sql("canon", "all")))
 def q_missing(spark, sf_dir):
-    return M.missing_table(raw_panel(spark, sf_dir), RAW_COLUMNS, "all")
+    return M.missing_table(raw_store(spark, sf_dir), RAW_COLUMNS, "all")
 
 
 @register("J4_missing_compare", O.with_chain(
-    "ma AS (" + _missing_sql("(SELECT * FROM raw WHERE period_year <= 2000)", "develop") + ")",
-    "mb AS (" + _missing_sql("(SELECT * FROM raw WHERE period_year = 2001)", "test") + ")",
-    upto="raw", final="SELECT ma.*, mb.missing_test, mb.pct_test FROM ma JOIN mb USING (variable)"))
+    "ma AS (" + _missing_sql("(SELECT * FROM canon WHERE period_year <= 2000)", "develop") + ")",
+    "mb AS (" + _missing_sql("(SELECT * FROM canon WHERE period_year = 2001)", "test") + ")",
+    upto="canon", final="SELECT ma.*, mb.missing_test, mb.pct_test FROM ma JOIN mb USING (variable)"))
 def q_missing_compare(spark, sf_dir):
-    raw = raw_panel(spark, sf_dir)
+    raw = raw_store(spark, sf_dir)
     return M.missing_compare(raw.filter(F.col("period_year") <= 2000), raw.filter(F.col("period_year") == 2001),
                              RAW_COLUMNS, "develop", "test")
 
@@ -388,20 +398,20 @@ def q_missing_compare(spark, sf_dir):
 _LAB = {"P05D01": "wage", "P05C07A": "tenure_years", "P05C07B": "tenure_months", "P05H01A": "hours"}
 
 
-@register("A4_missing_by_flag", O.with_chain(upto="raw", final=f"""
+@register("A4_missing_by_flag", O.with_chain(upto="canon", final=f"""
     SELECT {_should_sql} AS should_answer, count(*) AS rows, """ + ", ".join(
         f"100.0 * avg(CASE WHEN {r} IS NULL THEN 1 ELSE 0 END) AS pct_null_{n}" for r, n in _LAB.items())
-    + " FROM raw GROUP BY 1"))
+    + " FROM canon GROUP BY 1"))
 def q_missing_by_flag(spark, sf_dir):
-    return M.missing_by_flag(raw_panel(spark, sf_dir), should_answer("P02A03", "OCUPADOS", "P05C16"), _LAB)
+    return M.missing_by_flag(raw_store(spark, sf_dir), should_answer("P02A03", "OCUPADOS", "P05C16"), _LAB)
 
 
-@register("E24_null_indicator", O.with_chain(upto="raw", final="""
+@register("E24_null_indicator", O.with_chain(upto="canon", final="""
     SELECT period, CAST(sum(CASE WHEN P02A03 IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_age,
            CAST(sum(CASE WHEN OCUPADOS IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_employed
-    FROM raw GROUP BY period"""))
+    FROM canon GROUP BY period"""))
 def q_null_indicator(spark, sf_dir):
-    return raw_panel(spark, sf_dir).groupBy("period").agg(
+    return raw_store(spark, sf_dir).groupBy("period").agg(
         F.sum(M.null_indicator("P02A03")).cast("long").alias("null_age"),
         F.sum(M.null_indicator("OCUPADOS")).cast("long").alias("null_employed"))
 
