@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.coerce import INTEGER_PATTERN, NUMBER_PATTERN, clean_text, is_finite, label
+from panelkit.functions.coerce import INTEGER_PATTERN, clean_text, is_finite, label, parse_double
 from panelkit.plans.survey import PanelSpec
 
 
@@ -18,8 +18,7 @@ def parse_stage(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return t.select(
         *spec.provenance,
         *[F.col(f"_t_{r}") for r in spec.ids.values()],
-        *[F.when(F.col(f"_t_{r}").rlike(NUMBER_PATTERN), F.col(f"_t_{r}").try_cast("double")).alias(f"_d_{r}")
-          for r in nums],
+        *[parse_double(F.col(f"_t_{r}")).alias(f"_d_{r}") for r in nums],
     )
 
 

@@ -26,6 +26,9 @@ def local_session(master: str | None = None, app: str = "panelkit",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # HotSpot does not JIT methods above 8000 bytes of bytecode; above
+        # that, per-operator codegen (split methods) beats one huge method
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
