@@ -86,7 +86,15 @@ def parse_double(s: Column) -> Column:
     """Cleaned text -> double under the number grammar. The grammar check
     comes first: a cast that fails is far slower than a regex match, so
     casts only ever see valid input."""
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    return F.when(s.rlike(NUMBER_PATTERN), F.coalesce(s.try_cast("double"), _special(s)))
+
+
+def _special(s: Column) -> Column:
+    """nan / inf spellings the cast declines (a signed "nan" in any case)."""
+    low = F.lower(s)
+    return (F.when(low.isin("nan", "+nan", "-nan"), F.lit(float("nan")))
+            .when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+            .when(low.isin("-inf", "-infinity"), F.lit(float("-inf"))))
 
 
 def canonical_from_clean(s: Column) -> Column:

@@ -29,9 +29,12 @@ from panelkit.operators.joins import checked_join, cut
 import math
 from dataclasses import dataclass
 
-# Distinct values one (group, bucket) window may hold; above it a group is
-# split into more buckets.
+# Distinct values one (group, bucket) window should hold; above it a group
+# is split into more buckets, up to MAX_BUCKETS (a bucket is found by a scan
+# of the bound array; past the cap buckets just grow - the running-sum
+# window streams its partition, so a larger bucket costs time, not memory).
 MAX_VALUES_PER_BUCKET = 200_000
+MAX_BUCKETS = 4096
 
 
 @dataclass
@@ -75,7 +78,7 @@ def rank_table(df: DataFrame, value: str, by: list[str] | None = None,
         F.count(F.lit(1)).alias("g"), F.max("_d").alias("m")).first()
     n_groups, max_distinct = int(st["g"] or 0), int(st["m"] or 0)
     if buckets is None:
-        buckets = max(1, math.ceil(max_distinct / MAX_VALUES_PER_BUCKET))
+        buckets = min(MAX_BUCKETS, max(1, math.ceil(max_distinct / MAX_VALUES_PER_BUCKET)))
     vcb = _with_buckets(vc, value, by, buckets, n_groups)
     bt = vcb.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
     wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
