@@ -7,6 +7,7 @@ DataFrame; ``ORACLE[name]`` is the equivalent DuckDB SQL.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ def register(name: str, sql: str | None = None):
 # ---- shared Spark chain ---------------------------------------------------
 
 _STORES: dict[tuple[str, str, str], str] = {}
+_STORE_LOCK = threading.RLock()      # queries may run on several threads of one session
 
 
 def _store_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[tuple[str, str, str], str]:
@@ -52,12 +54,13 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet partitioned by period under the shared checkpoint folder."""
     from panelkit.sources.storage import write_partitioned
     key, path = _store_path(spark, sf_dir, "raw")
-    if key not in _STORES:
-        src = raw_panel(spark, sf_dir)
-        ingested = I.ingest_frame(src, RAW_COLUMNS, {c: F.col(c.upper()) for c in
-                                                     ["source", "period", "period_year", "period_quarter"]})
-        write_partitioned(ingested, path, "period")
-        _STORES[key] = path
+    with _STORE_LOCK:
+        if key not in _STORES:
+            src = raw_panel(spark, sf_dir)
+            ingested = I.ingest_frame(src, RAW_COLUMNS, {c: F.col(c.upper()) for c in
+                                                         ["source", "period", "period_year", "period_quarter"]})
+            write_partitioned(ingested, path, "period")
+            _STORES[key] = path
     return spark.read.parquet(_STORES[key])
 
 
@@ -65,10 +68,6 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_panel(raw_store(spark, sf_dir), SURVEY_SPEC)
 
 
-def marked_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.mark_reasons(typed(spark, sf_dir), survey_rules())
-
-
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marked panel, written once per session as Parquet partitioned by
     period under the shared checkpoint folder and read back.
@@ -82,9 +81,10 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from panelkit.operators.harmonise import prepare_panel
     key, path = _store_path(spark, sf_dir, "marked")
-    if key not in _STORES:
-        prepare_panel(raw_store(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
-        _STORES[key] = path
+    with _STORE_LOCK:
+        if key not in _STORES:
+            prepare_panel(raw_store(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
+            _STORES[key] = path
     return spark.read.parquet(_STORES[key])
 
 
@@ -252,9 +252,6 @@ def q_should_answer(spark, sf_dir):
 
 # ---- 2.3 / 2.4 / 2.5 key audits -------------------------------------------
 
-_typed_key_sql = "SELECT * FROM typed"
-
-
 @register("A6_key_audit", O.with_chain(upto="typed", final="""
     SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS surplus_rows,
            CAST(coalesce(sum(CASE WHEN household IS NULL OR person IS NULL THEN n END), 0) AS BIGINT) AS null_key_rows
@@ -1052,9 +1049,10 @@ _MEMO: dict[tuple, object] = {}
 
 def _memo(spark, sf_dir, name, fn):
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
+    with _STORE_LOCK:
+        if key not in _MEMO:
+            _MEMO[key] = fn()
+        return _MEMO[key]
 
 
 FEATURE_SETS = {"A_without_wage": _MEASURES, "B_with_log_wage": _MEASURES + ["log_wage"]}
