@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.coerce import label_rank
 from panelkit.functions.predicates import age_band, hours_band, tenure_band
 from panelkit.ml.features import scaler
-from panelkit.operators.ranks import exact_quantiles
+from panelkit.operators.describe import quantiles
 
 SEED = 42
 
@@ -131,15 +131,16 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
             .withColumn("smallest_pct", F.min("pct").over(w)))
 
 
-def cluster_profile(df: DataFrame, cluster: str, measures: list[str], wage: str) -> DataFrame:
-    """Per cluster n, % of rows, mean and exact median of each measure
-    (means unrounded; see ``describe.rounded`` for presentation)."""
+def cluster_profile(df: DataFrame, cluster: str, measures: list[str], wage: str, exact: bool = True) -> DataFrame:
+    """Per cluster n, % of rows, mean and median of each measure
+    (exact by default, ``percentile_approx`` with ``exact=False``; means
+    unrounded - see ``describe.rounded`` for presentation)."""
     means = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
                                     *[F.avg(m).alias(f"{m}_mean") for m in measures + [wage]])
     means = means.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()))
     long = df.select(cluster, *[F.col(m).cast("double") for m in measures + [wage]]).unpivot(
         [cluster], measures + [wage], "variable", "value")
-    med = exact_quantiles(long, "value", [0.5], [cluster, "variable"]).groupBy(cluster).agg(
+    med = quantiles(long, "value", [0.5], [cluster, "variable"], exact).groupBy(cluster).agg(
         *[F.max(F.when(F.col("variable") == m, F.col("q0"))).alias(f"{m}_median") for m in measures + [wage]])
     return means.join(med, cluster, "inner")
 
