@@ -109,7 +109,7 @@ _casc_sql = O.with_chain(
     )""",
     upto="marked",
     final="""SELECT period, step, row, excluded,
-       original - sum(excluded) OVER (PARTITION BY period ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS remaining,
+       CAST(original - sum(excluded) OVER (PARTITION BY period ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS remaining,
        100.0 * (original - sum(excluded) OVER (PARTITION BY period ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) / original AS pct_kept
     FROM casc1""")
 
@@ -764,7 +764,7 @@ def q_indexer(spark, sf_dir):
                                       "slots AS (SELECT variable, label, CAST(unnest(range(k)) AS INTEGER) AS slot "
                                       "FROM labs JOIN kk USING (variable))",
                                       upto="kept", final="""
-    SELECT s.variable, s.label, s.slot, CASE WHEN i.idx = s.slot THEN 1.0 ELSE 0.0 END AS value
+    SELECT s.variable, s.label, s.slot, CAST(CASE WHEN i.idx = s.slot THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value
     FROM slots s LEFT JOIN idx i USING (variable, label)"""))
 def q_one_hot(spark, sf_dir):
     fr = split(spark, sf_dir)
@@ -1240,9 +1240,7 @@ def q_reason_pivot(spark, sf_dir):
     return R.reason_counts_wide(marked(spark, sf_dir), RULE_NAMES, kept=KEPT)
 
 
-_W1_SQL = _casc_sql.replace("SELECT period, step, row, excluded,", "SELECT period, step,").replace(
-    ",\n       100.0 * (original - sum(excluded) OVER (PARTITION BY period ORDER BY step ROWS BETWEEN UNBOUNDED "
-    "PRECEDING AND CURRENT ROW)) / original AS pct_kept", "")
+_W1_SQL = "SELECT period, step, remaining FROM (" + _casc_sql + ")"
 
 
 @register("W1_remaining_after_rule", _W1_SQL)
