@@ -72,3 +72,13 @@ def test_model_roundtrip(spark, tmpdir_path):
     a = [r[0] for r in m.transform(df).select(RG.PRED).collect()]
     b = [r[0] for r in again.transform(df).select(RG.PRED).collect()]
     assert a == b
+
+
+def test_hot_period_written_by_several_tasks(spark, tmpdir_path):
+    rows = [("HOT" if i % 10 else "COLD", i, float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "period string, id int, v double").repartition(8)
+    path = os.path.join(tmpdir_path, "hot")
+    S.write_partitioned(df, path, "period", files_per_partition=4)
+    hot_files = [f for f in os.listdir(os.path.join(path, "period=HOT")) if f.endswith(".parquet")]
+    assert 1 < len(hot_files) <= 4
+    assert S.read_parquet(spark, path).count() == 4000

@@ -4,7 +4,7 @@ statement of the same rules, on generated dirty cells."""
 import math
 import re
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -59,3 +59,47 @@ def test_canonical_and_double_match_python(spark, values):
             assert math.isnan(r["d"])
         else:
             assert r["d"] == exp_d, (r["v"], r["d"], exp_d)
+
+
+# ---- first-failing-rule marking against a plain-Python statement --------------
+
+from panelkit.operators import rules as R  # noqa: E402
+from panelkit.plans.survey import RULE_NAMES, survey_rules  # noqa: E402
+
+specials = st.sampled_from([None, float("nan"), float("inf"), float("-inf")])
+nums = st.one_of(specials, st.integers(-2, 200).map(float), st.floats(-5, 200, allow_nan=False, allow_infinity=False))
+codes = st.one_of(st.none(), st.integers(0, 6))
+
+
+def _fin(x):
+    return x is not None and math.isfinite(x)
+
+
+def reason_py(age, employed, cat, wage, years, months, hours):
+    tenure = None if years is None or months is None else years + months / 12.0
+    checks = [
+        _fin(age) and age >= 15,
+        employed == 1,
+        cat in (1, 2, 3, 4),
+        _fin(wage) and wage > 0,
+        _fin(years) and years >= 0,
+        _fin(months) and months == math.floor(months) and 0 <= months <= 11,
+        tenure is not None and age is not None and not math.isnan(tenure) and not math.isnan(age) and tenure <= age,
+        _fin(hours) and 0 < hours <= 168,
+    ]
+    for name, ok in zip(RULE_NAMES, checks):
+        if not ok:
+            return name
+    return None
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.large_base_example, HealthCheck.too_slow,
+                                                                  HealthCheck.data_too_large])
+@given(st.lists(st.tuples(nums, codes, codes, nums, nums, nums, nums), min_size=100, max_size=100))
+def test_first_failing_rule_matches_python(spark, rows):
+    schema = ("age double, employed int, category_code int, wage double, tenure_years double, "
+              "tenure_months double, hours double")
+    df = spark.createDataFrame(rows, schema).withColumn(
+        "tenure", F.col("tenure_years") + F.col("tenure_months") / 12.0)
+    got = [r[0] for r in R.mark_reasons(df, survey_rules()).select(R.REASON).collect()]
+    assert got == [reason_py(*r) for r in rows]
