@@ -48,16 +48,22 @@ def distinct_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.select(*key).distinct()
 
 
-def duplicate_keys(df: DataFrame, key: list[str], content: list[str]) -> DataFrame:
+def duplicate_keys(df: DataFrame, key: list[str], content: list[str], by_signature: bool = False) -> DataFrame:
     """A7 + E13: keys seen more than once, with row count, number of
     distinct content versions and kind (exact repeat vs conflict).
 
-    Two combining aggregations (by key+signature, then by key) instead of
-    a COUNT DISTINCT, so the hot-key case is reduced map-side twice.
+    Two combining aggregations - by key + content, then by key - instead
+    of a COUNT DISTINCT, so a hot key is reduced map-side twice. Grouping
+    on the content columns themselves compares them exactly and null-safely
+    with no per-row serialisation; ``by_signature=True`` groups on the
+    SHA-256 row signature instead (narrower shuffle for very wide rows).
     """
-    sig = (df.select(*key, row_signature(content).alias("_sig"))
-           .groupBy(*key, "_sig").agg(F.count(F.lit(1)).alias("_n")))
-    return (sig.groupBy(*key)
+    if by_signature:
+        versions = df.select(*key, row_signature(content).alias("_sig")).groupBy(*key, "_sig")
+    else:
+        versions = df.select(*key, *content).groupBy(*key, *content)
+    per_version = versions.agg(F.count(F.lit(1)).alias("_n"))
+    return (per_version.groupBy(*key)
             .agg(F.sum("_n").cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_versions"))
             .filter(F.col("n_rows") > 1)
             .withColumn("kind", F.when(F.col("n_versions") == 1, F.lit(EXACT)).otherwise(F.lit(CONFLICT))))

@@ -27,6 +27,12 @@ def test_duplicate_classification(spark):
     assert 3 not in d
 
 
+def test_signature_variant_agrees(spark):
+    a = {tuple(r) for r in K.duplicate_keys(_frame(spark), KEY, ["a", "b"]).collect()}
+    b = {tuple(r) for r in K.duplicate_keys(_frame(spark), KEY, ["a", "b"], by_signature=True).collect()}
+    assert a == b
+
+
 def test_key_audit(spark):
     r = K.key_audit(_frame(spark), KEY, ["household", "person"]).first()
     assert (r["rows"], r["distinct_keys"], r["surplus_rows"], r["null_key_rows"]) == (10, 6, 4, 2)
