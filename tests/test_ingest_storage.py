@@ -90,3 +90,14 @@ def test_hot_period_written_by_several_tasks(spark, tmpdir_path):
     hot_files = [f for f in os.listdir(os.path.join(path, "period=HOT")) if f.endswith(".parquet")]
     assert 1 < len(hot_files) <= 4
     assert S.read_parquet(spark, path).count() == 4000
+
+
+def test_missing_table_empty_and_counts(spark):
+    from panelkit.operators import missing as M
+    empty = spark.createDataFrame([], "a string, b string")
+    rows = {r["variable"]: r for r in M.missing_table(empty, ["a", "b"], "x").collect()}
+    assert rows["a"]["missing_x"] == 0 and rows["a"]["pct_x"] is None
+    df = spark.createDataFrame([("1", None), (None, None), ("3", "z"), ("4", None)], "a string, b string")
+    rows = {r["variable"]: r for r in M.missing_table(df, ["a", "b"], "x").collect()}
+    assert (rows["a"]["missing_x"], rows["a"]["pct_x"]) == (1, 25.0)
+    assert (rows["b"]["missing_x"], rows["b"]["pct_x"]) == (3, 75.0)
