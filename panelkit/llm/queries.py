@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op6_decontaminate, op7_mix
+from panelkit.llm import op1_simhash, op6_decontaminate, op7_mix
 from panelkit.llm.common import table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_simhash.digest(op1_simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op6_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_decontaminate.digest(op6_decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -20,6 +24,7 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_decontaminate_benchmark": op6_decontaminate_benchmark,
     "op7_mix_sources": op7_mix_sources,
 }
