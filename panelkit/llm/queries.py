@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op6_decontaminate, op7_mix
+from panelkit.llm import op1_simhash, op6_decontaminate, op7_mix, op9_language, op10_quality
 from panelkit.llm.common import table
 
 
@@ -23,10 +23,20 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_mix.digest(op7_mix.mix(table(spark, sf_dir, "documents")))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_language.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_decontaminate_benchmark": op6_decontaminate_benchmark,
     "op7_mix_sources": op7_mix_sources,
+    "op9_language_id": op9_language_id,
+    "op10_quality_score": op10_quality_score,
 }
 
 ORACLE: dict[str, str] = {
