@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op2_token_counts, op4_toxicity, op6_decontaminate, op7_mix, op9_language, op10_quality
+from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op6_decontaminate, op7_mix, op9_language, op10_quality
 from panelkit.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_token_counts.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_lengths": op2_token_lengths,
+    "op3_secret_scan": op3_secret_scan,
     "op4_toxicity_score": op4_toxicity_score,
     "op6_decontaminate_benchmark": op6_decontaminate_benchmark,
     "op7_mix_sources": op7_mix_sources,
