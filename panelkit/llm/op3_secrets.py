@@ -16,9 +16,13 @@ the path is computed run by run between such tokens.
 
 Training: no table marks secrets, so the base spans of about TRAIN_DOCS
 documents (picked by a hash of the id, texts of at most MAX_TRAIN_CHARS
-characters) are the labels. Of them, windows of WINDOW tokens around spans,
-and one window of every other document, are fitted by gradient ascent of the
-penalised likelihood (forward-backward). Only the weights are broadcast.
+characters) are the labels. Windows of WINDOW tokens around spans, and one of
+each of at most PLAIN_WINDOWS documents without spans, are fitted by gradient
+ascent of the penalised likelihood (forward-backward). So that the field
+learns shapes and neighbours, not the corpus's favourite length, each window
+around a span is also shown VARIANTS times with another secret in its place
+(random hex, capitals and digits, or mixed characters of 12 to 48), and once
+without its key words. Only the weights are broadcast.
 
 Defined cases: a null text is an empty one and has no spans (base_sha256 of
 the empty string); repeated rows give a row each; spans of one start are
@@ -52,7 +56,8 @@ LEAST_ADDED = 8
 SIGNS = "\"'=:,;()[]{}<>|"
 BEFORE, AFTER = 3, 2
 TRAIN_DOCS, MAX_TRAIN_CHARS, WINDOW = 6000, 20_000, 48
-STEPS, RATE, PENALTY = 60, 0.15, 2.0
+STEPS, RATE, PENALTY = 40, 0.2, 0.3
+PLAIN_WINDOWS, SPAN_WINDOWS, VARIANTS = 1500, 600, 3
 CACHE = 400_000
 MARK = "[SECRET]"
 
@@ -205,40 +210,65 @@ def _file_ids(buckets: tuple[int, int, int]) -> list[int]:
     return [buckets[0], N_FILE[0] + buckets[1], N_FILE[0] + N_FILE[1] + buckets[2]]
 
 
+ALPHABETS = ("0123456789abcdef", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+             "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-")
+
+
+def _variant(tokens: list[str], tags: list[int], variant: int, seed: int) -> tuple[list[str], list[int]]:
+    """A window with other secrets (variants 1 to VARIANTS), or its key words
+    replaced by the first plain word of the window (the last variant)."""
+    rng = np.random.default_rng([seed & 0xFFFFFFFF, variant])
+    if variant > VARIANTS:
+        plain = next((t for t, g in zip(tokens, tags) if not g and t.isalpha() and t.lower() not in KEYS), "x")
+        return [plain if t.lower() in KEYS else t for t in tokens], tags
+    chars = ALPHABETS[(seed + variant) % len(ALPHABETS)]
+
+    def other(t: str) -> str:
+        new = "".join(chars[i] for i in rng.integers(0, len(chars), rng.integers(12, 49)))
+        end = t[len(t.rstrip(".,!?*%#&$")):]
+        return ("AKIA" + new if chars is ALPHABETS[1] and variant == 1 else new) + end
+    return [other(t) if g == 1 else t for t, g in zip(tokens, tags)], tags
+
+
 def fit(texts: list[str]) -> Field:
     """The field of the texts' base spans."""
     vocabulary = Tokens()
-    ids, tags, docs, sizes = [], [], [], []
+    ids, tags, docs = [], [], []
+    n_plain = n_span = 0
     for text in texts:
+        spans = base_spans(text)
+        if (n_span if spans else n_plain) >= (SPAN_WINDOWS if spans else PLAIN_WINDOWS):
+            continue
         toks = tokens_of(text)
         if not toks:
             continue
-        row = [vocabulary[t] for t in toks]
         tag = [0] * len(toks)
         marks = []
-        spans = base_spans(text)
-        if spans:
-            at = offsets(text, toks)
-            for s in spans:
-                inside = [i for i, (a, t) in enumerate(zip(at, toks)) if a < s.end and a + len(t) > s.value]
-                for k, i in enumerate(inside):
-                    tag[i] = tag[i] or (1 if k == 0 else 2)
-                marks += inside[:1]
-        feats = [vocabulary.features[i] for i in row]
+        at = offsets(text, toks) if spans else []
+        for s in spans:
+            inside = [i for i, (a, t) in enumerate(zip(at, toks)) if a < s.end and a + len(t) > s.value]
+            for k, i in enumerate(inside):
+                tag[i] = tag[i] or (1 if k == 0 else 2)
+            marks += inside[:1]
         signs = sum(len(t) == 1 and t in SIGNS for t in toks)
-        digits = sum(f[0] & 4 > 0 for f in feats)
-        where = [max(0, m - WINDOW // 2) for m in marks] or [zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(toks) - WINDOW)]
+        digits = sum(vocabulary.features[vocabulary[t]][0] & 4 > 0 for t in toks)
         f = _file_ids(file_features(len(toks), signs, digits))
-        for w in where:
-            ids.append(row[max(0, w - BEFORE):w + WINDOW + AFTER])
-            tags.append((tag[w:w + WINDOW], w - max(0, w - BEFORE)))
-            docs.append(f)
+        seed = zlib.crc32(text.encode("utf-8", "replace"))
+        n_plain, n_span = n_plain + (not marks), n_span + len(marks)
+        for w in [max(0, m - WINDOW // 2) for m in marks] or [seed % max(1, len(toks) - WINDOW)]:
+            begin = max(0, w - BEFORE)
+            shown, label = toks[begin:w + WINDOW + AFTER], tag[begin:w + WINDOW + AFTER]
+            for variant in range(1 + (VARIANTS + 1 if marks else 0)):
+                row, lab = _variant(shown, label, variant, seed + w) if variant else (shown, label)
+                ids.append([vocabulary[t] for t in row])
+                tags.append((lab[w - begin:w - begin + WINDOW], w - begin))
+                docs.append(f)
     field = Field.zero()
     if not any(any(t) for t, _ in tags):
         field.moves[:, 1:] = -10.0  # nothing to learn from: nothing is added
         field.own[:, 1:] = -1.0
         return field
-    feats = np.array(vocabulary.features + [(-1,) * len(SLOTS)])
+    feats = np.array(vocabulary.features + [(-1,) * len(SLOTS)], np.int64)
     n, width = len(ids), WINDOW
     none = len(feats) - 1
     x = np.full((n, BEFORE + width + AFTER), none)
