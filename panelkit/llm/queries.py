@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op6_decontaminate, op7_mix, op9_language, op10_quality
+from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op9_language, op10_quality
 from panelkit.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_embeddings.digest(op5_embeddings.near_duplicates(table(spark, sf_dir, "embeddings")))
+
+
 def op6_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_decontaminate.digest(op6_decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_lengths": op2_token_lengths,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity_score": op4_toxicity_score,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_decontaminate_benchmark": op6_decontaminate_benchmark,
     "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
