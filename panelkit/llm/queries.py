@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op9_language, op10_quality
+from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op8_warc, op9_language, op10_quality
 from panelkit.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_mix.digest(op7_mix.mix(table(spark, sf_dir, "documents")))
 
 
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_warc.digest(op8_warc.round_trip(table(spark, sf_dir, "pages")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_language.digest(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_decontaminate_benchmark": op6_decontaminate_benchmark,
     "op7_mix_sources": op7_mix_sources,
+    "op8_warc_round_trip": op8_warc_round_trip,
     "op9_language_id": op9_language_id,
     "op10_quality_score": op10_quality_score,
 }
@@ -62,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op6_decontaminate_benchmark": op6_decontaminate.ORACLE,
     "op7_mix_sources": op7_mix.ORACLE,
+    "op8_warc_round_trip": op8_warc.ORACLE,
 }
