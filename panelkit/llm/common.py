@@ -114,3 +114,15 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], spread: Colu
         df = (df.join(named, cond).withColumn(out, F.col(out) + F.col("__o"))
               .drop("__b", "__o", *[f"__k{j}" for j in range(len(keys))]))
     return df.drop(*b)
+
+
+def text_first(documents: DataFrame, carry: list[str]) -> tuple[DataFrame, str]:
+    """(the text and the ``carry`` columns, without the text twice; the schema
+    of the carried columns). See ``carried``."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carry).schema)
+    return documents.select("text", *[c for c in carry if c != "text"]), schema
+
+
+def carried(batch, carry: list[str]) -> list:
+    """The carried columns of a batch of ``text_first``."""
+    return [batch.column(batch.schema.get_field_index(c)) for c in carry]

@@ -92,16 +92,16 @@ def simhash(texts: list[bytes | None], words: int = WORDS) -> np.ndarray:
     return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, fp): fp holds the 64 bits as a signed long."""
-    docs = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = documents.schema["doc_id"].dataType
+def fingerprints(documents: DataFrame, words: int = WORDS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carry`` columns and fp, the 64 bits as a signed long."""
+    docs = documents.select(F.col("text").cast("binary").alias("text"), *carry)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*carry).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = simhash(b.column(1).to_pylist(), words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
-    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, fp long")
+            fp = simhash(b.column(0).to_pylist(), words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], [*carry, "fp"])
+    return docs.mapInArrow(run, f"{schema}fp long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -285,16 +285,28 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows (doc_id, fp, component_id), one per document row."""
-    fps = saved(fingerprints(documents, words), "op1-fps")
+def near_duplicates(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS,
+                    carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carry`` columns (doc_id among them), fp, component (the least
+    fingerprint reachable) and component_id, one row per document row."""
+    fps = saved(fingerprints(documents, words, carry), "op1-fps")
     nodes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "op1-nodes")
     roots = connected_components(links(nodes, max_bits))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("component"))
     named = saved(named, "op1-roots")
-    ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = named.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    ids = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_fp = named.select("fp", "component").join(ids, "component").select("fp", "component", "component_id")
+    return fps.join(of_fp, "fp").select(*carry, "fp", "component", "component_id")
+
+
+def deduplicated(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each component, that with the smallest doc_id (null last);
+    of equal ids one. ``documents`` is to be a table that is read, as its rows
+    are numbered twice."""
+    numbered = documents.withColumn("__rid", F.monotonically_increasing_id())
+    found = near_duplicates(numbered, words, max_bits, ("doc_id", "__rid"))
+    one = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__rid"))["__rid"].alias("__rid"))
+    return numbered.join(one.select("__rid"), "__rid", "left_semi").select(*documents.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -32,7 +32,6 @@ text are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -43,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import carried, text_first
 from panelkit.llm.fitting import _picked
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -427,23 +427,24 @@ def train(documents: DataFrame) -> Field:
 
 
 def scan(documents: DataFrame, field: Field, carry: list[str]) -> DataFrame:
-    """``carry`` columns, spans (array of kind, start, end, value) and the
-    text with every secret replaced by MARK, for each document row."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carry).schema)
+    """``carry`` columns, spans (array of kind, start, end, value) and clean, the
+    text with every secret replaced by MARK (null if it was), for each document row."""
+    docs, schema = text_first(documents, carry)
     kept = documents.sparkSession.sparkContext.broadcast(field)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(kept.value)
         for b in batches:
-            texts = [t or "" for t in b.column(0).to_pylist()]
+            given = b.column(0).to_pylist()
+            texts = [t or "" for t in given]
             spans = [all_spans(base_spans(t), a) for t, a in zip(texts, tagger.spans(texts))]
-            clean = [redacted(t, s) if s else t for t, s in zip(texts, spans)]
+            clean = [redacted(t, s) if s else t for t, s in zip(given, spans)]
             rows = [[{"kind": s.kind, "start": s.start, "end": s.end, "value": s.value} for s in x] for x in spans]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(rows, kind), pa.array(clean, pa.string())],
-                                             [*b.schema.names[1:], "spans", "clean"])
+            yield pa.RecordBatch.from_arrays([*carried(b, carry), pa.array(rows, kind), pa.array(clean, pa.string())],
+                                             [*carry, "spans", "clean"])
     out = f"{schema}, spans array<struct<kind:string,start:bigint,end:bigint,value:bigint>>, clean string"
-    return documents.select("text", *carry).mapInArrow(run, out)
+    return docs.mapInArrow(run, out)
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -470,6 +471,3 @@ def digest(documents: DataFrame) -> DataFrame:
                       F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "crf")), 256).alias("base_sha256"),
                       joined(F.col("spans")).alias("spans"))
 
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

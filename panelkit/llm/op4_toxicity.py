@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import crc_mod
+from panelkit.llm.common import carried, crc_mod, text_first
 from panelkit.llm.fitting import Logistic, labelled_sample
 
 FOLDS, HELD_OUT, CUT = 3, 1, 0.7
@@ -237,8 +237,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[Lexicon, Logistic]:
 
 def score(documents: DataFrame, lexicon: Lexicon, logistic: Logistic, carry: list[str]) -> DataFrame:
     """``carry`` columns and score for each document row."""
-    docs = documents.select("text", *carry)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carry).schema)
+    docs, schema = text_first(documents, carry)
     kept = documents.sparkSession.sparkContext.broadcast((lexicon, logistic))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +245,7 @@ def score(documents: DataFrame, lexicon: Lexicon, logistic: Logistic, carry: lis
         matches = Matches(lexicon)
         for b in batches:
             x = features(b.column(0).to_pylist(), matches)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(logistic.score(x))], [*b.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*carried(b, carry), pa.array(logistic.score(x))], [*carry, "score"])
     return docs.mapInArrow(run, f"{schema}, score double")
 
 

@@ -191,6 +191,15 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                     F.coalesce("items", none).alias("items"), F.col("n_hit").isNotNull().alias("contaminated")))
 
 
+def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents without any window. ``documents`` is to be a table that
+    is read, as its rows are numbered twice."""
+    numbered = documents.withColumn("__rid", F.monotonically_increasing_id())
+    _, found, _ = occurrences(documents, benchmark, window)
+    hit = saved(found.select(F.col("rid").alias("__rid")).distinct(), "op6-hit")
+    return numbered.join(hit, "__rid", "left_anti").select(*documents.columns)
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The query's columns."""
     return result.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import crc_mod
+from panelkit.llm.common import carried, crc_mod, text_first
 from panelkit.llm.fitting import class_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -189,8 +189,7 @@ def train(documents: DataFrame, column: str = "lang") -> Languages:
 
 def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> DataFrame:
     """``carry`` columns with lang_pred and score for each document row."""
-    docs = documents.select("text", *carry)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*carry).schema)
+    docs, schema = text_first(documents, carry)
     names, texts, alphabet = languages.names, languages.texts, languages.alphabet
     kept = documents.sparkSession.sparkContext.broadcast((names, texts, alphabet))
 
@@ -215,8 +214,8 @@ def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> Da
                 else:
                     margin = np.ones(len(docs))
                 score[lettered] = np.clip(margin, 0, 1)[lettered]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(pred, pa.string()), pa.array(score)],
-                                             [*b.schema.names[1:], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*carried(b, carry), pa.array(pred, pa.string()), pa.array(score)],
+                                             [*carry, "lang_pred", "score"])
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
