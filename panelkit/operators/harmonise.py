@@ -29,7 +29,7 @@ def finish_stage(parsed: DataFrame, spec: PanelSpec) -> DataFrame:
     cols += [F.when(F.col(f"_t_{raw}").rlike(INTEGER_PATTERN), F.col(f"_t_{raw}").try_cast("bigint")).alias(name)
              for name, raw in spec.ids.items()]
     cols += [F.col(f"_d_{raw}").alias(name) for name, raw in spec.measures.items()]
-    cols += [F.when(is_finite(f"_d_{raw}") & (F.col(f"_d_{raw}") == F.floor(f"_d_{raw}")),
+    cols += [F.when(is_finite(f"_d_{raw}") & (F.col(f"_d_{raw}") == F.rint(f"_d_{raw}")),
                     F.col(f"_d_{raw}").try_cast("int")).alias(name)
              for name, raw in spec.codes.items()]
     typed = parsed.select(*cols)
@@ -58,21 +58,17 @@ def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def prepare_panel(raw: DataFrame, spec: PanelSpec, rules, path: str, by: str = "period",
-                  files_per_partition: int = 8, reason_col: str = "exclusion_reason") -> None:
+                  reason_col: str = "exclusion_reason") -> None:
     """E5 + E8 + S7: type, mark and write the panel partitioned by period.
 
-    The shuffle that clusters rows by (period, salt) for the write sits
-    between the parse and the rest of the typing, so each half is its own
-    code-generated stage (one fused stage holding every parse, code, label
-    and rule grows past the size the JIT compiles). The salt is a hash of
-    the parsed row: a hot period is spread over ``files_per_partition``
-    tasks and a retried task rebuilds the same partitioning.
+    The shuffle that clusters rows by period for the write sits between the
+    parse and the rest of the typing, so each half is its own code-generated
+    stage (one fused stage holding every parse, code, label and rule grows
+    past the size the JIT compiles). Its tasks are sized by bytes.
     """
     from panelkit.operators.rules import mark_reasons
-    parsed = parse_stage(raw, spec)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in parsed.columns]), F.lit(files_per_partition))
-    shuffled = parsed.repartition(F.col(by), salt)
-    marked = mark_reasons(finish_stage(shuffled, spec), rules, reason_col)
+    from panelkit.sources.storage import clustered
+    marked = mark_reasons(finish_stage(clustered(parse_stage(raw, spec), by), spec), rules, reason_col)
     marked.write.mode("overwrite").partitionBy(by).parquet(path)
 
 

@@ -5,10 +5,9 @@ Library operators never configure the session; only entry points do.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(master: str | None = None, app: str = "panelkit",
@@ -37,26 +36,18 @@ def local_session(master: str | None = None, app: str = "panelkit",
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and must be shared
-    storage; it is only filled in here when unset (local tests), with a
-    fresh scratch folder.
+    A deployment sets it to storage that all executors share; without it this
+    raises. Only a local session (one machine) falls back to ``fallback`` or
+    a fresh temporary folder.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
-        cur = fallback or tempfile.mkdtemp(prefix="panelkit-ckpt-", dir=os.environ.get("PANELKIT_SCRATCH", "/tmp"))
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        cur = fallback or tempfile.mkdtemp(prefix="panelkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(cur)
     return cur
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
-    folder and reading it back. Survives executor loss (unlike a cache)."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -10,13 +10,14 @@ one Parquet directory per period. No row passes through Python.
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.coerce import canonical_from_clean, canonical_text, canonical_text_of_number, clean_text
+from panelkit.functions.coerce import (canonical_from_clean, canonical_text, canonical_text_of_decimal,
+                                       canonical_text_of_integral, canonical_text_of_number, clean_text)
 
 
 @dataclass(frozen=True)
@@ -37,10 +38,6 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
-def manifest_frame(spark: SparkSession, sources: list[Source]) -> DataFrame:
-    return spark.createDataFrame([tuple(asdict(s).values()) for s in sources], MANIFEST_SCHEMA)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,21 +75,15 @@ def canonical_cell(df: DataFrame, c: str) -> Column:
         return canonical_text(c)
     if isinstance(dt, T.BooleanType):
         return F.col(c).cast("int").cast("string")
+    if isinstance(dt, T.IntegralType):
+        return canonical_text_of_integral(c)
+    if isinstance(dt, T.DecimalType):
+        return canonical_text_of_decimal(c)
     if isinstance(dt, T.NumericType):
         return canonical_text_of_number(c)
     return canonical_text(F.col(c).cast("string"))
 
 
-def select_required(df: DataFrame, required: list[str]) -> DataFrame:  # noqa: D401
-    """S3 + S4: required columns by name, in contract order, as canonical
-    text; absent ones as null text."""
-    have = set(df.columns)
-    return df.select(*[
-        (canonical_cell(df, c) if c in have else F.lit(None).cast("string")).alias(c)
-        for c in required
-    ])
-
-
 def ingest_frame(df: DataFrame, required: list[str], provenance: dict[str, Column]) -> DataFrame:
     """S1 core on one already-read frame: headers, required columns by
     name, canonical text, provenance columns (literals for a file, or

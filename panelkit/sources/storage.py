@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -12,18 +11,17 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "period", files_per_partition: int = 8) -> None:
-    """Parquet partitioned by period.
+def clustered(df: DataFrame, by: str) -> DataFrame:
+    """Rows dealt so that a value of ``by`` meets in few tasks: adaptive
+    execution sizes the tasks by bytes (spark.sql.adaptive.
+    advisoryPartitionSizeInBytes), splitting a large period over as many tasks
+    as it needs and joining small ones."""
+    return df.hint("rebalance", by)
 
-    Rows are clustered by (period, deterministic salt) before the write:
-    each period lands in at most ``files_per_partition`` files instead of
-    one file per task, and a period holding a third of all rows is still
-    written by ``files_per_partition`` tasks, not one. The salt is a hash
-    of the row, so a retried task rebuilds the same partitioning.
-    """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    (df.repartition(F.col(by), salt)
-       .write.mode("overwrite").partitionBy(by).parquet(path))
+
+def write_partitioned(df: DataFrame, path: str, by: str = "period") -> None:
+    """Parquet partitioned by period, in files sized by the data."""
+    clustered(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -55,7 +55,7 @@ def test_header_collision(spark):
 def test_partitioned_roundtrip(spark, tmpdir_path):
     df = spark.createDataFrame([("2025T1", 1, 2.0), ("2025T2", 2, 3.0), ("2025T1", 3, 4.0)], "period string, id int, v double")
     path = os.path.join(tmpdir_path, "part")
-    S.write_partitioned(df, path, "period", files_per_partition=2)
+    S.write_partitioned(df, path, "period")
     back = S.read_parquet(spark, path)
     assert back.columns[-1] == "period"
     assert sorted(back.collect()) == sorted([(1, 2.0, "2025T1"), (2, 3.0, "2025T2"), (3, 4.0, "2025T1")])
@@ -74,22 +74,74 @@ def test_model_roundtrip(spark, tmpdir_path):
     assert a == b
 
 
-def test_hot_period_written_by_several_tasks(spark, tmpdir_path):
-    rows = [("HOT" if i % 10 else "COLD", i, float(i)) for i in range(4000)]
-    df = spark.createDataFrame(rows, "period string, id int, v double").repartition(8)
-    path = os.path.join(tmpdir_path, "hot")
-    # tiny test data: keep AQE from merging the (small) salted partitions,
-    # which it never does for partitions of real size
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
+def test_hot_period_tasks_follow_its_rows(spark, tmpdir_path):
+    """The number of tasks that write the hot period grows with its rows."""
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    files = []
     try:
-        S.write_partitioned(df, path, "period", files_per_partition=4)
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        for n in (8000, 32000):
+            df = spark.range(n, numPartitions=n // 1000).select(  # a scan has as many tasks as its size asks for
+                F.when(F.col("id") % 10 > 0, "HOT").otherwise("COLD").alias("period"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+            path = os.path.join(tmpdir_path, f"hot{n}")
+            S.write_partitioned(df, path, "period")
+            files.append(len([f for f in os.listdir(os.path.join(path, "period=HOT")) if f.endswith(".parquet")]))
+            assert S.read_parquet(spark, path).count() == n
     finally:
-        spark.conf.set(key, old)
-    hot_files = [f for f in os.listdir(os.path.join(path, "period=HOT")) if f.endswith(".parquet")]
-    assert 1 < len(hot_files) <= 4
-    assert S.read_parquet(spark, path).count() == 4000
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert 1 < files[0] < files[1]
+
+
+def test_typed_numbers_keep_their_digits(spark):
+    from panelkit.sources.ingest import ingest_frame
+    df = spark.sql("SELECT 9007199254740993L AS a, 9223372036854775807L AS b, 1e20D AS c, CAST(12.50 AS DECIMAL(10,2)) AS d, "
+                   "'9007199254740993.0' AS e, '1e20' AS f, CAST(7 AS DECIMAL(38,0)) AS g, -0.0D AS h, '+007' AS i")
+    assert tuple(ingest_frame(df, list("ABCDEFGHI"), {}).first()) == (
+        "9007199254740993", "9223372036854775807", "100000000000000000000", "12.5", "9007199254740993", "100000000000000000000", "7", "0", "7")
+
+
+def test_splits_prune_by_the_partition_column(spark, tmpdir_path):
+    from panelkit.plans.queries import years
+    path = os.path.join(tmpdir_path, "p")
+    S.write_partitioned(spark.createDataFrame([(f"{y}T{q}", y) for y in (1999, 2000, 2001) for q in (1, 4)], "period string, y int"), path)
+    back = S.read_parquet(spark, path)
+    for cond, want in ((years(last=1999), {1999}), (years(2000, 2000), {2000}), (years(last=2000), {1999, 2000}), (years(2001), {2001})):
+        kept = back.where(cond)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(period" in plan and "DataFilters: []" in plan
+        assert {r["y"] for r in kept.collect()} == want
+
+
+def test_wide_side_takes_a_shuffle_join(spark):
+    from panelkit.operators.joins import checked_join
+    left = spark.range(100).withColumnRenamed("id", "k")
+    right = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    narrow = checked_join(left, right, "k", max_broadcast_bytes=1 << 20)._jdf.queryExecution().sparkPlan().toString()
+    wide = checked_join(left, right, "k", max_broadcast_bytes=50_000)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in narrow and "SortMergeJoin" in wide and "Broadcast" not in wide
+
+
+def test_shares_count_unlisted_categories(spark):
+    from panelkit.ml.segment import composition_wide
+    df = spark.createDataFrame([(0, "x"), (0, "y"), (0, "z"), (0, None)], "cluster int, c string")
+    assert tuple(composition_wide(df, "cluster", "c", ["x", "y"]).first()) == (0, 25.0, 25.0, 50.0)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from panelkit.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://x:1"})()
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
 
 
 def test_missing_table_empty_and_counts(spark):
