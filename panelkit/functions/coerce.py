@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 # the integer grammar. Anything else is not a number.
 NUMBER_PATTERN = r"^[+-]?(([0-9]+[.]?[0-9]*)|([.][0-9]+))([eE][+-]?[0-9]+)?$|^[+-]?(?i:nan|inf|infinity)$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+ZERO_FRACTION_PATTERN = r"^[+-]?[0-9]+[.]0*$"
 UNKNOWN_LABEL = "DESCONOCIDO"
 
 
@@ -34,10 +35,6 @@ def clean_text(c: str | Column) -> Column:
     return F.nullif(F.btrim(_col(c), F.lit(WHITESPACE)), F.lit(""))
 
 
-def is_number_text(c: str | Column) -> Column:
-    return clean_text(c).rlike(NUMBER_PATTERN)
-
-
 def to_double(c: str | Column) -> Column:
     """Text -> double; non-numeric text -> null (never an error)."""
     return parse_double(clean_text(c))
@@ -46,17 +43,16 @@ def to_double(c: str | Column) -> Column:
 def is_finite(c: str | Column) -> Column:
     """Not null, not NaN, not +/-infinity (NaN sorts above everything
     in Spark, so range predicates need this guard)."""
-    # abs(NaN) is not below infinity (NaN sorts above everything) and a
-    # null compares to null, so one comparison covers all three cases
-    # (callers treat null as false); it keeps generated code small.
-    return F.abs(_col(c)) < F.lit(float("inf"))
+    # abs(NaN) is not below infinity (NaN sorts above everything), so one
+    # comparison covers NaN and both infinities; null is false
+    return F.coalesce(F.abs(_col(c)) < F.lit(float("inf")), F.lit(False))
 
 
 def to_code(c: str | Column) -> Column:
     """Integer code only if the text is numeric, finite and whole, and
     fits an int; otherwise null."""
     d = to_double(c)
-    return F.when(is_finite(d) & (d == F.floor(d)), d.try_cast("int"))
+    return F.when(is_finite(d) & (d == F.rint(d)), d.try_cast("int"))
 
 
 def to_id(c: str | Column) -> Column:
@@ -65,21 +61,23 @@ def to_id(c: str | Column) -> Column:
     return F.when(s.rlike(INTEGER_PATTERN), s.try_cast("bigint"))
 
 
-def label(code: str | Column, dictionary: Mapping[int, str], unknown: str = UNKNOWN_LABEL) -> Column:
-    """Dictionary label; null or unlisted code -> ``unknown``.
+def lookup(key: str | Column, table: Mapping, otherwise) -> Column:
+    """Value listed for a key, ``otherwise`` for a null or unlisted one: the
+    key's position in a literal array picks from an array of the values (a
+    projection: no join, no shuffle)."""
+    place = F.array_position(F.array(*[F.lit(k) for k in table]), _col(key))
+    found = F.get(F.array(*[F.lit(v) for v in table.values()]), (place - 1).cast("int"))
+    return F.coalesce(found, F.lit(otherwise))
 
-    A literal map lookup with a missing key yields null (also under ANSI),
-    so ``coalesce`` supplies the fallback. The map is a constant folded into
-    the projection: no join, no shuffle.
-    """
-    pairs = [x for k, v in dictionary.items() for x in (F.lit(int(k)), F.lit(v))]
-    return F.coalesce(F.create_map(*pairs)[_col(code)], F.lit(unknown))
+
+def label(code: str | Column, dictionary: Mapping[int, str], unknown: str = UNKNOWN_LABEL) -> Column:
+    """Dictionary label of a code."""
+    return lookup(code, dictionary, unknown)
 
 
 def label_rank(lbl: str | Column, order: list[str]) -> Column:
     """Position of a label in an explicit category order (unknown last)."""
-    pairs = [x for i, v in enumerate(order) for x in (F.lit(v), F.lit(i))]
-    return F.coalesce(F.create_map(*pairs)[_col(lbl)], F.lit(len(order)))
+    return lookup(lbl, {name: place for place, name in enumerate(order)}, len(order))
 
 
 def parse_double(s: Column) -> Column:
@@ -100,22 +98,20 @@ def _special(s: Column) -> Column:
 def canonical_from_clean(s: Column) -> Column:
     """S4 on already-cleaned text (see ``canonical_text``).
 
-    Integer text: sign and leading zeros normalised, every digit kept
-    (integers beyond the long range are normalised textually). Other
-    numeric text whose value is a finite whole number is written from
-    the parsed double without a fraction. Anything else is returned as
-    is. Every cast sees only text its grammar check accepted.
+    Integer text, with or without a fraction of zeros: sign and leading zeros
+    normalised, every digit kept. Other numeric text whose value is a finite
+    whole number is written from the parsed double without a fraction.
+    Anything else is returned as is. Every cast sees only text its grammar
+    check accepted.
     """
-    is_int = s.rlike(INTEGER_PATTERN)
-    as_long = F.when(is_int & (F.length(s) <= 18), s.try_cast("bigint"))
-    digits = F.regexp_replace(s, r"^(-?)[+]?0*(?=[0-9])", "$1")
-    long_int_text = F.when(digits == "-0", F.lit("0")).otherwise(digits)
+    is_int = s.rlike(INTEGER_PATTERN) | s.rlike(ZERO_FRACTION_PATTERN)
+    digits = F.regexp_replace(F.regexp_replace(s, r"[.]0*$", ""), r"^(-?)[+]?0*(?=[0-9])", "$1")
+    int_text = F.when(digits == "-0", F.lit("0")).otherwise(digits)
     d = F.when(~is_int & s.rlike(NUMBER_PATTERN), s.try_cast("double"))
     whole = F.format_string("%.0f", d + F.lit(0.0))     # + 0.0 turns -0.0 into 0.0
     return (
-        F.when(as_long.isNotNull(), as_long.cast("string"))
-        .when(is_int, long_int_text)
-        .when(is_finite(d) & (d == F.floor(d)), whole)
+        F.when(is_int, int_text)
+        .when(is_finite(d) & (d == F.rint(d)), whole)
         .otherwise(s)
     )
 
@@ -131,20 +127,25 @@ def canonical_text(c: str | Column) -> Column:
     return canonical_from_clean(clean_text(c))
 
 
+def canonical_text_of_integral(c: str | Column) -> Column:
+    """S4 for typed integers: every digit, no round trip through a double."""
+    return _col(c).cast("string")
+
+
+def canonical_text_of_decimal(c: str | Column) -> Column:
+    """S4 for typed decimals: the digits without trailing zeros of the fraction."""
+    return canonical_from_clean(F.regexp_replace(_col(c).cast("string"), r"([.][0-9]*?)0+$", "$1"))
+
+
 def canonical_text_of_number(c: str | Column) -> Column:
-    """S4 for typed numeric or boolean input columns: NaN -> null,
-    +/-inf -> "Infinity"/"-Infinity", whole numbers -> integer text."""
+    """S4 for typed floating input columns: NaN -> null, +/-inf ->
+    "Infinity"/"-Infinity", whole numbers of any size -> integer text."""
     x = _col(c)
     d = x.cast("double")
     return (
         F.when(x.isNull() | F.isnan(d), F.lit(None).cast("string"))
         .when(d == F.lit(float("inf")), F.lit("Infinity"))
         .when(d == F.lit(float("-inf")), F.lit("-Infinity"))
-        .when(d == F.floor(d), d.try_cast("decimal(38,0)").cast("string"))
+        .when(d == F.rint(d), F.format_string("%.0f", d + F.lit(0.0)))
         .otherwise(d.cast("string"))
     )
-
-
-def add_or_null(a: str | Column, b: str | Column) -> Column:
-    """E6 helper: arithmetic is null when either side is null."""
-    return _col(a) + _col(b)

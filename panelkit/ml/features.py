@@ -8,9 +8,10 @@ projections, the scaler is one summary aggregation.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,22 +50,27 @@ def scaler(inp: str = "x", out: str = "features") -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
 
 
-def feature_names(model: PipelineModel | object, df: DataFrame, col: str = "features") -> list[str]:
-    """Slot names of an assembled vector, ordered by slot index, from
-    the column's ``ml_attr`` metadata (groups come unordered)."""
-    schema = model.transform(df.limit(0)).schema if hasattr(model, "transform") else df.schema
-    attrs = schema[col].metadata["ml_attr"]["attrs"]
-    size = sum(len(v) for v in attrs.values())
-    names: list[str | None] = [None] * size
-    for group in attrs.values():
-        for a in group:
-            names[a["idx"]] = a["name"]
-    return names  # type: ignore[return-value]
-
-
-def feature_names_frame(model, df: DataFrame, col: str = "features") -> DataFrame:
-    names = feature_names(model, df, col)
-    return df.sparkSession.createDataFrame(list(enumerate(names)), "idx int, name string")
+def feature_names(model: PipelineModel) -> list[str]:
+    """Slot names of the assembled vector, in slot order, read off the
+    fitted stages: the assembler's inputs, where an encoded column stands for
+    the labels its encoder keeps."""
+    labels: dict[str, list[str]] = {}
+    blocks: dict[str, list[str]] = {}
+    inputs: list[str] = []
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            unseen = ["__unknown"] if stage.getHandleInvalid() == "keep" else []
+            labels |= {out: [*own, *unseen] for out, own in zip(stage.getOutputCols(), stage.labelsArray)}
+        elif isinstance(stage, OneHotEncoderModel):
+            last = -1 if stage.getDropLast() else None
+            blocks |= {out: [f"{out}_{x}" for x in labels[src][:last]] for src, out in zip(stage.getInputCols(), stage.getOutputCols())}
+        elif isinstance(stage, VectorAssembler):
+            inputs = stage.getInputCols()
+    return [name for c in inputs for name in blocks.get(c, [c])]
+
+
+def feature_names_frame(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(feature_names(model))), "idx int, name string")
 
 
 def vector_columns(df: DataFrame, col: str, names: list[str]) -> DataFrame:

@@ -12,21 +12,24 @@ def null_indicator(c: str | Column) -> Column:
     return col.isNull().cast("int")
 
 
+def _counts(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """Rows ``_n`` and missing values ``_m<i>`` of each column, per group: one aggregation."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(null_indicator(c)).alias(f"_m{i}") for i, c in enumerate(cols)])
+
+
+def _percent(i: int) -> Column:
+    return F.try_divide(F.lit(100.0) * F.col(f"_m{i}"), F.col("_n").cast("double"))
+
+
 def missing_table(df: DataFrame, cols: list[str], tag: str = "") -> DataFrame:
     """A3: missing count and % per column, long form (variable, position,
     missing_<tag>, pct_<tag>). One aggregation pass; an empty input gives
     0 missing and null %."""
     suffix = f"_{tag}" if tag else ""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(null_indicator(c)).alias(f"_m{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', {i}, _m{i}" for i, c in enumerate(cols))
-    long = wide.select("_n", F.expr(f"stack({len(cols)}, {stack}) as (variable, position, _m)"))
-    return long.select(
-        "variable", "position",
-        F.coalesce(F.col("_m"), F.lit(0)).cast("long").alias(f"missing{suffix}"),
-        F.try_divide(F.lit(100.0) * F.col("_m"), F.col("_n").cast("double")).alias(f"pct{suffix}"),
-    )
+    each = [F.struct(F.lit(c).alias("variable"), F.lit(i).alias("position"),
+                     F.coalesce(F.col(f"_m{i}"), F.lit(0)).cast("long").alias(f"missing{suffix}"),
+                     _percent(i).alias(f"pct{suffix}")) for i, c in enumerate(cols)]
+    return _counts(df, cols, []).select(F.inline(F.array(*each)))
 
 
 def missing_compare(a: DataFrame, b: DataFrame, cols: list[str], tag_a: str, tag_b: str) -> DataFrame:
@@ -41,8 +44,7 @@ def missing_by_flag(df: DataFrame, flag: Column, cols: dict[str, str], flag_name
                     digits: int | None = None) -> DataFrame:
     """A4: % null of each column by a population flag (null flag -> false),
     to tell structural absence from non-response."""
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for raw, name in cols.items():
-        pct = F.lit(100.0) * F.avg(null_indicator(raw))
-        aggs.append((F.round(pct, digits) if digits is not None else pct).alias(f"pct_null_{name}"))
-    return df.groupBy(F.coalesce(flag, F.lit(False)).alias(flag_name)).agg(*aggs)
+    flagged = df.withColumn(flag_name, F.when(flag, True).otherwise(False))
+    shares = [_percent(i) if digits is None else F.round(_percent(i), digits) for i in range(len(cols))]
+    named = [p.alias(f"pct_null_{name}") for p, name in zip(shares, cols.values())]
+    return _counts(flagged, list(cols), [flag_name]).select(flag_name, F.col("_n").alias("rows"), *named)

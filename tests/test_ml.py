@@ -64,7 +64,7 @@ def test_unseen_category_and_feature_layout(spark):
                                   "x double, cat string, y double")
     test = spark.createDataFrame([(2.5, "zzz", 0.0)], "x double, cat string, y double")
     model = FE.feature_pipeline(["x"], ["cat"]).fit(train)
-    names = FE.feature_names(model, train)
+    names = FE.feature_names(model)
     assert names == ["x", "cat_ohe_a", "cat_ohe_b", "cat_ohe_c"]      # every real level keeps a slot
     v = model.transform(test).select("features").first()[0].toArray()
     assert list(v[1:]) == [0.0, 0.0, 0.0]                              # unseen -> all-zero block

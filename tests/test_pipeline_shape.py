@@ -40,7 +40,7 @@ def test_linear_pipeline_shape(spark):
     lr = model.stages[-1]
     assert isinstance(lr, LinearRegressionModel)
     assert lr.getStandardization() and lr.getFitIntercept() and lr.getMaxIter() == 100 and lr.getSolver() == "auto"
-    assert lr.numFeatures == 18 and len(feature_names(model, df)) == 18
+    assert lr.numFeatures == 18 and len(feature_names(model)) == 18
 
 
 def test_forest_pipeline_shape(spark):
