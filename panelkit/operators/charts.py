@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.predicates import safe_log10
 from panelkit.operators.describe import quantiles
 from panelkit.operators.joins import checked_join
+from panelkit.operators.ranks import exact_quantiles, rank_table
 from panelkit.operators.sampling import hash_sample
 
 
@@ -31,18 +32,18 @@ def histogram(df: DataFrame, value: str, bins: int = 80, log10: bool = False) ->
 
 def box_stats(df: DataFrame, value: str, by: list[str], exact: bool = True) -> DataFrame:
     """Per group quartiles and whiskers (most extreme points within
-    1.5 IQR of the box); outliers are not returned. The quartile table has
-    one row per group and is joined back behind a size check."""
-    q = quantiles(df, value, [0.25, 0.5, 0.75], by, exact).select(
-        *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
-    j = checked_join(df.select(*by, value).where(F.col(value).isNotNull()), q, by, "inner")
-    lo_fence = F.col("q1") - 1.5 * F.col("_iqr")
-    hi_fence = F.col("q3") + 1.5 * F.col("_iqr")
-    whiskers = j.groupBy(*by).agg(
-        F.min(F.when(F.col(value) >= lo_fence, F.col(value))).alias("whisker_low"),
-        F.max(F.when(F.col(value) <= hi_fence, F.col(value))).alias("whisker_high"))
-    return q.drop("_iqr").join(whiskers, by, "inner")
+    1.5 IQR of the box); outliers are not returned. Quartiles and whiskers
+    come from the value counts, so the rows are read once."""
+    values = rank_table(df, value, by) if exact else df.select(*by, value).where(F.col(value).isNotNull())
+    probs = [0.25, 0.5, 0.75]
+    q = exact_quantiles(None, value, probs, by, ranked=values) if exact else quantiles(df, value, probs, by, False)
+    q = q.select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    x = F.col(value)
+    boxed = checked_join(values.select(*by, value), q, by, null_safe=True)
+    return boxed.groupBy(*by, "n", "q1", "median", "q3").agg(
+        F.min(F.when(x >= F.col("q1") - reach, x)).alias("whisker_low"),
+        F.max(F.when(x <= F.col("q3") + reach, x)).alias("whisker_high"))
 
 
 def scatter_points(df: DataFrame, key: list[str], cols: list[str], n: int = 10_000,

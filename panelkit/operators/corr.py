@@ -37,12 +37,13 @@ def pearson_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def rank_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace each column by its average rank (ties share the mean
-    rank), computed over complete rows."""
-    d = _complete(df, cols)
-    out = d
+    rank), computed over complete rows: one rank table for all columns, then
+    a lookup of each column's values."""
+    out = _complete(df, cols)
+    ranks = average_ranks(out.unpivot([], cols, "_v", "_x"), "_x", ["_v"])
     for c in cols:
-        ranks = average_ranks(d, c).withColumnRenamed("avg_rank", f"_rk_{c}")
-        out = checked_join(out, ranks, c, "left")
+        own = ranks.where(F.col("_v") == c).select(F.col("_x").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
+        out = checked_join(out, own, c, "left")
     return out.select(*[F.col(f"_rk_{c}").alias(c) for c in cols])
 
 
@@ -59,14 +60,3 @@ def correlation_ranking(matrix: DataFrame, target: str, n: int | None = None) ->
            .orderBy(F.desc(F.abs("r")), "variable"))
     return out.limit(n) if n else out
 
-
-def pearson_ml(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
-    """M1/M2 through Spark ML ``Correlation.corr`` (tree aggregation of the
-    Gramian; a k x k matrix comes back), as the same long frame."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    d = _complete(df, cols)
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(d).select("_v")
-    m = Correlation.corr(vec, "_v", method).head()[0].toArray()
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "var_x string, var_y string, r double")

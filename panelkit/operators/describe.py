@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.coerce import label_rank
 from panelkit.functions.predicates import pct_change, ratio
-from panelkit.operators.ranks import exact_quantiles, moments, rank_table
+from panelkit.operators.joins import null_safe_join, total
+from panelkit.operators.ranks import exact_quantiles, means, moments, rank_table
 
 PROFILE_PROBS = [0.25, 0.5, 0.75, 0.95]
 
@@ -46,7 +47,7 @@ def numeric_profile(df: DataFrame, cols: list[str], exact: bool = True) -> DataF
     if exact:
         rt = rank_table(long, "value", ["variable"])
         mom = moments(rt, "value", ["variable"])
-        qs = exact_quantiles(long, "value", PROFILE_PROBS, ["variable"], rt=rt).drop("n")
+        qs = exact_quantiles(None, "value", PROFILE_PROBS, ["variable"], ranked=rt).drop("n")
     else:
         mom = long.groupBy("variable").agg(
             F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
@@ -70,7 +71,7 @@ def frequencies(df: DataFrame, col: str, order: list[str] | None = None) -> Data
     """A10 + W3 + T4: count and % of total per category; ordered by count
     (desc, ties by label) or by a given category order (present ones)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    out = counts.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()))
+    out = counts.withColumn("pct", F.lit(100.0) * F.col("n") / total(counts, F.sum("n")))
     if order:
         return out.withColumn("sort_key", label_rank(col, order)).orderBy("sort_key").drop("sort_key")
     return out.orderBy(F.desc("n"), col)
@@ -80,14 +81,13 @@ def group_quantiles(df: DataFrame, by: str | list[str], value: str, exact: bool
     """Per group n, median, P25, P75, mean, and the distances
     median - P25 and P75 - median (error-bar lengths)."""
     by = [by] if isinstance(by, str) else by
+    probs = [0.5, 0.25, 0.75]
     if exact:
-        rt = rank_table(df, value, by)
-        means = moments(rt, value, by).select(*by, "mean")
-        qs = exact_quantiles(df, value, [0.5, 0.25, 0.75], by, rt=rt)
+        ranked = rank_table(df, value, by)
+        mean, qs = means(ranked, value, by), exact_quantiles(None, value, probs, by, ranked=ranked)
     else:
-        means = df.groupBy(*by).agg(F.avg(value).alias("mean"))
-        qs = quantiles(df, value, [0.5, 0.25, 0.75], by, exact=False)
-    out = qs.join(means, by, "inner")
+        mean, qs = df.groupBy(*by).agg(F.avg(value).alias("mean")), quantiles(df, value, probs, by, exact=False)
+    out = null_safe_join(qs, mean, by)
     return out.select(*by, "n", F.col("q0").alias("median"), F.col("q1").alias("p25"), F.col("q2").alias("p75"),
                       "mean", (F.col("q0") - F.col("q1")).alias("median_minus_p25"),
                       (F.col("q2") - F.col("q0")).alias("p75_minus_median"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.joins import checked_join
+from panelkit.operators.joins import MAX_BROADCAST_BYTES, checked_join, null_safe_join
 
 EXACT = "exact_repeat"
 CONFLICT = "conflict"
@@ -52,20 +52,23 @@ def duplicate_keys(df: DataFrame, key: list[str], content: list[str], by_signatu
     """A7 + E13: keys seen more than once, with row count, number of
     distinct content versions and kind (exact repeat vs conflict).
 
-    Two combining aggregations - by key + content, then by key - instead
+    The key alone is counted first. Over the rows of repeated keys, two
+    combining aggregations follow - by key + content, then by key - instead
     of a COUNT DISTINCT, so a hot key is reduced map-side twice. Grouping
     on the content columns themselves compares them exactly and null-safely
     with no per-row serialisation; ``by_signature=True`` groups on the
     SHA-256 row signature instead (narrower shuffle for very wide rows).
     """
+    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*key)
+    # keys are normally unique: only rows of repeated ones bring their content along
+    rows = null_safe_join(df.select(*key, *content), repeated, key, "left_semi")
     if by_signature:
-        versions = df.select(*key, row_signature(content).alias("_sig")).groupBy(*key, "_sig")
+        versions = rows.select(*key, row_signature(content).alias("_sig")).groupBy(*key, "_sig")
     else:
-        versions = df.select(*key, *content).groupBy(*key, *content)
+        versions = rows.groupBy(*key, *content)
     per_version = versions.agg(F.count(F.lit(1)).alias("_n"))
     return (per_version.groupBy(*key)
             .agg(F.sum("_n").cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_versions"))
-            .filter(F.col("n_rows") > 1)
             .withColumn("kind", F.when(F.col("n_versions") == 1, F.lit(EXACT)).otherwise(F.lit(CONFLICT))))
 
 
@@ -75,27 +78,18 @@ def duplicate_summary(dups: DataFrame, by: str = "period") -> DataFrame:
 
 
 def flag_duplicates(df: DataFrame, dups: DataFrame, key: list[str], flag: str = "duplicate_key",
-                    null_keys: str = "report", max_broadcast_rows: int | None = None) -> DataFrame:
+                    null_keys: str = "report", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """J1 + E14 + U3: add a boolean flag for rows whose key is duplicated.
 
     ``null_keys="report"`` (default) mirrors an equi-join: null keys are
     reported by the audit but never flagged. ``"flag"`` matches null keys
-    null-safely. The flag table is broadcast only when its row count is
+    null-safely. The flag table is broadcast only when its measured size is
     under the bound; a large one (bad input) takes a shuffle join.
     """
-    flags = dups.select(*key).withColumn(flag, F.lit(True))
-    kwargs = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
-    if null_keys == "flag":
-        renamed = flags.select(*[F.col(k).alias(f"_k_{k}") for k in key], flag)
-        cond = None
-        for k in key:
-            c = df[k].eqNullSafe(renamed[f"_k_{k}"])
-            cond = c if cond is None else cond & c
-        out = checked_join(df, renamed, cond, "left", **kwargs).drop(*[f"_k_{k}" for k in key])
-    elif null_keys == "report":
-        out = checked_join(df, flags, key, "left", **kwargs)
-    else:
+    if null_keys not in ("report", "flag"):
         raise ValueError("null_keys must be 'report' or 'flag'")
+    flags = dups.select(*key).withColumn(flag, F.lit(True))
+    out = checked_join(df, flags, key, "left", max_broadcast_bytes, null_safe=null_keys == "flag")
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -112,4 +106,4 @@ def duplicate_examples(df: DataFrame, dups: DataFrame, key: list[str], n: int =
     broadcasting it is bounded."""
     complete = dups.filter(~any_null(key))
     ex = top_duplicates(complete, key, n).select(*key, "kind")
-    return checked_join(df, ex, key, "inner", known_rows=n).orderBy(*key)
+    return df.join(F.broadcast(ex), key).orderBy(*key)

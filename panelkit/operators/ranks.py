@@ -3,20 +3,21 @@
 Spark's exact ``percentile`` aggregate keeps every distinct value of a
 group in one buffer, and a global window rank sorts a whole column in one
 task. Both break when one group holds a third of the rows. This module
-builds the same answers from shuffles that stay bounded:
+builds the same answers from steps that each task does on a bounded range:
 
-1. value counts per (group, value) -- combined map-side;
-2. approximate bucket bounds per group over the *distinct* values
-   (``percentile_approx``, a bounded sketch), so each bucket holds about
-   1/B of a group's distinct values;
-3. per-bucket totals -> running offsets (a window over B rows per group);
-4. a running count inside each (group, bucket) -- a window whose
-   partition is one bucket, never a whole group.
+1. value counts per (group, value), combined map-side (the only pass over
+   the rows);
+2. the counts are range-partitioned by (group, value), so a partition is a
+   run of the global order whatever the group sizes, and written with their
+   partition number;
+3. a total for each (group, partition), summed up to the offset at which a
+   group goes on in a partition (as many rows as groups and partitions);
+4. a running count inside each (group, partition).
 
 The result, ``rank_table``, gives for every distinct value how many values
 of its group sort below it. Exact quantiles (linear interpolation between
 order statistics, as ``percentile`` / ``quantile_cont``) and average ranks
-with ties (as used by Spearman) are lookups into it.
+with ties (as used by Spearman) are lookups into it. A null group is a group.
 """
 
 from __future__ import annotations
@@ -26,25 +27,6 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.joins import checked_join, cut
 
-import math
-from dataclasses import dataclass
-
-# Distinct values one (group, bucket) window should hold; above it a group
-# is split into more buckets, up to MAX_BUCKETS (a bucket is found by a scan
-# of the bound array; past the cap buckets just grow - the running-sum
-# window streams its partition, so a larger bucket costs time, not memory).
-MAX_VALUES_PER_BUCKET = 200_000
-MAX_BUCKETS = 4096
-
-
-@dataclass
-class RankTable:
-    """Rank table plus the facts about it needed to bound later joins."""
-
-    df: DataFrame          # by..., value, _c, below, n, _b, _start, _bc
-    n_groups: int
-    buckets: int
-
 
 def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     by = by or []
@@ -52,125 +34,84 @@ def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> Data
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
 
 
-def _with_buckets(vc: DataFrame, value: str, by: list[str], buckets: int, n_groups: int) -> DataFrame:
-    if buckets <= 1:
-        return vc.withColumn("_b", F.lit(0))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = vc.groupBy(*by).agg(F.percentile_approx(value, probs, 10 * buckets).alias("_bounds"))
-    if by:
-        vcb = checked_join(vc, bounds, by, "inner", known_rows=n_groups)
-    else:
-        row = bounds.first()          # one row of B-1 numbers: a bounded collect
-        lits = [] if row is None or row[0] is None else list(row[0])
-        vcb = vc.withColumn("_bounds", F.array(*[F.lit(float(x)) for x in lits]).cast("array<double>"))
-    return vcb.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(value)))).drop("_bounds")
-
-
-def rank_table(df: DataFrame, value: str, by: list[str] | None = None,
-               buckets: int | None = None) -> RankTable:
-    """For each distinct value of each group: its count ``_c``, the number
-    of smaller values ``below``, the group size ``n``, and its bucket with
-    the bucket's first rank and size. ``buckets=None`` sizes the buckets
-    from the largest group's distinct count (one bucket for small groups)."""
+def rank_table(df: DataFrame, value: str, by: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """Rows (by..., value, _c, below, n, _p, _start, _pc): for each distinct
+    value of each group its count, the number of smaller values, the group's
+    size, and its partition with the group's first rank and count there.
+    ``parts`` fixes the number of ranges; else adaptive execution sizes them."""
     by = by or []
-    vc = cut(value_counts(df, value, by))       # the only pass over the input
-    st = vc.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(
-        F.count(F.lit(1)).alias("g"), F.max("_d").alias("m")).first()
-    n_groups, max_distinct = int(st["g"] or 0), int(st["m"] or 0)
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, max(1, math.ceil(max_distinct / MAX_VALUES_PER_BUCKET)))
-    vcb = _with_buckets(vc, value, by, buckets, n_groups)
-    bt = vcb.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
-    wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    bt = (bt.withColumn("_start", F.coalesce(
-              F.sum("_bc").over(wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("n", F.sum("_bc").over(wg)))
-    vcb = checked_join(vcb, bt, by + ["_b"], "inner", known_rows=max(1, n_groups) * buckets)
-    wb = Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rt = cut(vcb.withColumn("below", F.col("_start") + F.coalesce(F.sum("_c").over(wb), F.lit(0))))
-    return RankTable(rt, n_groups, buckets)
-
-
-def moments(rt: RankTable, value: str, by: list[str] | None = None) -> DataFrame:
+    counts = value_counts(df, value, by)
+    ranged = counts.repartitionByRange(parts, *by, value) if parts else counts.repartitionByRange(*by, value)
+    counts = cut(ranged.withColumn("_p", F.spark_partition_id()))
+    totals = counts.groupBy(*by, "_p").agg(F.sum("_c").alias("_pc"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*by, "_p", "_pc", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_start"),
+                           F.sum("_pc").over(group).alias("n"))
+    placed = checked_join(counts, totals, [*by, "_p"], null_safe=True)
+    here = Window.partitionBy(*by, "_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return cut(placed.withColumn("below", F.col("_start") + F.coalesce(F.sum("_c").over(here), F.lit(0))))
+
+
+def moments(ranked: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """n, mean, sample sd, min, max, population skewness per group, from
     the (small) value-count table instead of another pass over the rows."""
     by = by or []
-    t = rt.df
-    m1 = t.groupBy(*by).agg(
-        F.sum("_c").alias("n"), (F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("mean"),
-        F.min(value).alias("min"), F.max(value).alias("max"))
-    dev = F.col(value) - F.col("mean")
-    if by:
-        j = checked_join(t.select(*by, value, "_c"), m1.select(*by, "mean"), by, "inner", known_rows=rt.n_groups)
-    else:
-        r1 = m1.first()               # one row of four numbers
-        j = t.select(value, "_c").withColumn("mean", F.lit(r1["mean"]))
-    m2 = j.groupBy(*by).agg(F.sum(F.col("_c") * dev * dev).alias("_m2"),
-                            F.sum(F.col("_c") * dev * dev * dev).alias("_m3"))
-    if by:
-        out = m1.join(m2, by, "inner")
-    else:
-        out = m2.select(F.lit(r1["n"]).cast("long").alias("n"), F.lit(r1["mean"]).cast("double").alias("mean"),
-                        F.lit(r1["min"]).cast("double").alias("min"), F.lit(r1["max"]).cast("double").alias("max"),
-                        "_m2", "_m3")
+    x, c = F.col(value), F.col("_c")
+    first = ranked.groupBy(*by).agg(F.sum(c).alias("n"), (F.sum(x * c) / F.sum(c)).alias("mean"),
+                                    F.min(x).alias("min"), F.max(x).alias("max"))
+    dev = x - F.col("mean")
+    second = (checked_join(ranked.select(*by, value, "_c"), first, by, null_safe=True)
+              .groupBy(*by, "n", "mean", "min", "max")
+              .agg(F.sum(c * dev * dev).alias("_m2"), F.sum(c * dev * dev * dev).alias("_m3")))
     n = F.col("n").cast("double")
-    return out.select(
+    return second.select(
         *by, "n", "mean",
         F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (n - 1))).alias("sd"),
         "min", "max",
         F.when(F.col("_m2") > 0, F.sqrt(n) * F.col("_m3") / F.pow(F.col("_m2"), 1.5)).alias("skewness"))
 
 
-def bucket_offsets(rt: DataFrame, by: list[str]) -> DataFrame:
-    return rt.select(*by, "_b", "_start", "_bc", "n").distinct()
+def means(ranked: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """The mean per group, from the value counts."""
+    c = F.col("_c")
+    return ranked.groupBy(*(by or [])).agg((F.sum(F.col(value) * c) / F.sum(c)).alias("mean"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    buckets: int | None = None, prefix: str = "q",
-                    rt: RankTable | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame | None, value: str, probs: list[float], by: list[str] | None = None,
+                    parts: int | None = None, prefix: str = "q", ranked: DataFrame | None = None) -> DataFrame:
     """Exact quantiles per group with linear interpolation:
     pos = p * (n - 1); result = v[floor] + (v[ceil] - v[floor]) * (pos - floor).
     Output: by..., n, and one column per probability named
-    ``{prefix}{i}`` in the order given."""
-    if not by and rt is None:
-        # a single global group: give it a constant key so every step is
-        # an equi-join / grouped aggregate of bounded size
-        out = exact_quantiles(df.withColumn("_g", F.lit(0)), value, probs, ["_g"], buckets, prefix)
-        return out.drop("_g")
+    ``{prefix}{i}`` in the order given.
+
+    Each distinct value stands for the ranks [below, below + count), so a
+    wanted rank is found by a filter on the value's own row: one aggregate
+    over the value counts, without any join.
+    """
     by = by or []
-    table = rt or rank_table(df, value, by, buckets)
-    rt = table.df
-    offs = bucket_offsets(rt, by)
-    per_group = offs.select(*by, "n").distinct()
-    stack = ", ".join(f"{i}, CAST({p!r} AS DOUBLE)" for i, p in enumerate(probs))
-    targets = (per_group.select(*by, "n", F.expr(f"stack({len(probs)}, {stack}) as (_i, _p)"))
-               .withColumn("_pos", F.col("_p") * (F.col("n") - 1))
-               .withColumn("_lo", F.floor("_pos").cast("long"))
-               .withColumn("_hi", F.ceil("_pos").cast("long"))
-               .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    ends = targets.select(*by, "_i", F.lit("lo").alias("_end"), F.col("_lo").alias("_r")).unionByName(
-        targets.select(*by, "_i", F.lit("hi").alias("_end"), F.col("_hi").alias("_r")))
-    # which bucket holds each target rank (groups x probs x 2 rows against groups x B rows)
-    ends = ends.join(offs.drop("n"), by, "inner").where(
-        (F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_bc"))
-    ).select(*by, "_i", "_end", "_r", "_b")
-    hits = checked_join(rt.select(*by, "_b", value, "_c", "below"), ends, by + ["_b"], "inner",
-                        known_rows=max(1, table.n_groups) * len(probs) * 2).where(
-        (F.col("_r") >= F.col("below")) & (F.col("_r") < F.col("below") + F.col("_c")))
-    vals = (hits.groupBy(*by, "_i")
-            .agg(F.max(F.when(F.col("_end") == "lo", F.col(value))).alias("_vlo"),
-                 F.max(F.when(F.col("_end") == "hi", F.col(value))).alias("_vhi")))
-    q = targets.select(*by, "n", "_i", "_frac").join(vals, by + ["_i"], "inner").withColumn(
-        "_q", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    wide = q.groupBy(*by, "n").agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"{prefix}{i}")
-                                     for i in range(len(probs))])
-    return wide
-
-
-def average_ranks(df: DataFrame, value: str, by: list[str] | None = None,
-                  buckets: int | None = None) -> DataFrame:
+    ranked = rank_table(df, value, by, parts) if ranked is None else ranked
+    x, below, c, n = (F.col(k) for k in (value, "below", "_c", "n"))
+
+    def at(rank):
+        return F.max(F.when((rank >= below) & (rank < below + c), x))
+    wanted = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (n - 1)
+        wanted += [at(F.floor(pos)).alias(f"_lo{i}"), at(F.ceil(pos)).alias(f"_hi{i}")]
+    got = ranked.groupBy(*by, "n").agg(*wanted)
+    out = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (n - 1)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(f"{prefix}{i}"))
+    return got.select(*by, "n", *out)
+
+
+def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """(by..., value, avg_rank) with 1-based average ranks for ties:
     below + (count + 1) / 2."""
     by = by or []
-    rt = rank_table(df, value, by, buckets).df
-    return rt.select(*by, value, (F.col("below") + (F.col("_c") + F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
+    return rank_table(df, value, by, parts).select(
+        *by, value, (F.col("below") + (F.col("_c") + F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
+

@@ -49,7 +49,7 @@ def test_flags_report_vs_flag(spark):
     assert K.flag_duplicates(df, dups, KEY).count() == df.count()
     # the shuffle-join path (no broadcast) gives the same flags
     big = {(r["household"], r["duplicate_key"]) for r in
-           K.flag_duplicates(df, dups, KEY, max_broadcast_rows=0).collect()}
+           K.flag_duplicates(df, dups, KEY, max_broadcast_bytes=0).collect()}
     assert big == rep
 
 

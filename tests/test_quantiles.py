@@ -1,5 +1,5 @@
 """Distributed exact quantiles / ranks against brute force, including the
-multi-bucket path and a hot group holding most rows."""
+many-range path and a hot group holding most rows."""
 
 import random
 
@@ -24,11 +24,11 @@ def _brute(values, p):
     return float(np.quantile(np.array(sorted(values)), p, method="linear"))
 
 
-def test_grouped_quantiles_many_buckets(spark):
+def test_grouped_quantiles_many_ranges(spark):
     df, rows = _data(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 1.0]
-    for buckets in (1, 7, 64):
-        got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"], buckets=buckets).collect()}
+    for parts in (1, 7, 64):
+        got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"], parts=parts).collect()}
         for g in ("hot", "a", "b"):
             vals = [v for gg, v in rows if gg == g]
             assert got[g]["n"] == len(vals)
@@ -45,7 +45,7 @@ def test_global_quantile_and_p90_ties(spark):
 
 def test_average_ranks_match_brute_force(spark):
     df, rows = _data(spark, 800)
-    got = {r["v"]: r["avg_rank"] for r in average_ranks(df, "v", buckets=5).collect()}
+    got = {r["v"]: r["avg_rank"] for r in average_ranks(df, "v", parts=5).collect()}
     vals = sorted(v for _, v in rows)
     for v in set(vals[:50] + vals[-50:]):
         below = sum(1 for x in vals if x < v)
@@ -66,3 +66,18 @@ def test_profile_matches_numpy(spark):
     assert abs(prof["median"] - np.median(vals)) < 1e-9 * np.median(vals)
     approx = D.numeric_profile(df, ["v"], exact=False).first()
     assert approx["n"] == prof["n"]
+
+
+def test_null_groups_are_groups(spark):
+    from panelkit.operators.charts import box_stats
+    rows = [("a", 1.0), ("a", 3.0), (None, 5.0), (None, 9.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["n"], r["median"], r["mean"]) for r in D.group_quantiles(df, "g", "v").collect()}
+    assert got == {"a": (2, 2.0, 2.0), None: (2, 7.0, 7.0)}
+    for parts in (1, 6):
+        got = {r["g"]: r["q0"] for r in exact_quantiles(df, "v", [0.5], ["g"], parts=parts).collect()}
+        assert got == {"a": 2.0, None: 7.0}
+    got = {r["g"]: (r["whisker_low"], r["whisker_high"]) for r in box_stats(df, "v", ["g"]).collect()}
+    assert got == {"a": (1.0, 3.0), None: (5.0, 9.0)}
+    two = df.withColumn("h", F.lit(None).cast("string"))
+    assert {(r["g"], r["h"]): r["n"] for r in box_stats(two, "v", ["g", "h"]).collect()} == {("a", None): 2, (None, None): 2}
