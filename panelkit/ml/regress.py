@@ -10,7 +10,9 @@ once per training set and the encoded frame is cached for all configs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -18,12 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.ml.features import assembler, encoder_stages, feature_names
-from panelkit.operators.metrics import regression_metrics, stack_metrics
+from panelkit.operators.metrics import metrics_long, regression_metrics
 
 SEED = 42
 PRED = "prediction"
 
-# Configurations of the study: (name, regParam, elasticNetParam) and
+# Fixed values, the study's configurations: (name, regParam, elasticNetParam) and
 # (name, numTrees, maxDepth).
 LR_CONFIGS = [("no_reg", 0.0, 0.0), ("ridge_light", 0.3, 0.0), ("ridge_strong", 50.0, 0.0), ("lasso_strong", 50.0, 1.0)]
 RF_CONFIGS = [("rf_small", 40, 5), ("rf_medium", 80, 8), ("rf_large", 120, 10)]
@@ -31,8 +33,8 @@ RF_CONFIGS = [("rf_small", 40, 5), ("rf_medium", 80, 8), ("rf_large", 120, 10)]
 
 @dataclass(frozen=True)
 class TemporalSplit:
-    """Row filters for each stage of the protocol (on partition or
-    provenance columns, so they prune the scan)."""
+    """Row filters for each stage of the protocol. On the partition
+    column they prune the scan."""
 
     train: Column
     validate: Column
@@ -52,7 +54,7 @@ def lr_stage(label: str, reg: float, en: float) -> LinearRegression:
 def rf_stage(label: str, trees: int, depth: int, seed: int = SEED) -> RandomForestRegressor:
     """Random forest (variance impurity, 32 bins, auto subset)."""
     return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=PRED, numTrees=trees,
-                                 maxDepth=depth, seed=seed)
+                                 maxDepth=depth, seed=seed, maxMemoryInMB=1024)
 
 
 def full_pipeline(num: list[str], cats: list[str], model_stage) -> Pipeline:
@@ -73,7 +75,7 @@ def group_mean_predictor(train: DataFrame, target: DataFrame, group: str, label:
     from panelkit.operators.joins import checked_join
     overall = train.agg(F.avg(label)).first()[0]
     means = train.groupBy(group).agg(F.avg(label).alias("_gm"))
-    j = checked_join(target, means, group, "left")
+    j = checked_join(target, means, group, "left", null_safe=True)
     return j.withColumn(out, F.coalesce(F.col("_gm"), F.lit(overall)).cast("double")).drop("_gm")
 
 
@@ -84,22 +86,26 @@ class GridOutcome:
 
 
 def fit_grid(train: DataFrame, valid: DataFrame, num: list[str], cats: list[str], label: str,
-             kind: str = "lr", configs=None) -> GridOutcome:
+             kind: str = "lr", configs=None, parallelism: int = 3) -> GridOutcome:
     """Fit each configuration on the training rows (encoders
-    fitted once, encoded rows cached) and score it on the validation
-    rows; W5 picks the smallest validation RMSE (ties by name)."""
+    fitted once, encoded rows cached, ``parallelism`` fits at a time) and
+    score it on the validation rows; W5 picks the smallest validation RMSE
+    (ties by name)."""
     spark = train.sparkSession
     configs = configs or (LR_CONFIGS if kind == "lr" else RF_CONFIGS)
     feats = Pipeline(stages=encoder_stages(cats) + [assembler(num, cats)]).fit(train)
     tr = feats.transform(train).select("features", label).persist()
     va = feats.transform(valid).select("features", label).persist()
-    rows = []
+
+    def one(config):
+        name, a, b = config
+        stage = lr_stage(label, a, b) if kind == "lr" else rf_stage(label, int(a), int(b))
+        m = regression_metrics(stage.fit(tr).transform(va), label, PRED).first()
+        return name, float(a), float(b), int(m["n"]), float(m["mae"]), float(m["rmse"]), float(m["r2"])
     try:
-        for name, a, b in configs:
-            stage = lr_stage(label, a, b) if kind == "lr" else rf_stage(label, int(a), int(b))
-            model = stage.fit(tr)
-            m = regression_metrics(model.transform(va), label, PRED).first()
-            rows.append((name, float(a), float(b), int(m["n"]), float(m["mae"]), float(m["rmse"]), float(m["r2"])))
+        tr.count()
+        with ThreadPool(max(1, min(parallelism, len(configs)))) as pool:
+            rows = pool.map(one, configs)
     finally:
         tr.unpersist()
         va.unpersist()
@@ -121,7 +127,7 @@ def coefficient_table(model: PipelineModel, df: DataFrame, n: int | None = 12) -
     """M22 + T3: coefficients by slot name plus the intercept, ordered by
     absolute size. Coefficients of a design with a full one-hot block are
     not unique; compare predictions, not coefficients."""
-    names = feature_names(model, df)
+    names = feature_names(model)
     lr = model.stages[-1]
     rows = [(nm, float(c)) for nm, c in zip(names, lr.coefficients.toArray())] + [("(intercept)", float(lr.intercept))]
     out = df.sparkSession.createDataFrame(rows, "variable string, coefficient double").orderBy(
@@ -131,7 +137,7 @@ def coefficient_table(model: PipelineModel, df: DataFrame, n: int | None = 12) -
 
 def importance_table(model: PipelineModel, df: DataFrame, n: int | None = 12) -> DataFrame:
     """Variance-impurity importances by slot name, largest first."""
-    names = feature_names(model, df)
+    names = feature_names(model)
     rf = model.stages[-1]
     rows = [(nm, float(v)) for nm, v in zip(names, rf.featureImportances.toArray())]
     out = df.sparkSession.createDataFrame(rows, "variable string, importance double").orderBy(
@@ -139,6 +145,22 @@ def importance_table(model: PipelineModel, df: DataFrame, n: int | None = 12) ->
     return out.limit(n) if n else out
 
 
-def compare_on_test(test: DataFrame, label: str, predictors: dict[str, DataFrame]) -> DataFrame:
-    """Metrics of several predictors on identical test rows, stacked."""
-    return stack_metrics([regression_metrics(p, label, PRED, name) for name, p in predictors.items()])
+def predictions_on(test: DataFrame, predictors: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """One frame of the test rows with a column ``pred_<name>`` for each
+    predictor, applied one after the other, so all score identical rows in one scan."""
+    out = test
+    for name, predict in predictors.items():
+        out = predict(out).select(*out.columns, F.col(PRED).alias(f"pred_{name}"))
+    return out
+
+
+def compare_on_test(test: DataFrame, label: str, predictors: dict[str, Callable[[DataFrame], DataFrame]],
+                    baseline: str | None = None) -> DataFrame:
+    """Metrics of several predictors on identical test rows, in one
+    pass; with a ``baseline`` also the % by which each RMSE differs from its."""
+    joint = predictions_on(test, predictors)
+    out = metrics_long(joint, label, {name: f"pred_{name}" for name in predictors})
+    if baseline is None:
+        return out
+    base = out.where(F.col("model") == baseline).agg(F.max("rmse")).scalar()
+    return out.withColumn("rmse_change_pct", F.lit(100.0) * (F.col("rmse") / base - F.lit(1.0)))

@@ -11,6 +11,7 @@ segmentation (and are checked against SQL with a rule-based one).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -23,6 +24,7 @@ from panelkit.functions.coerce import label_rank
 from panelkit.functions.predicates import age_band, hours_band, tenure_band
 from panelkit.ml.features import scaler
 from panelkit.operators.describe import quantiles
+from panelkit.operators.joins import null_safe_join, total
 
 SEED = 42
 
@@ -52,23 +54,27 @@ class GridResult:
     models: dict[tuple[str, int], PipelineModel]
 
 
-def kmeans_grid(df: DataFrame, feature_sets: dict[str, list[str]], ks: list[int], seed: int = SEED) -> GridResult:
-    """M7: for each feature set, fit the scaler once, cache the scaled rows,
-    fit KMeans for every K and record silhouette, WSSSE and the smallest
-    cluster share (%)."""
+def kmeans_grid(df: DataFrame, feature_sets: dict[str, list[str]], ks: list[int], seed: int = SEED,
+                parallelism: int = 4) -> GridResult:
+    """M7: for each feature set, fit the scaler once, cache the scaled vectors,
+    fit KMeans for every K (``parallelism`` fits at a time) and record
+    silhouette, WSSSE and the smallest cluster share (%)."""
     spark = df.sparkSession
     rows, models = [], {}
     for option, cols in feature_sets.items():
         prep = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_kmx"), scaler("_kmx", "features")]).fit(df)
-        scaled = prep.transform(df).persist()
+        scaled = prep.transform(df).select("features").persist()
+
+        def one(k: int, scaled=scaled):
+            km = kmeans_stage(k, seed).fit(scaled)
+            sizes = km.summary.clusterSizes
+            return k, km, float(silhouette(km.transform(scaled))), float(km.summary.trainingCost), 100.0 * min(sizes) / sum(sizes)
         try:
-            for k in ks:
-                km = kmeans_stage(k, seed).fit(scaled)
-                pred = km.transform(scaled)
-                sizes = pred.groupBy("cluster").count().agg(F.min("count"), F.sum("count")).first()
-                rows.append((option, k, float(silhouette(pred)), float(km.summary.trainingCost),
-                             100.0 * sizes[0] / sizes[1]))
-                models[(option, k)] = PipelineModel(stages=list(prep.stages) + [km])
+            scaled.count()
+            with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
+                for k, km, shape, cost, smallest in pool.map(one, ks):
+                    rows.append((option, k, shape, cost, smallest))
+                    models[(option, k)] = PipelineModel(stages=list(prep.stages) + [km])
         finally:
             scaled.unpersist()
     res = spark.createDataFrame(rows, "option string, k int, silhouette double, wssse double, smallest_pct double")
@@ -125,10 +131,9 @@ def centroids(model: PipelineModel, cols: list[str]) -> DataFrame:
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Cluster sizes and share (%), plus the smallest share."""
-    c = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()
-    return (c.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(w))
-            .withColumn("smallest_pct", F.min("pct").over(w)))
+    sizes = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
+    shares = sizes.withColumn("pct", F.lit(100.0) * F.col("n") / total(sizes, F.sum("n")))
+    return shares.withColumn("smallest_pct", total(shares, F.min("pct")))
 
 
 def cluster_profile(df: DataFrame, cluster: str, measures: list[str], wage: str, exact: bool = True) -> DataFrame:
@@ -137,12 +142,12 @@ def cluster_profile(df: DataFrame, cluster: str, measures: list[str], wage: str,
     unrounded - see ``describe.rounded`` for presentation)."""
     means = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
                                     *[F.avg(m).alias(f"{m}_mean") for m in measures + [wage]])
-    means = means.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()))
+    means = means.withColumn("pct", F.lit(100.0) * F.col("n") / total(means, F.sum("n")))
     long = df.select(cluster, *[F.col(m).cast("double") for m in measures + [wage]]).unpivot(
         [cluster], measures + [wage], "variable", "value")
     med = quantiles(long, "value", [0.5], [cluster, "variable"], exact).groupBy(cluster).agg(
         *[F.max(F.when(F.col("variable") == m, F.col("q0"))).alias(f"{m}_median") for m in measures + [wage]])
-    return means.join(med, cluster, "inner")
+    return null_safe_join(means, med, cluster)
 
 
 def composition(df: DataFrame, cluster: str, col: str, order: list[str] | None = None) -> DataFrame:
@@ -150,16 +155,22 @@ def composition(df: DataFrame, cluster: str, col: str, order: list[str] | None =
     category's display rank (given order, or alphabetical)."""
     c = df.groupBy(cluster, col).agg(F.count(F.lit(1)).alias("n"))
     c = c.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy(cluster)))
-    rank = label_rank(col, order) if order else F.dense_rank().over(Window.orderBy(col)) - 1
-    return c.withColumn("rank", rank.cast("int"))
+    if order:
+        return c.withColumn("rank", label_rank(col, order).cast("int"))
+    # a category's place in the sorted vocabulary, null first
+    vocabulary = total(c, F.array_sort(F.collect_set(col)))
+    nulls = total(c, F.max(F.col(col).isNull().cast("int")))
+    place = F.when(F.col(col).isNull(), 0).otherwise(F.array_position(vocabulary, F.col(col)) - 1 + nulls)
+    return c.withColumn("rank", place.cast("int"))
 
 
-def composition_wide(df: DataFrame, cluster: str, col: str, values: list[str]) -> DataFrame:
-    """R4 (matrix): cluster x category % with the given column order,
-    missing -> 0."""
-    c = df.groupBy(cluster).pivot(col, values).agg(F.count(F.lit(1))).fillna(0)
-    total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return c.select(cluster, *[(F.lit(100.0) * F.col(f"`{v}`") / total).alias(v) for v in values])
+def composition_wide(df: DataFrame, cluster: str, col: str, values: list[str], other: str = "other") -> DataFrame:
+    """R4 (matrix): cluster x category % of all the cluster's rows, in the
+    given column order; ``other`` holds the share of unlisted categories and nulls."""
+    n = F.count(F.lit(1))
+    listed = [F.count(F.when(F.col(col) == v, 1)) for v in values]
+    rest = F.count(F.when(F.coalesce(~F.col(col).isin(values), F.lit(True)), 1))
+    return df.groupBy(cluster).agg(*[(F.lit(100.0) * k / n).alias(v) for k, v in zip([*listed, rest], [*values, other])])
 
 
 def modal_category(comp: DataFrame, cluster: str, col: str) -> DataFrame:
@@ -170,6 +181,7 @@ def modal_category(comp: DataFrame, cluster: str, col: str) -> DataFrame:
             .select(cluster, F.col(col).alias(f"modal_{col}"), F.col("pct").alias(f"modal_{col}_pct")))
 
 
+# The sentence's fixed words and the bands' texts must equal the study's.
 def _capitalize(c):
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
 

@@ -7,10 +7,15 @@ as one WITH chain: raw -> typed -> marked -> kept -> ...
 
 from __future__ import annotations
 
-from panelkit.functions.coerce import INTEGER_PATTERN, NUMBER_PATTERN, UNKNOWN_LABEL
 from panelkit.plans.survey import SURVEY_SPEC
 from panelkit.plans.testpanel import RAW_SQL
 
+# The grammars and the fallback label, stated here once more so that a slip in
+# the code under test is not shared by its oracle.
+NUMBER_PATTERN = r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:nan|inf|infinity))$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+UNKNOWN_LABEL = "DESCONOCIDO"
+
 
 def sql_str(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"

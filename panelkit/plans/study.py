@@ -125,14 +125,12 @@ def run_study(raw: DataFrame, out: str, protocol: Protocol, ks: list[int] | None
     save_model(rf_model, f"{out}/models/random_forest")
     save("lr_coefficients", RG.coefficient_table(lr_model, dev, None))
     save("rf_importances", RG.importance_table(rf_model, dev, None))
-    save("comparison_test", RG.compare_on_test(test, TARGET, {
-        "baseline_mean": RG.mean_baseline(dev, test, TARGET),
-        "linear_regression": lr_model.transform(test),
-        "random_forest": rf_model.transform(test)}))
+    predictors = {"baseline_mean": lambda d: RG.mean_baseline(dev, d, TARGET),
+                  "linear_regression": lr_model.transform, "random_forest": rf_model.transform}
+    save("comparison_test", RG.compare_on_test(test, TARGET, predictors, "baseline_mean"))
 
     # error analysis: both models applied to the same test rows
-    joint = lr_model.transform(test).select(*test.columns, F.col(RG.PRED).alias("pred_lr"))
-    joint = rf_model.transform(joint).select(*joint.columns, F.col(RG.PRED).alias("pred_rf"))
+    joint = RG.predictions_on(test, {"lr": lr_model.transform, "rf": rf_model.transform})
     joint = ER.add_residuals(joint, TARGET, {"lr": "pred_lr", "rf": "pred_rf"})
     save("errors_by_education", ER.errors_by_group(joint, "education", ["lr", "rf"]))
     save("errors_by_domain", ER.errors_by_group(joint, "domain", ["lr", "rf"]))
