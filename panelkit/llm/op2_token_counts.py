@@ -38,7 +38,7 @@ MAX_RANKS_BYTES = 64 << 20
 #: The vocabulary's rule for splitting a text before merging (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Lengths to a bucket of the running sums.
-BUCKET = 4096
+BUCKET = 256
 
 
 @lru_cache(2)
