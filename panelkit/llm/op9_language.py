@@ -138,27 +138,29 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 @lru_cache(1)
 def transitions(texts: tuple[bytes, ...], n_symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(table, roots): the automata in one dense table. table[state, symbol] is
+    """(table, starts): the automata in one dense table. table[state, symbol] is
     the next state, or, if no phrase goes on so, the complement of the state
-    after a new phrase has begun with the symbol."""
+    after a new phrase has begun with the symbol. From a language's start
+    state every symbol begins a phrase."""
     automata = [suffix_automaton(t) for t in texts]
-    roots = np.cumsum([0] + [len(a) for a in automata])
-    table = np.empty((roots[-1], n_symbols), np.int32)
-    for a, root in zip(automata, roots):
-        fresh = np.full(n_symbols, root, np.int32)
+    # after an automaton's own states comes one that continues nothing
+    begins = np.cumsum([0] + [len(a) + 1 for a in automata])
+    table = np.empty((begins[-1], n_symbols), np.int32)
+    starts = begins[1:] - 1
+    for a, root, none in zip(automata, begins, starts):
+        fresh = np.full(n_symbols, none, np.int32)  # a symbol that the text lacks is a phrase
         for c, s in a[0].items():
             fresh[c] = root + s
-        fresh[OTHER] = root
-        table[root:root + len(a)] = ~fresh
+        table[root:none + 1] = ~fresh
         for s, nexts in enumerate(a):
             if nexts:
                 table[root + s, list(nexts)] = np.fromiter(nexts.values(), np.int32, len(nexts)) + root
-    return table.ravel(), roots[:-1].astype(np.int32)
+    return table.ravel(), starts.astype(np.int32)
 
 
-def count_phrases(docs: list[np.ndarray], table: np.ndarray, roots: np.ndarray, n_symbols: int) -> np.ndarray:
+def count_phrases(docs: list[np.ndarray], table: np.ndarray, starts: np.ndarray, n_symbols: int) -> np.ndarray:
     """Phrases needed, by document and language."""
-    out = np.zeros((len(docs), len(roots)), np.int64)
+    out = np.zeros((len(docs), len(starts)), np.int64)
     pieces = [(d, s[i:i + SEGMENT]) for d, s in enumerate(docs) for i in range(0, len(s), SEGMENT)]
     pieces.sort(key=lambda x: -len(x[1]))
     for i in range(0, len(pieces), SIDE_BY_SIDE):
@@ -167,17 +169,16 @@ def count_phrases(docs: list[np.ndarray], table: np.ndarray, roots: np.ndarray,
         grid = np.zeros((sizes[0], len(part)), np.uint8)
         for k, (_, s) in enumerate(part):
             grid[:len(s), k] = s
-        state = np.repeat(roots[:, None], len(part), 1)
-        ends = np.zeros((len(roots), len(part)), np.int32)
+        state = np.repeat(starts[:, None], len(part), 1)
+        begun = np.zeros((len(starts), len(part)), np.int32)
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
         for t in range(sizes[0]):
             n = active[t]
             s = table[state[:, :n] * n_symbols + grid[t, :n]]
             broke = s >> 31
-            ends[:, :n] -= broke
+            begun[:, :n] -= broke
             state[:, :n] = s ^ broke
-        # the first symbol of a segment continues no phrase; the last phrase has no end counted
-        np.add.at(out, [d for d, _ in part], ends.T + 1)
+        np.add.at(out, [d for d, _ in part], begun.T)
     return out
 
 
@@ -198,14 +199,14 @@ def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> Da
         n_symbols = len(alphabet) + 2
         to_symbol = symbol_table(alphabet)
         if names:
-            table, roots = transitions(texts, n_symbols)
+            table, starts = transitions(texts, n_symbols)
             bits = np.log2([len(t) + 1 for t in texts])
         for b in batches:
             docs = [symbols(t, to_symbol) if t else np.zeros(0, np.uint8) for t in b.column(0).to_pylist()]
             lettered = np.array([bool(len(s)) for s in docs], bool)
             pred, score = np.full(len(docs), "und", object), np.zeros(len(docs))
             if names and lettered.any():
-                cost = count_phrases(docs, table, roots, n_symbols) * bits
+                cost = count_phrases(docs, table, starts, n_symbols) * bits
                 best = np.argmin(cost, 1)
                 pred[lettered] = np.array(names, object)[best[lettered]]
                 if len(names) > 1:
