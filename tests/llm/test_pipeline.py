@@ -1,5 +1,7 @@
 """The pipeline against a brute-force version of its stages."""
 
+import re
+
 import corpus_pipeline as P
 from panelkit.llm import op3_secrets, op6_decontaminate, op7_mix
 
@@ -51,13 +53,13 @@ def test_stages(spark, tmpdir_path):
     rows = got
 
     _, hits = duck(op6_decontaminate.ORACLE, documents=f"{tmpdir_path}/stage1.parquet/*.parquet", benchmark=f"{tmpdir_path}/benchmark.parquet/*.parquet")
-    bad = {h[0] for h in hits if h[-1]}
+    bad = {(h[0], h[1]) for h in hits if h[-1]}  # an id may stand for two texts
     assert bad
-    rows = [r for r in rows if r[0] not in bad]
+    rows = [r for r in rows if (r[0], len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r[1]))) not in bad]
     assert key(step(2)) == key(rows) and docs.columns == columns
 
     got = {r[0]: r for r in step(3)}
-    assert sorted(got, key=repr) == sorted((r[0] for r in rows), key=repr) and docs.columns == columns
+    assert len(got) == len(rows) and sorted(got, key=repr) == sorted((r[0] for r in rows), key=repr) and docs.columns == columns
     n = 0
     for r in rows:
         base = op3_secrets.base_spans(r[1])
