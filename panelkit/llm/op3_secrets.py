@@ -58,7 +58,7 @@ BEFORE, AFTER = 3, 2
 TRAIN_DOCS, MAX_TRAIN_CHARS, WINDOW = 6000, 20_000, 48
 STEPS, RATE, PENALTY = 40, 0.2, 0.3
 PLAIN_WINDOWS, SPAN_WINDOWS, VARIANTS = 1500, 600, 3
-CACHE = 400_000
+CACHE = 150_000
 MARK = "[SECRET]"
 
 #: Feature slots of a token and their sizes; words and first letters are hashed.
@@ -330,9 +330,7 @@ class Tagger:
 
     def __init__(self, field: Field):
         self.field, self.vocabulary = field, Tokens()
-        self.near_only = field.near
         self.margin = field.margin()
-        self.signs = frozenset(SIGNS)
         self._reset()
 
     def _reset(self) -> None:

@@ -36,7 +36,7 @@ from panelkit.llm.common import carried, crc_mod, text_first
 from panelkit.llm.fitting import class_sample
 
 FOLDS, HELD_OUT = 5, 0
-DOCS_PER_LANGUAGE, MAX_TRAIN_CHARS, TRAIN_CHARS = 60, 20_000, 50_000
+DOCS_PER_LANGUAGE, MAX_TRAIN_CHARS, TRAIN_CHARS = 60, 20_000, 30_000
 #: All languages' training text together.
 MOST_CHARS = 2_000_000
 #: Symbols of the automata: the commonest letters of the training text.
@@ -142,20 +142,22 @@ def transitions(texts: tuple[bytes, ...], n_symbols: int) -> tuple[np.ndarray, n
     the next state, or, if no phrase goes on so, the complement of the state
     after a new phrase has begun with the symbol. From a language's start
     state every symbol begins a phrase."""
-    automata = [suffix_automaton(t) for t in texts]
-    # after an automaton's own states comes one that continues nothing
-    begins = np.cumsum([0] + [len(a) + 1 for a in automata])
-    table = np.empty((begins[-1], n_symbols), np.int32)
-    starts = begins[1:] - 1
-    for a, root, none in zip(automata, begins, starts):
+    blocks, starts, root = [], [], 0
+    for text in texts:  # one automaton at a time, as its dictionaries take more memory than the table
+        automaton = suffix_automaton(text)
+        none = root + len(automaton)  # the last state continues nothing
         fresh = np.full(n_symbols, none, np.int32)  # a symbol that the text lacks is a phrase
-        for c, s in a[0].items():
+        for c, s in automaton[0].items():
             fresh[c] = root + s
-        table[root:none + 1] = ~fresh
-        for s, nexts in enumerate(a):
+        block = np.tile(~fresh, (len(automaton) + 1, 1))
+        for s, nexts in enumerate(automaton):
             if nexts:
-                table[root + s, list(nexts)] = np.fromiter(nexts.values(), np.int32, len(nexts)) + root
-    return table.ravel(), starts.astype(np.int32)
+                block[s, list(nexts)] = np.fromiter(nexts.values(), np.int32, len(nexts)) + root
+        blocks.append(block)
+        starts.append(none)
+        root = none + 1
+        del automaton
+    return np.concatenate(blocks).ravel(), np.array(starts, np.int32)
 
 
 def count_phrases(docs: list[np.ndarray], table: np.ndarray, starts: np.ndarray, n_symbols: int) -> np.ndarray:
