@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelkit.functions.coerce import is_finite, to_double  # noqa: F401  (re-export)
+from panelkit.functions.coerce import to_double
 
 
 def should_answer(age_raw: str, employed_raw: str, category_raw: str) -> Column:

@@ -1,8 +1,10 @@
 """Registered queries over the test tables, each with its DuckDB oracle.
 
 Every query reads the given tables (through the raw-panel mapping) and
-runs on all their rows. ``QUERIES[name](spark, sf_dir)`` returns a lazy
-DataFrame; ``ORACLE[name]`` is the equivalent DuckDB SQL.
+runs on all their rows. ``QUERIES[name](spark, sf_dir)`` returns a DataFrame;
+building it may run jobs (the ingested and marked tables are written once for
+a session and folder, models are fitted once); ``ORACLE[name]`` is the
+equivalent DuckDB SQL.
 """
 
 from __future__ import annotations
@@ -962,7 +964,6 @@ def q_threshold(spark, sf_dir):
 # ---- segmentation -------------------------------------------------------------
 
 from panelkit.functions.predicates import age_band, hours_band, safe_log10, tenure_band  # noqa: E402
-from panelkit.plans.survey import CATEGORY_LABELS, DOMAIN_LABELS, EDUCATION_LABELS  # noqa: E402
 
 _RULE_CLUSTER_SQL = "CASE WHEN hours < 35 THEN 0 WHEN hours <= 48 THEN 1 ELSE 2 END"
 _SEG = f"seg AS (SELECT *, {_RULE_CLUSTER_SQL} AS cluster FROM kept WHERE {DEVELOP_SQL})"

@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from panelkit.functions.coerce import to_id
 from panelkit.functions.predicates import safe_log10, should_answer

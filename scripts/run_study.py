@@ -7,26 +7,23 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from panelkit.plans import queries as Q  # noqa: E402
 from panelkit.plans.study import Protocol, run_study  # noqa: E402
 from panelkit.session import local_session  # noqa: E402
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    out = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="panelkit-study-", dir="/tmp")
+    if len(sys.argv) < 3:
+        sys.exit("usage: run_study.py SF_DIR OUTPUT_FOLDER (a folder that all executors share)")
+    sf_dir, out = sys.argv[1:3]
     spark = local_session(app="panelkit-study")
-    y = F.col("period_year")
     t0 = time.time()
     written = run_study(Q.raw_store(spark, sf_dir), out,
-                        Protocol(train=y <= 1999, validate=y == 2000, develop=y <= 2000, test=y == 2001))
+                        Protocol(train=Q.years(last=1999), validate=Q.years(2000, 2000), develop=Q.years(last=2000), test=Q.years(2001, 2001)))
     print(f"{len(written)} tables in {time.time() - t0:.1f}s under {out}")
     spark.stop()
 
