@@ -1,6 +1,6 @@
 """Run the whole study on the test tables and write every report table.
 
-Usage: python scripts/run_study.py [sf_dir] [out_dir]
+Usage: python scripts/run_study.py SF_DIR OUTPUT_FOLDER
 """
 
 from __future__ import annotations
