@@ -301,9 +301,9 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, max_bits: int = MA
 
 def deduplicated(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, that with the smallest doc_id (null last);
-    of equal ids one. ``documents`` is to be a table that is read, as its rows
-    are numbered twice."""
-    numbered = documents.withColumn("__rid", F.monotonically_increasing_id())
+    of equal ids one. The numbered rows are written once: numbers of two scans
+    need not agree."""
+    numbered = saved(documents.withColumn("__rid", F.monotonically_increasing_id()), "op1-rows")
     found = near_duplicates(numbered, words, max_bits, ("doc_id", "__rid"))
     one = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__rid"))["__rid"].alias("__rid"))
     return numbered.join(one.select("__rid"), "__rid", "left_semi").select(*documents.columns)

@@ -135,8 +135,10 @@ def _runs(documents: DataFrame, bits: list[int], shapes: list[tuple[int, int]],
     return df.select(*carry, F.col("n_words").cast("long").alias("n_words"), F.concat(*parts).alias("runs"))
 
 
-def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(texts, found, windows).
+def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                numbers: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, found, windows). ``numbers`` names a column that numbers the
+    rows; without it they are numbered here.
 
     texts: a row per document (rid, doc_id, n_words, runs). found: a row for
     each place where a window occurs (rid, start, m, win), with the first
@@ -146,7 +148,8 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
     shingles = saved(_window_shingles(windows), "op6-shingles")
     shapes = [(r["k"], r["least"]) for r in  # at most SHINGLE rows
               shingles.groupBy("k").agg((F.min("m") - F.col("k") + 1).alias("least")).orderBy("k").collect()]
-    docs = documents.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
+    rid = F.monotonically_increasing_id() if numbers is None else F.col(numbers)
+    docs = documents.select("doc_id", "text", rid.alias("rid"))
     texts = saved(_runs(docs, _bitmap(shingles), shapes or [(SHINGLE, 1)], ["rid", "doc_id"]), "op6-runs")
 
     runs = texts.where(F.size("runs") > 0).select("rid", "n_words", F.explode("runs").alias("r"))
@@ -192,10 +195,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without any window. ``documents`` is to be a table that
-    is read, as its rows are numbered twice."""
-    numbered = documents.withColumn("__rid", F.monotonically_increasing_id())
-    _, found, _ = occurrences(documents, benchmark, window)
+    """The documents without any window. The numbered rows are written once:
+    numbers of two scans need not agree."""
+    numbered = saved(documents.withColumn("__rid", F.monotonically_increasing_id()), "op6-rows")
+    _, found, _ = occurrences(numbered, benchmark, window, "__rid")
     hit = saved(found.select(F.col("rid").alias("__rid")).distinct(), "op6-hit")
     return numbered.join(hit, "__rid", "left_anti").select(*documents.columns)
 

@@ -68,16 +68,31 @@ def planned(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, key, payload, digest, top): top holds the id and key
     of the response that a revisit names. The best of a group of equal payloads
     is a partial aggregate, so copies are not gathered; the pages join it on
-    their digest, a join that Spark can split where a digest is frequent."""
+    their digest, a join that Spark can split where a digest is frequent.
+
+    The response is known by its content, not by a row number, which two scans
+    need not agree on. If rows are equal to it throughout, one of them is the
+    response and the others, all alike, are counted and made revisits."""
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    p = pages.select("page_id", "url", payload.alias("payload"), F.monotonically_increasing_id().alias("rid")).select(
-        "page_id", "url", surt(F.col("url")).alias("key"), "payload", F.sha1("payload").alias("digest"), F.length("payload").alias("size"), "rid")
-    first = (p.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size")
-             .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.col("page_id").alias("id"), "rid", "key")).alias("top"))
+    p = pages.select("page_id", "url", payload.alias("payload")).select(
+        "page_id", "url", surt(F.col("url")).alias("key"), "payload", F.sha1("payload").alias("digest"), F.length("payload").alias("size"))
+    first = (p.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size", "page_id", "url", "key").agg(F.count(F.lit(1)).alias("rows"))
+             .groupBy("digest", "size").agg(F.sum("rows").alias("n"), F.max(F.struct(F.col("page_id").alias("id"), "url", "key", "rows")).alias("top"))
              .where("n > 1").select(F.col("digest").alias("d"), F.col("size").alias("s"), "top"))
-    joined = p.join(first, (p["digest"] == F.col("d")) & (p["size"] == F.col("s")), "left")
-    top = F.when(F.col("top.rid") != F.col("rid"), F.struct(F.col("top.id").alias("id"), F.col("top.key").alias("key")))
-    return joined.select("page_id", "url", "key", "payload", "digest", top.alias("top"))
+    first = saved(first, "op8-first")
+    named = F.struct(F.col("top.id").alias("id"), F.col("top.key").alias("key"))
+    same = (p["digest"] == F.col("d")) & (p["size"] == F.col("s"))
+    is_top = F.col("page_id").eqNullSafe(F.col("top.id")) & F.col("url").eqNullSafe(F.col("top.url"))
+    joined = p.join(first, same, "left")
+    alone = (joined.where(F.col("d").isNull() | ~is_top | (F.col("top.rows") == 1))
+             .select("page_id", "url", "key", "payload", "digest", F.when(F.col("d").isNotNull() & ~is_top, named).alias("top")))
+    # rows equal to the response: equal payloads, so the greatest is any of them
+    equal = (p.join(first.where("top.rows > 1"), same & is_top).groupBy("digest", "size", "top")
+             .agg(F.max("payload").alias("payload")).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("top.rows"))).alias("i")))
+    equal = equal.select(F.col("top.id").alias("page_id"), F.col("top.url").alias("url"), F.col("top.key").alias("key"),
+                         F.when(F.col("i") == 1, F.col("payload")).otherwise(F.lit("").cast("binary")).alias("payload"),
+                         "digest", F.when(F.col("i") > 1, named).alias("top"))
+    return alone.unionByName(equal)
 
 
 def _open(uri: str):

@@ -5,7 +5,7 @@ import xxhash
 from panelkit.llm import op1_simhash as op
 
 from ..conftest import SMALL
-from .helpers import awkward, documents
+from .helpers import awkward, documents, words
 
 
 def brute_fp(text, words=4):
@@ -109,3 +109,19 @@ def test_one_row_of_each_group_stays(spark, tmpdir_path):
     for d, _, _, root in comps:
         best[root] = min(best.get(root, (True, 0)), (d is None, d or 0))
     assert sorted((r["doc_id"] for r in left), key=repr) == sorted((None if n else d for n, d in best.values()), key=repr)
+
+
+def test_rows_are_known_however_scans_pack_files(spark, tmpdir_path):
+    """The split size follows the session's cores, which may change between two scans."""
+    path = f"{tmpdir_path}/d.parquet"
+    documents(spark, [(i, f"{words(40, i % 20)}", "en", "a", 1) for i in range(40)], clashing=False).repartition(8).write.parquet(path)
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(names[0], "1")
+        left = op.deduplicated(spark.read.parquet(path))
+        spark.conf.set(names[0], "64")
+        spark.conf.set(names[1], "1")
+        assert sorted(r["doc_id"] for r in left.collect()) == list(range(20))
+    finally:
+        for name in names:
+            spark.conf.unset(name)

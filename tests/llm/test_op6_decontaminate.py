@@ -62,6 +62,23 @@ def test_clean_documents_stay(spark, tmpdir_path):
     assert sorted([r["doc_id"] for r in left.collect()], key=repr) == sorted(keep, key=repr)
 
 
+def test_rows_are_known_however_scans_pack_files(spark, tmpdir_path):
+    """The split size follows the session's cores, which may change between two scans."""
+    path = f"{tmpdir_path}/d.parquet"
+    rows = [(i, f"{words(30, 100 + i)} {words(14, 77) if i % 2 else ''}", "en", "a", 1) for i in range(40)]
+    documents(spark, rows, clashing=False).repartition(8).write.parquet(path)
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(names[0], "1")
+        left = op.clean_documents(spark.read.parquet(path), bench(spark, [(1, words(14, 77))]))
+        spark.conf.set(names[0], "64")
+        spark.conf.set(names[1], "1")
+        assert sorted(r["doc_id"] for r in left.collect()) == list(range(0, 40, 2))
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 def test_main_path_has_no_python(spark):
     plan = op.decontaminate(documents(spark), bench(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

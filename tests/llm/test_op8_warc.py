@@ -73,5 +73,19 @@ def test_damage_is_noticed(spark):
         pass
 
 
+def test_plan_holds_no_row_number(spark):
+    """Two scans of a table may number its rows differently."""
+    plan = op.planned(pages(spark))._jdf.queryExecution().toString()
+    assert "monotonically_increasing_id" not in plan
+
+
+def test_repeated_rows_of_a_response(spark):
+    rows = [(7, "http://x.example.org/", BIG)] * 5 + [(7, None, BIG), (3, "http://x.example.org/", BIG)]
+    got = op.planned(pages(spark, rows)).collect()
+    assert sorted((r["page_id"], r["url"] or "") for r in got) == sorted((i, u or "") for i, u, _ in rows)
+    assert [bytes(r["payload"]) for r in got if r["top"] is None] == [BIG.encode()]
+    assert {(r["top"]["id"], r["top"]["key"]) for r in got if r["top"]} == {(7, "org,example,x)/")}
+
+
 def test_empty(spark):
     assert op.digest(op.round_trip(pages(spark, []))).count() == 0
