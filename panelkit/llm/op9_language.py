@@ -4,7 +4,9 @@ For each language a suffix automaton of labelled text is built. A document is
 parsed from left to right into the longest phrases that occur in a
 language's text; the language that needs the fewest phrases, each costing the
 logarithm of its text's length, wins. Texts are reduced to lower-case letters
-with single blanks between words, for training and parsing alike.
+with single blanks between words, for training and parsing alike. Every letter
+of the training texts is a symbol of its own; a letter that no language's text
+has is a phrase in each of them.
 
 Training takes a bounded sample: about DOCS_PER_LANGUAGE documents of at most
 MAX_TRAIN_CHARS characters for each language, outside the held-out fold, and
@@ -15,7 +17,8 @@ characters that are parsed side by side (a cut adds a phrase to every
 language alike).
 
 Score: the winner's margin, 1 - cost / cost of the second (1 with a single
-language). Defined cases: a null text, or one without a letter, is ``und``
+language). A text of which no letter was learned goes to the language of the
+shortest training text. Defined cases: a null text, or one without a letter, is ``und``
 with score 0, as is every text if nothing could be learned; ties go to the
 language first in order; a null doc_id has the crc32 of empty text; repeated
 rows give a row each; an empty table gives no rows; columns other than
@@ -39,10 +42,11 @@ FOLDS, HELD_OUT = 5, 0
 DOCS_PER_LANGUAGE, MAX_TRAIN_CHARS, TRAIN_CHARS = 60, 20_000, 30_000
 #: All languages' training text together.
 MOST_CHARS = 2_000_000
-#: Symbols of the automata: the commonest letters of the training text.
-MOST_SYMBOLS = 250
+#: Transitions by the commonest symbols are kept in one dense table of at most
+#: so many symbols and cells, the others sorted by state and symbol. It changes speed alone.
+DENSE_SYMBOLS, DENSE_CELLS = 252, 1 << 26
 SEGMENT, SIDE_BY_SIDE = 1024, 4096
-#: Symbols: 0 blank, 1 a letter outside the alphabet (never matched), 2.. letters.
+#: Symbols: 0 blank, 1 a letter of no training text (never matched), 2.. letters, commonest first.
 BLANK, OTHER = 0, 1
 
 
@@ -89,9 +93,10 @@ class Languages:
             for c, k in zip(cp.tolist(), n.tolist()):
                 if c:
                     seen[c] = seen.get(c, 0) + k
-        self.alphabet = tuple(sorted(sorted(seen, key=lambda c: (-seen[c], c))[:MOST_SYMBOLS]))
+        self.alphabet = tuple(sorted(seen, key=lambda c: (-seen[c], c)))
         table = symbol_table(self.alphabet)
-        trained = [(n, symbols(t, table).astype(np.uint8).tobytes()) for n, t in zip(names, cut)]
+        # a character for each symbol: hashable, and no larger than its symbols need
+        trained = [(n, "".join(map(chr, symbols(t, table).tolist()))) for n, t in zip(names, cut)]
         trained = [(n, t) for n, t in trained if t]
         self.names, self.texts = tuple(n for n, _ in trained), tuple(t for _, t in trained)
 
@@ -99,14 +104,16 @@ class Languages:
 @lru_cache(2)
 def symbol_table(alphabet: tuple[int, ...]) -> np.ndarray:
     lower = _letters()
-    of = np.full(0x110000, OTHER, np.uint8)
+    of = np.full(0x110000, OTHER, np.min_scalar_type(len(alphabet) + 1))
     of[0] = BLANK
     of[list(alphabet)] = np.arange(2, len(alphabet) + 2)
     return of[lower]
 
 
-def suffix_automaton(text: bytes) -> list[dict[int, int]]:
+def suffix_automaton(text: bytes | str) -> list[dict[int, int]]:
     """The transitions of the least automaton of a text's substrings, state 0 first."""
+    if isinstance(text, str):
+        text = [ord(c) for c in text]
     nexts: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -136,31 +143,75 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return nexts
 
 
+class Automata:
+    """The transitions of several automata. step() gives the next state, or, if
+    no phrase goes on so, the complement of the state after a new phrase has
+    begun with the symbol. From a language's start state every symbol begins a
+    phrase."""
+
+    def __init__(self, texts: tuple[bytes | str, ...], n_symbols: int):
+        states = sum(2 * len(t) + 2 for t in texts)
+        self.n_symbols = n_symbols
+        self.width = min(n_symbols, DENSE_SYMBOLS, max(1, DENSE_CELLS // max(1, states)))
+        blocks, roots, starts, keys, nexts, root = [], [], [], [], [], 0
+        for text in texts:  # one automaton at a time, as its dictionaries take more memory than the table
+            automaton = suffix_automaton(text)
+            none = root + len(automaton)  # the last state continues nothing
+            fresh = np.full(self.width, none, np.int32)  # a symbol that the text lacks is a phrase
+            for c, s in automaton[0].items():
+                if c < self.width:
+                    fresh[c] = root + s
+            block = np.tile(~fresh, (len(automaton) + 1, 1))
+            far: list[tuple[int, int]] = []
+            for s, to in enumerate(automaton):
+                if to and max(to) >= self.width:
+                    far += [((root + s) * n_symbols + c, root + x) for c, x in to.items() if c >= self.width]
+                    to = {c: x for c, x in to.items() if c < self.width}
+                if to:
+                    block[s, list(to)] = np.fromiter(to.values(), np.int32, len(to)) + root
+            blocks.append(block)
+            pairs = np.array(far, np.int64).reshape(-1, 2)
+            pairs = pairs[np.argsort(pairs[:, 0])]  # states rise from text to text, so all keys are sorted
+            keys.append(pairs[:, 0])
+            nexts.append(pairs[:, 1].astype(np.int32))
+            roots.append(root)
+            starts.append(none)
+            root = none + 1
+            del automaton
+        self.dense = np.concatenate(blocks).ravel()
+        self.keys = np.concatenate([*keys, [np.iinfo(np.int64).max]])  # one key that is never asked for
+        self.nexts = np.concatenate([*nexts, [0]]).astype(np.int32)
+        self.roots, self.starts = np.array(roots, np.int64), np.array(starts, np.int32)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """By language and text: ``state`` (languages, texts), ``symbol`` (texts)."""
+        if self.width == self.n_symbols:
+            return self.dense[state * self.width + symbol]
+        rare = np.flatnonzero(symbol >= self.width)
+        out = self.dense[state * self.width + np.where(symbol < self.width, symbol, 0)]
+        if len(rare):
+            out[:, rare] = self._rare(state[:, rare], symbol[rare].astype(np.int64))
+        return out
+
+    def _rare(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        want = state.astype(np.int64) * self.n_symbols + symbol
+        at = np.searchsorted(self.keys, want)
+        # no phrase goes on: begin one with the symbol, if the language's text has it
+        symbol, of = np.unique(symbol, return_inverse=True)
+        first = self.roots[:, None] * self.n_symbols + symbol
+        begin = np.searchsorted(self.keys, first)
+        fresh = np.where(self.keys[begin] == first, self.nexts[begin], self.starts[:, None])
+        return np.where(self.keys[at] == want, self.nexts[at], ~fresh[:, of])
+
+
 @lru_cache(1)
-def transitions(texts: tuple[bytes, ...], n_symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(table, starts): the automata in one dense table. table[state, symbol] is
-    the next state, or, if no phrase goes on so, the complement of the state
-    after a new phrase has begun with the symbol. From a language's start
-    state every symbol begins a phrase."""
-    blocks, starts, root = [], [], 0
-    for text in texts:  # one automaton at a time, as its dictionaries take more memory than the table
-        automaton = suffix_automaton(text)
-        none = root + len(automaton)  # the last state continues nothing
-        fresh = np.full(n_symbols, none, np.int32)  # a symbol that the text lacks is a phrase
-        for c, s in automaton[0].items():
-            fresh[c] = root + s
-        block = np.tile(~fresh, (len(automaton) + 1, 1))
-        for s, nexts in enumerate(automaton):
-            if nexts:
-                block[s, list(nexts)] = np.fromiter(nexts.values(), np.int32, len(nexts)) + root
-        blocks.append(block)
-        starts.append(none)
-        root = none + 1
-        del automaton
-    return np.concatenate(blocks).ravel(), np.array(starts, np.int32)
-
-
-def count_phrases(docs: list[np.ndarray], table: np.ndarray, starts: np.ndarray, n_symbols: int) -> np.ndarray:
+def transitions(texts: tuple[bytes | str, ...], n_symbols: int) -> tuple[Automata, np.ndarray]:
+    """(automata, starts)."""
+    automata = Automata(texts, n_symbols)
+    return automata, automata.starts
+
+
+def count_phrases(docs: list[np.ndarray], table: Automata, starts: np.ndarray, n_symbols: int) -> np.ndarray:
     """Phrases needed, by document and language."""
     out = np.zeros((len(docs), len(starts)), np.int64)
     pieces = [(d, s[i:i + SEGMENT]) for d, s in enumerate(docs) for i in range(0, len(s), SEGMENT)]
@@ -168,7 +219,7 @@ def count_phrases(docs: list[np.ndarray], table: np.ndarray, starts: np.ndarray,
     for i in range(0, len(pieces), SIDE_BY_SIDE):
         part = pieces[i:i + SIDE_BY_SIDE]
         sizes = np.array([len(s) for _, s in part])
-        grid = np.zeros((sizes[0], len(part)), np.uint8)
+        grid = np.zeros((sizes[0], len(part)), np.min_scalar_type(n_symbols))
         for k, (_, s) in enumerate(part):
             grid[:len(s), k] = s
         state = np.repeat(starts[:, None], len(part), 1)
@@ -176,7 +227,7 @@ def count_phrases(docs: list[np.ndarray], table: np.ndarray, starts: np.ndarray,
         active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
         for t in range(sizes[0]):
             n = active[t]
-            s = table[state[:, :n] * n_symbols + grid[t, :n]]
+            s = table.step(state[:, :n], grid[t, :n])
             broke = s >> 31
             begun[:, :n] -= broke
             state[:, :n] = s ^ broke
@@ -204,7 +255,7 @@ def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> Da
             table, starts = transitions(texts, n_symbols)
             bits = np.log2([len(t) + 1 for t in texts])
         for b in batches:
-            docs = [symbols(t, to_symbol) if t else np.zeros(0, np.uint8) for t in b.column(0).to_pylist()]
+            docs = [symbols(t, to_symbol) if t else to_symbol[:0] for t in b.column(0).to_pylist()]
             lettered = np.array([bool(len(s)) for s in docs], bool)
             pred, score = np.full(len(docs), "und", object), np.zeros(len(docs))
             if names and lettered.any():

@@ -30,6 +30,39 @@ def test_phrases_are_the_longest_matches():
             assert row.tolist() == [brute_phrases(bytes(d), t) for t in trained]
 
 
+def test_rare_symbols_give_the_longest_matches_too(monkeypatch):
+    rng = np.random.default_rng(2)
+    for width in (1, 3, 5):
+        monkeypatch.setattr(op, "DENSE_SYMBOLS", width)
+        trained = [bytes(rng.integers(2, 6 + k, 200, dtype=np.uint8)) for k in range(3)]
+        docs = [rng.integers(0, 10, int(rng.integers(0, 300)), dtype=np.uint8) for _ in range(20)]
+        automata = op.Automata(tuple(trained), 10)
+        got = op.count_phrases(docs, automata, automata.starts, 10)
+        for d, row in zip(docs, got):
+            assert row.tolist() == [brute_phrases(bytes(d), t) for t in trained]
+
+
+def test_each_letter_of_a_large_alphabet_is_told_apart(spark):
+    """Two languages of common letters, two that share a script of 2,000 letters in other words."""
+    rng = np.random.default_rng(3)
+    han = [chr(0x4E00 + i) for i in range(2000)]
+    lexicon = {n: ["".join(rng.choice(han, 3)) for _ in range(700)] for n in ("x", "y")}
+    latin = {"a": "the of hill river stone".split(), "b": "le mot avec papier vert".split()}
+    rows, n = [], 0
+    for _ in range(40):
+        for name, ws in {**latin, **lexicon}.items():
+            n += 1
+            rows.append((n, " ".join(rng.choice(ws, 150 if name in latin else 60)), name, "s", 1))
+    languages = op.train(documents(spark, rows))
+    assert len(languages.alphabet) > 1500
+    table = op.symbol_table(languages.alphabet)
+    assert all(op.OTHER not in map(ord, t) for t in languages.texts)
+    assert op.symbols("".join(han[:5]) + "ж", table)[-1] == op.OTHER
+    held = [r for r in op.digest(documents(spark, rows)).collect() if r["held_out"]]
+    lang = {r[0]: r[2] for r in rows}
+    assert held and all(r["lang_pred"] == lang[r["doc_id"]] for r in held)
+
+
 def test_segments_add_at_most_one_phrase_each(monkeypatch):
     rng = np.random.default_rng(1)
     trained = bytes(rng.integers(2, 5, 400, dtype=np.uint8))
