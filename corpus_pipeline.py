@@ -4,7 +4,8 @@ Every stage works on all rows its predecessor kept, and is written as Parquet
 and read again. All but the last return the columns of documents:
 
 1. language_id: documents without a language (null texts, texts without a
-   letter) are rejected; the others stay with the columns they had.
+   letter) are rejected; the others stay with the columns they had, also if no
+   language could be learned.
 2. near_dedup: SimHash near-duplicates; the document with the smallest doc_id
    of each group stays.
 3. decontaminate: documents that hold a benchmark window go.
@@ -26,7 +27,7 @@ from panelkit.llm.common import saved, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     got = op9_language.identify(docs, op9_language.train(docs), docs.columns)
-    return got.where(F.col("lang_pred") != "und").select(*docs.columns)
+    return got.where("__lettered").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,11 +16,18 @@ def _picked(key: Column, share: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(STEPS)) < share * STEPS
 
 
+def excerpt(key: Column, max_chars: int) -> Column:
+    """The text, or ``max_chars`` characters of a longer one, from a place hashed from the key."""
+    text, n = F.col("text"), F.length("text")
+    at = F.pmod(F.xxhash64(key, F.lit("excerpt")), F.greatest(n - max_chars + 1, F.lit(1))) + 1
+    return F.when(n > max_chars, text.substr(at.cast("int"), F.lit(max_chars))).otherwise(text)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, per_class: int, max_chars: int,
                     folds: int = 3, held_out: int = 1) -> pd.DataFrame:
     """Rows (doc_id, text, y) of at most about ``per_class`` ids of either
     class (0, 1), picked by a hash of the id from the labels outside the held-out
-    fold; texts longer than ``max_chars``, empty or null ones are passed over. Only
+    fold; of a text longer than ``max_chars`` an excerpt, empty or null ones are passed over. Only
     the ids, bounded so, are broadcast; a repeated id counts once."""
     known = (labels.select("doc_id", F.col(column).alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (crc_mod(F.col("doc_id"), folds) != held_out))
@@ -30,8 +37,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, per_cl
     for y, count in n.items():
         share = F.when(F.col("y") == y, min(1.0, per_class / count)).otherwise(share)
     ids = known.where(_picked(F.col("doc_id"), share))
-    fit = F.col("text").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars)
+    fit = F.col("text").isNotNull() & (F.length("text") > 0)
     rows = (documents.select("doc_id", "text").where(fit).join(F.broadcast(ids), "doc_id")
+            .withColumn("text", excerpt(F.col("doc_id"), max_chars))
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")))
     out = rows.toPandas()
     return out.sort_values("doc_id").reset_index(drop=True)
@@ -39,13 +47,15 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, per_cl
 
 def class_sample(documents: DataFrame, column: str, per_class: int, max_chars: int, folds: int, held_out: int) -> pd.DataFrame:
     """Rows (doc_id, text, y) of at most about ``per_class`` documents of each
-    value of ``column``, which the documents carry, outside the held-out fold."""
-    fit = (F.col("y").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars)
+    value of ``column``, which the documents carry, outside the held-out fold;
+    of a text longer than ``max_chars`` an excerpt."""
+    fit = (F.col("y").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)
            & (crc_mod(F.col("doc_id"), folds) != held_out))
     docs = documents.select("doc_id", "text", F.col(column).alias("y")).where(fit)
     shares = (docs.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
               .select("y", F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("n")).alias("share")))
     rows = (docs.join(F.broadcast(shares), "y").where(_picked(F.coalesce("doc_id", F.lit(-1)), F.col("share")))
+            .withColumn("text", excerpt(F.coalesce("doc_id", F.lit(-1)), max_chars))
             .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
     out = rows.select("doc_id", "text", "y").toPandas()
     return out.sort_values(["y", "doc_id"]).reset_index(drop=True)

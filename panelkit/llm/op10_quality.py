@@ -8,7 +8,8 @@ under the good dictionary (repetition compresses with both) and the inverse
 length turns it into a calibrated score.
 
 Both are fitted on a bounded sample: about PER_CLASS labelled ids of either
-class outside the held-out fold, texts of at most MAX_TRAIN_CHARS characters;
+class outside the held-out fold, of a text longer than MAX_TRAIN_CHARS
+characters so many from a hashed place;
 every other one builds the dictionaries, the rest calibrate. The dictionaries
 and four weights are all that is broadcast. Whole texts are scored, and doc_id,
 lang, source and labels are no inputs.

@@ -15,8 +15,8 @@ and I by more than any transitions can make good is O in the best path, so
 the path is computed run by run between such tokens.
 
 Training: no table marks secrets, so the base spans of about TRAIN_DOCS
-documents (picked by a hash of the id, texts of at most MAX_TRAIN_CHARS
-characters) are the labels. Windows of WINDOW tokens around spans, and one of
+documents (picked by a hash of the id; of a text longer than MAX_TRAIN_CHARS
+characters so many from a hashed place) are the labels. Windows of WINDOW tokens around spans, and one of
 each of at most PLAIN_WINDOWS documents without spans, are fitted by gradient
 ascent of the penalised likelihood (forward-backward). So that the field
 learns shapes and neighbours, not the corpus's favourite length, each window
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import carried, text_first
-from panelkit.llm.fitting import _picked
+from panelkit.llm.fitting import _picked, excerpt
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -416,11 +416,11 @@ def all_spans(base: list[Span], added: list[Span]) -> list[Span]:
 
 
 def train(documents: DataFrame) -> Field:
-    fit_ = F.col("text").isNotNull() & (F.length("text") <= MAX_TRAIN_CHARS) & F.col("doc_id").isNotNull()
+    fit_ = F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     docs = documents.select("doc_id", "text").where(fit_)
     n = documents.count()
     rows = (docs.where(_picked(F.col("doc_id"), F.lit(min(1.0, TRAIN_DOCS / max(1, n)))))
-            .groupBy("doc_id").agg(F.min("text").alias("text"))).toPandas().sort_values("doc_id")
+            .withColumn("text", excerpt(F.col("doc_id"), MAX_TRAIN_CHARS)).groupBy("doc_id").agg(F.min("text").alias("text"))).toPandas().sort_values("doc_id")
     return fit(rows["text"].tolist())
 
 

@@ -19,7 +19,8 @@ score is a logistic function of the logarithms of the summed weights and of
 the heaviest window of CONTEXT tokens, and of the weight per token.
 
 Both are fitted on about PER_CLASS labelled ids of either class outside the
-held-out fold (texts of at most MAX_TRAIN_CHARS characters). Whole texts are
+held-out fold (of a text longer than MAX_TRAIN_CHARS characters so many from
+a hashed place). Whole texts are
 scored; labels, lang, source and doc_id are no inputs.
 
 Defined cases: null and empty texts have no hits and get the score of none;

@@ -8,8 +8,9 @@ with single blanks between words, for training and parsing alike. Every letter
 of the training texts is a symbol of its own; a letter that no language's text
 has is a phrase in each of them.
 
-Training takes a bounded sample: about DOCS_PER_LANGUAGE documents of at most
-MAX_TRAIN_CHARS characters for each language, outside the held-out fold, and
+Training takes a bounded sample: about DOCS_PER_LANGUAGE documents for each
+language, outside the held-out fold (of a text longer than MAX_TRAIN_CHARS
+characters so many from a hashed place), and
 of them the first TRAIN_CHARS characters (fewer if there are many languages).
 The automata are built by each Python worker from that text, which is all
 that is broadcast. Every text is parsed whole, in segments of SEGMENT
@@ -242,7 +243,8 @@ def train(documents: DataFrame, column: str = "lang") -> Languages:
 
 
 def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> DataFrame:
-    """``carry`` columns with lang_pred and score for each document row."""
+    """``carry`` columns with lang_pred, score and __lettered (the text has a
+    letter, whatever was learned) for each document row."""
     docs, schema = text_first(documents, carry)
     names, texts, alphabet = languages.names, languages.texts, languages.alphabet
     kept = documents.sparkSession.sparkContext.broadcast((names, texts, alphabet))
@@ -268,9 +270,9 @@ def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> Da
                 else:
                     margin = np.ones(len(docs))
                 score[lettered] = np.clip(margin, 0, 1)[lettered]
-            yield pa.RecordBatch.from_arrays([*carried(b, carry), pa.array(pred, pa.string()), pa.array(score)],
-                                             [*carry, "lang_pred", "score"])
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+            yield pa.RecordBatch.from_arrays([*carried(b, carry), pa.array(pred, pa.string()), pa.array(score), pa.array(lettered)],
+                                             [*carry, "lang_pred", "score", "__lettered"])
+    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double, __lettered boolean")
 
 
 def digest(documents: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import numpy as np
 from panelkit.llm import op9_language as op
 
 from ..conftest import SMALL
-from .helpers import awkward, documents
+from .helpers import awkward, documents, words
 
 
 def brute_phrases(text, trained):
@@ -97,6 +97,21 @@ def test_awkward_rows(spark):
     assert by[3] == by[4] == by[5] == by[7] == {"und"} and "und" not in by[9] | by[6]
 
 
+def test_language_of_long_texts_alone_is_learned(spark):
+    rows = [(i, words(5000, i) if i % 2 else "le mot avec papier vert " * 30, "en" if i % 2 else "fr", "a", 1) for i in range(30)]
+    assert all(len(r[1]) > op.MAX_TRAIN_CHARS for r in rows if r[2] == "en")
+    got = op.digest(documents(spark, rows)).collect()
+    assert all(r["lang_pred"] == ("en" if r["doc_id"] % 2 else "fr") for r in got)
+
+
+def test_stage_keeps_lettered_texts_if_nothing_was_learned(spark):
+    import corpus_pipeline
+    none = [(i, t, None, s, n) for i, t, _, s, n in awkward()]
+    left = corpus_pipeline.language_id(spark, documents(spark, none, clashing=False), "")
+    want = [r[0] for r in none if r[1] and any(c.isalpha() for c in r[1])]
+    assert sorted([r["doc_id"] for r in left.collect()], key=repr) == sorted(want, key=repr)
+
+
 def test_nothing_learned_and_empty(spark):
     none = [(i, t, None, s, n) for i, t, _, s, n in awkward()]
     got = op.digest(documents(spark, none)).collect()
