@@ -7,8 +7,8 @@ their own. A token's score has its own shape (character classes, length, hex
 or digit runs, changes of class, digit share, distinct characters, word, first
 letters), the shapes and words of the three tokens before and two after, and
 features of the file (length, share of signs, share of tokens with digits).
-Spans that the field finds beside the base spans are added as kind crf, if
-their text has at least LEAST_ADDED characters.
+Spans that the field finds are added as kind crf, if their text has at least
+LEAST_ADDED characters and no base span holds all of it; they may meet base spans.
 
 Decoding is Viterbi's, exact, over whole texts. A token at which O beats B
 and I by more than any transitions can make good is O in the best path, so
@@ -410,8 +410,8 @@ class Tagger:
 
 
 def all_spans(base: list[Span], added: list[Span]) -> list[Span]:
-    """The base spans, and those added that meet none and are long enough."""
-    extra = [s for s in added if s.end - s.start >= LEAST_ADDED and not any(s.start < b.end and b.start < s.end for b in base)]
+    """The base spans, and those added that lie within none and are long enough."""
+    extra = [s for s in added if s.end - s.start >= LEAST_ADDED and not any(b.start <= s.start and s.end <= b.end for b in base)]
     return sorted(base + extra, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 

@@ -89,6 +89,16 @@ def test_redaction():
     assert op.redacted(text, op.base_spans(text)) == 'a token = "[SECRET]" b [SECRET].'
 
 
+def test_a_secret_beyond_the_base_pattern_goes_whole():
+    text = "a password=hunter2hunter2!Pa$$w0rd b ABCXYZ0123456789abcdefQRS c token = abcdefghijklmnop"
+    base = op.base_spans(text)
+    tokens = [text.index(t) for t in ("hunter2", "ABCXYZ", "abcdefghijklmnop")]
+    added = [op.Span(i, i + len(text[i:].split()[0]), "crf", i) for i in tokens]
+    spans = op.all_spans(base, added)
+    assert set(base) <= set(spans) and [s for s in spans if s.kind == "crf"] == added[:2]
+    assert op.redacted(text, spans) == "a password=[SECRET] b [SECRET] c token = [SECRET]"
+
+
 def test_tokens_keep_their_places():
     for t in [r[1] for r in text_rows() if r[1]]:
         toks = op.tokens_of(t)
