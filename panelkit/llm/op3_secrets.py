@@ -16,8 +16,10 @@ the path is computed run by run between such tokens.
 
 Training: no table marks secrets, so the base spans of about TRAIN_DOCS
 documents (picked by a hash of the id; of a text longer than MAX_TRAIN_CHARS
-characters so many from a hashed place) are the labels. Windows of WINDOW tokens around spans, and one of
-each of at most PLAIN_WINDOWS documents without spans, are fitted by gradient
+characters so many from a hashed place) are the labels. Windows of WINDOW tokens around at most SPAN_WINDOWS
+spans, picked by a hash of text and place from all of the sample, and one of
+each of at most PLAIN_WINDOWS documents without spans, by a hash of the text,
+are fitted by gradient
 ascent of the penalised likelihood (forward-backward). So that the field
 learns shapes and neighbours, not the corpus's favourite length, each window
 around a span is also shown VARIANTS times with another secret in its place
@@ -125,7 +127,7 @@ def _bucket(n: int, edges: tuple[int, ...]) -> int:
 def token_features(t: str) -> tuple[int, ...]:
     """A token's feature in each slot."""
     mask, last, changes, digits = 0, 0, 0, 0
-    for ch in t[:256]:  # shape only; the token's length counts whole
+    for ch in t:
         o = ord(ch)
         c = _CLASS[o] if o < 128 else 16
         mask |= c
@@ -134,11 +136,11 @@ def token_features(t: str) -> tuple[int, ...]:
         digits += c == 4
     n = len(t)
     size = _bucket(n, LENGTHS)
-    seen = min(n, 256)
-    chars = set(t[:256])
+    chars = set(t)
     run = 1 + min(size, 12) if mask == 4 else 14 + min(size, 13) if chars <= _HEX_CHARS else 0
-    share = 0 if not digits else 5 if digits == seen else 1 + min(3, 4 * digits // seen)
-    distinct = min(5, 6 * len(chars) // seen) if seen > 4 else 0
+    share = 0 if not digits else 5 if digits == n else 1 + min(3, 4 * digits // n)
+    # of so many characters as a token of 256 would have: a long one repeats its letters
+    distinct = min(5, 6 * len(chars) // min(n, 256)) if n > 4 else 0
     word = zlib.crc32(t.lower().encode("utf-8", "replace")) % 1023 + 1 if n <= 10 and not digits else 0
     first = zlib.crc32(t[:3].encode("utf-8", "replace")) % 255 + 1 if n >= 8 and (digits or mask & 10) else 0
     slots = (mask, size, run, min(6, _bucket(changes, (1, 2, 3, 5, 9, 16))), share, distinct, word, first)
@@ -230,14 +232,22 @@ def _variant(tokens: list[str], tags: list[int], variant: int, seed: int) -> tup
     return [other(t) if g == 1 else t for t, g in zip(tokens, tags)], tags
 
 
+def _seed(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace"))
+
+
 def fit(texts: list[str]) -> Field:
     """The field of the texts' base spans."""
     vocabulary = Tokens()
     ids, tags, docs = [], [], []
-    n_plain = n_span = 0
-    for text in texts:
-        spans = base_spans(text)
-        if (n_span if spans else n_plain) >= (SPAN_WINDOWS if spans else PLAIN_WINDOWS):
+    texts = sorted(texts, key=_seed)
+    found = [base_spans(text) for text in texts]
+    places = [(zlib.crc32(b"%d" % s.start, _seed(text)), k, i) for k, text in enumerate(texts) for i, s in enumerate(found[k])]
+    picked = {(k, i) for _, k, i in sorted(places)[:SPAN_WINDOWS]}
+    n_plain = 0
+    for k, (text, spans) in enumerate(zip(texts, found)):
+        shown_spans = {i for i in range(len(spans)) if (k, i) in picked}
+        if spans and not shown_spans or not spans and n_plain >= PLAIN_WINDOWS:
             continue
         toks = tokens_of(text)
         if not toks:
@@ -245,16 +255,17 @@ def fit(texts: list[str]) -> Field:
         tag = [0] * len(toks)
         marks = []
         at = offsets(text, toks) if spans else []
-        for s in spans:
+        for j, s in enumerate(spans):
             inside = [i for i, (a, t) in enumerate(zip(at, toks)) if a < s.end and a + len(t) > s.value]
-            for k, i in enumerate(inside):
-                tag[i] = tag[i] or (1 if k == 0 else 2)
-            marks += inside[:1]
+            for place, i in enumerate(inside):
+                tag[i] = tag[i] or (1 if place == 0 else 2)
+            if j in shown_spans:
+                marks += inside[:1]
         signs = sum(len(t) == 1 and t in SIGNS for t in toks)
         digits = sum(vocabulary.features[vocabulary[t]][0] & 4 > 0 for t in toks)
         f = _file_ids(file_features(len(toks), signs, digits))
-        seed = zlib.crc32(text.encode("utf-8", "replace"))
-        n_plain, n_span = n_plain + (not marks), n_span + len(marks)
+        seed = _seed(text)
+        n_plain += not marks
         for w in [max(0, m - WINDOW // 2) for m in marks] or [seed % max(1, len(toks) - WINDOW)]:
             begin = max(0, w - BEFORE)
             shown, label = toks[begin:w + WINDOW + AFTER], tag[begin:w + WINDOW + AFTER]

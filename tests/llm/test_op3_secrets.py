@@ -99,6 +99,23 @@ def test_a_secret_beyond_the_base_pattern_goes_whole():
     assert op.redacted(text, spans) == "a password=[SECRET] b [SECRET] c token = [SECRET]"
 
 
+def test_windows_are_picked_from_the_whole_sample(monkeypatch):
+    monkeypatch.setattr(op, "SPAN_WINDOWS", 8)
+    monkeypatch.setattr(op, "STEPS", 1)
+    shown = []
+    variant = op._variant
+    monkeypatch.setattr(op, "_variant", lambda row, *rest: shown.append(" ".join(row)) or variant(row, *rest))
+    texts = [f'{words(30, i)} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" d{i}d' for i in range(200)]
+    op.fit(texts)
+    seen = {int(re.search(r"d(\d+)d$", s)[1]) for s in shown}
+    assert len(seen) == 8 and max(seen) > 60
+
+
+def test_shape_counts_all_of_a_long_token():
+    plain = "ab" * 300
+    assert op.token_features(plain) != op.token_features(plain + "9F8E7D6C5B4A00FF")
+
+
 def test_tokens_keep_their_places():
     for t in [r[1] for r in text_rows() if r[1]]:
         toks = op.tokens_of(t)
