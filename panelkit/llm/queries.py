@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op8_warc, op9_language, op10_quality
+from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op8_warc, op9_language, op10_quality, op11_whitening
 from panelkit.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_lengths": op2_token_lengths,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_language_id": op9_language_id,
     "op10_quality_score": op10_quality_score,
+    "op11_whiten_embeddings": op11_whiten_embeddings,
 }
 
 ORACLE: dict[str, str] = {
