@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op8_warc, op9_language, op10_quality, op11_whitening, op13_conversations
+from panelkit.llm import op1_simhash, op2_token_counts, op3_secrets, op4_toxicity, op5_embeddings, op6_decontaminate, op7_mix, op8_warc, op9_language, op10_quality, op11_whitening, op12_language_model, op13_conversations
 from panelkit.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_whitening.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_language_model.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_conversations.digest(table(spark, sf_dir, "conversations"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_quality_score": op10_quality_score,
     "op11_whiten_embeddings": op11_whiten_embeddings,
+    "op12_gru_scores": op12_gru_scores,
     "op13_repair_conversations": op13_repair_conversations,
 }
 
