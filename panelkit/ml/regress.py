@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.ml.features import assembler, encoder_stages, feature_names
+from panelkit.ml.leastsquares import LeastSquares
 from panelkit.operators.metrics import metrics_long, regression_metrics
 
 SEED = 42
@@ -83,6 +85,8 @@ def group_mean_predictor(train: DataFrame, target: DataFrame, group: str, label:
 class GridOutcome:
     results: DataFrame                   # config, params..., n, mae, rmse, r2
     best: str
+    features: PipelineModel              # encoders and assembler of the training rows
+    models: dict[str, object]            # fitted model of each configuration
 
 
 def fit_grid(train: DataFrame, valid: DataFrame, num: list[str], cats: list[str], label: str,
@@ -96,11 +100,13 @@ def fit_grid(train: DataFrame, valid: DataFrame, num: list[str], cats: list[str]
     feats = Pipeline(stages=encoder_stages(cats) + [assembler(num, cats)]).fit(train)
     tr = feats.transform(train).select("features", label).persist()
     va = feats.transform(valid).select("features", label).persist()
+    models: dict[str, object] = {}
 
     def one(config):
         name, a, b = config
         stage = lr_stage(label, a, b) if kind == "lr" else rf_stage(label, int(a), int(b))
-        m = regression_metrics(stage.fit(tr).transform(va), label, PRED).first()
+        models[name] = stage.fit(tr)
+        m = regression_metrics(models[name].transform(va), label, PRED).first()
         return name, float(a), float(b), int(m["n"]), float(m["mae"]), float(m["rmse"]), float(m["r2"])
     try:
         tr.count()
@@ -113,7 +119,32 @@ def fit_grid(train: DataFrame, valid: DataFrame, num: list[str], cats: list[str]
     res = spark.createDataFrame(rows, f"config string, {pa} double, {pb} double, n long, mae double, "
                                       f"rmse double, r2 double")
     best = min(rows, key=lambda r: (r[5], r[0]))[0]
-    return GridOutcome(res, best)
+    return GridOutcome(res, best, feats, models)
+
+
+def optimality(rows: DataFrame, label: str, features: PipelineModel, model, reg: float = 0.0, elastic_net: float = 0.0) -> DataFrame:
+    """M16 + M22: for each slot of a fitted linear model and its intercept the
+    coefficient and how far it is from optimal on the rows it was fitted on
+    (``leastsquares.violations``; 0 is optimal), from one aggregate of the rows."""
+    names = [*feature_names(features), "(intercept)"]
+    stats = LeastSquares.of(features.transform(rows), label, len(names) - 1)
+    beta = model.coefficients.toArray()
+    off = stats.violations(beta, model.intercept, reg, elastic_net)
+    values = [(n, float(b), float(v)) for n, b, v in zip(names, [*beta, model.intercept], off)]
+    return rows.sparkSession.createDataFrame(values, "variable string, coefficient double, violation double")
+
+
+def from_table(rows: DataFrame, table: dict[str, float], num: list[str], cats: list[str]) -> Column:
+    """The prediction of a coefficient table on raw columns: the numbers times
+    their coefficients, plus that of the row's level of each category."""
+    out = F.lit(table["(intercept)"])
+    for c in num:
+        out = out + F.col(c) * F.lit(table[c])
+    for c in cats:
+        start = f"{c}_ohe_"
+        levels = [F.when(F.col(c) == n[len(start):], F.lit(v)).otherwise(0.0) for n, v in table.items() if n.startswith(start)]
+        out = reduce(lambda a, b: a + b, levels, out)
+    return out
 
 
 def refit(develop: DataFrame, num: list[str], cats: list[str], label: str, kind: str, config) -> PipelineModel:

@@ -1,9 +1,8 @@
 """KMeans segmentation with a documented choice of K (E15 E20 E21 M6-M12
 A13 A14 R4 W2 W4).
 
-The scaler is fitted once per feature set and the scaled frame is cached
-for the K loop (each KMeans fit is an iterative, distributed job);
-evaluation uses Spark's ClusteringEvaluator. Profiles, compositions and
+Rows are grouped to distinct vectors with counts (``weighted``), on which
+scaler, fits and scores are exact. Profiles, compositions and
 descriptions are generic over the cluster column, so they work for any
 segmentation (and are checked against SQL with a rule-based one).
 """
@@ -14,7 +13,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,8 +22,9 @@ from pyspark.sql import functions as F
 from panelkit.functions.coerce import label_rank
 from panelkit.functions.predicates import age_band, hours_band, tenure_band
 from panelkit.ml.features import scaler
+from panelkit.ml.weighted import WEIGHT, Moments, distinct_vectors, grid_scores, moments, scaler_of
 from panelkit.operators.describe import quantiles
-from panelkit.operators.joins import null_safe_join, total
+from panelkit.operators.joins import cut, null_safe_join, total
 
 SEED = 42
 
@@ -52,33 +52,39 @@ def silhouette(pred: DataFrame) -> float:
 class GridResult:
     results: DataFrame                          # option, k, silhouette, wssse, smallest_pct
     models: dict[tuple[str, int], PipelineModel]
+    points: dict[str, DataFrame]                # distinct vectors with counts, by option
+    moments: dict[str, Moments]
 
 
 def kmeans_grid(df: DataFrame, feature_sets: dict[str, list[str]], ks: list[int], seed: int = SEED,
-                parallelism: int = 4) -> GridResult:
-    """M7: for each feature set, fit the scaler once, cache the scaled vectors,
-    fit KMeans for every K (``parallelism`` fits at a time) and record
-    silhouette, WSSSE and the smallest cluster share (%)."""
+                parallelism: int = 8) -> GridResult:
+    """M7: for each feature set the distinct vectors with their counts are
+    written once; scaler, fits (``weightCol``) and scores work on them. All fits of
+    the grid run side by side, ``parallelism`` at a time: a fit is many short
+    jobs that wait for each other. Silhouette, WSSSE of the final centres and
+    the smallest cluster share (%) of a set's fits come from two scans."""
     spark = df.sparkSession
-    rows, models = [], {}
+    points = {o: cut(distinct_vectors(df, cols)) for o, cols in feature_sets.items()}
+    moments_ = {o: moments(points[o], cols) for o, cols in feature_sets.items()}
+    stages, vectors = {}, {}
     for option, cols in feature_sets.items():
-        prep = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_kmx"), scaler("_kmx", "features")]).fit(df)
-        scaled = prep.transform(df).select("features").persist()
-
-        def one(k: int, scaled=scaled):
-            km = kmeans_stage(k, seed).fit(scaled)
-            sizes = km.summary.clusterSizes
-            return k, km, float(silhouette(km.transform(scaled))), float(km.summary.trainingCost), 100.0 * min(sizes) / sum(sizes)
-        try:
-            scaled.count()
-            with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
-                for k, km, shape, cost, smallest in pool.map(one, ks):
-                    rows.append((option, k, shape, cost, smallest))
-                    models[(option, k)] = PipelineModel(stages=list(prep.stages) + [km])
-        finally:
-            scaled.unpersist()
+        stages[option] = [VectorAssembler(inputCols=cols, outputCol="_kmx"), scaler_of(spark, moments_[option], "_kmx", "features")]
+        # not cached here: KMeans keeps its own vectors while it runs
+        vectors[option] = PipelineModel(stages=stages[option]).transform(points[option]).select("features", WEIGHT)
+
+    def one(option: str, k: int) -> KMeansModel:
+        return kmeans_stage(k, seed).setWeightCol(WEIGHT).fit(vectors[option])
+    keys = [(o, k) for o in feature_sets for k in ks]
+    with ThreadPool(max(1, min(parallelism, len(keys)))) as pool:
+        fitted = dict(zip(keys, pool.starmap(one, keys)))
+    rows = []
+    for option, cols in feature_sets.items():
+        grid = {k: [list(map(float, c)) for c in fitted[option, k].clusterCenters()] for k in ks}
+        for k, s in grid_scores(points[option], cols, moments_[option], grid).items():
+            rows.append((option, k, s.silhouette, s.wssse, s.smallest_pct))
     res = spark.createDataFrame(rows, "option string, k int, silhouette double, wssse double, smallest_pct double")
-    return GridResult(res, models)
+    models = {key: PipelineModel(stages=[*stages[key[0]], km]) for key, km in fitted.items()}
+    return GridResult(res, models, points, moments_)
 
 
 def wssse_drop(results: DataFrame) -> DataFrame:

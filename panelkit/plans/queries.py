@@ -1089,19 +1089,108 @@ def _km_grid(spark, sf_dir):
 
 
 # Fits are iterative or randomised, so SQL states what must hold of them: the
-# rows they cover, the ranges of their measures, and the optimality of their
-# results over all rows. W2, M8, M9, M16 and M22 are checked value by value, on
-# a rule segmentation or with one predictor.
+# rows they cover, sums and deviations that their measures imply, and the
+# optimality of their results over all rows. W2, M8, M9, M16 and M22 are also
+# checked value by value, on a rule segmentation or with one predictor.
 
 _GRID_KEYS = [(o, k) for o in FEATURE_SETS for k in K_VALUES]
 
 
-@register("M7_kmeans_grid", "SELECT * FROM (VALUES " + ", ".join(f"('{o}', {k}, true, true, true)" for o, k in _GRID_KEYS)
-          + ") AS t(option, k, silhouette_in_range, wssse_positive, smallest_in_range)")
+def _grid_sql_of(columns):
+    """A row for each option and K over the development rows."""
+    return O.with_chain(upto="kept", final="\nUNION ALL ".join(
+        f"SELECT '{o}' AS option, {k} AS k, {columns.format(k=k, d=len(FEATURE_SETS[o]))} FROM kept WHERE {DEVELOP_SQL}" for o, k in _GRID_KEYS))
+
+
+def _grid_moments(spark, sf_dir):
+    """{(option, k): (centres, rows of ``cluster_moments``)} of the fitted grid."""
+    from panelkit.ml.weighted import cluster_moments
+
+    def scan():
+        g, out = _km_grid(spark, sf_dir), {}
+        for o, cols in FEATURE_SETS.items():
+            centres = {k: [list(map(float, c)) for c in g.models[o, k].stages[-1].clusterCenters()] for k in K_VALUES}
+            for r in cluster_moments(g.points[o], cols, g.moments[o], centres).collect():
+                out.setdefault((o, r["k"]), (centres[r["k"]], []))[1].append(r)
+        return out
+    return _memo(spark, sf_dir, "kmeans_moments", scan)
+
+
+def _within(rows, d):
+    """Sum of squares about the clusters' own means."""
+    return sum(r["sq"] - sum(r[f"s{j}"] ** 2 for j in range(d)) / r["n"] for r in rows)
+
+
+CENTRE_TOLERANCE, COST_TOLERANCE = 5e-3, 1e-4
+
+
+@register("M7_kmeans_grid", _grid_sql_of("count(*) AS rows, CAST({d} * (count(*) - 1) AS DOUBLE) AS total_ss, true AS centres_are_means, "
+                                         "true AS wssse_is_cost, true AS smallest_is_share"))
 def q_kmeans_grid(spark, sf_dir):
-    return _km_grid(spark, sf_dir).results.select(
-        "option", "k", F.col("silhouette").between(-1, 1).alias("silhouette_in_range"), (F.col("wssse") > 0).alias("wssse_positive"),
-        ((F.col("smallest_pct") > 0) & (F.col("smallest_pct") <= 100.0 / F.col("k"))).alias("smallest_in_range"))
+    """The clusters hold all rows and, in standardised units, all their
+    squares; centres are their rows' means, WSSSE is the sum of squares about
+    them, the smallest share that of the least cluster."""
+    results = {(r["option"], r["k"]): r for r in _km_grid(spark, sf_dir).results.collect()}
+    out = []
+    for (o, k), (centres, rows) in _grid_moments(spark, sf_dir).items():
+        d, r = len(FEATURE_SETS[o]), results[o, k]
+        n = sum(x["n"] for x in rows)
+        gap = max(abs(x[f"s{j}"] / x["n"] - centres[x["cluster"]][j]) for x in rows for j in range(d))
+        out.append((o, k, int(n), round(sum(x["sq"] for x in rows), 3), gap <= CENTRE_TOLERANCE,
+                    abs(r["wssse"] / _within(rows, d) - 1) <= COST_TOLERANCE, abs(r["smallest_pct"] - 100 * min(x["n"] for x in rows) / n) <= 1e-9))
+    return spark.createDataFrame(out, "option string, k int, rows long, total_ss double, centres_are_means boolean, wssse_is_cost boolean, "
+                                      "smallest_is_share boolean")
+
+
+@register("M8_silhouette_grid", _grid_sql_of("count(*) AS rows, true AS agrees"))
+def q_silhouette_grid(spark, sf_dir):
+    """The silhouettes of the fitted grid, from one table of cluster moments,
+    are those of Spark's evaluator over the rows."""
+    g, base = _km_grid(spark, sf_dir), _km_base(spark, sf_dir)
+    results = {(r["option"], r["k"]): r["silhouette"] for r in g.results.collect()}
+    out = []
+    for key, model in g.models.items():
+        pred = model.transform(base).select("features", "cluster")
+        out.append((*key, pred.count(), abs(SG.silhouette(pred) - results[key]) <= 1e-9))
+    return spark.createDataFrame(out, "option string, k int, rows long, agrees boolean")
+
+
+@register("W2_wssse_drop_fitted", _grid_sql_of(f"count(*) AS rows, {{k}} < {max(K_VALUES)} AS has_drop, true AS drop_agrees"))
+def q_wssse_drop_fitted(spark, sf_dir):
+    """W2 on the fitted grid, against sums of squares from the cluster moments."""
+    within = {key: (sum(x["n"] for x in rows), _within(rows, len(FEATURE_SETS[key[0]]))) for key, (_, rows) in _grid_moments(spark, sf_dir).items()}
+    out = []
+    for r in SG.wssse_drop(_km_grid(spark, sf_dir).results).collect():
+        n, own = within[r["option"], r["k"]]
+        after = within.get((r["option"], r["k"] + 1))
+        drop = r["wssse_drop_pct"]
+        agrees = drop is None if after is None else abs(drop - 100 * (1 - after[1] / own)) <= 100 * COST_TOLERANCE
+        out.append((r["option"], r["k"], int(n), drop is not None, agrees))
+    return spark.createDataFrame(out, "option string, k int, rows long, has_drop boolean, drop_agrees boolean")
+
+
+@register("M9_choose_k_fitted", O.with_chain(upto="kept", final="\nUNION ALL ".join(
+    f"SELECT '{o}' AS option, count(*) AS rows, true AS choice_holds FROM kept WHERE {DEVELOP_SQL}" for o in FEATURE_SETS)))
+def q_choose_k_fitted(spark, sf_dir):
+    """M9 on the fitted grid: the choice, also that there is none, is the one that the rule
+    gives on the moments' own figures."""
+    g, moments_ = _km_grid(spark, sf_dir), _grid_moments(spark, sf_dir)
+    out = []
+    for o, cols in FEATURE_SETS.items():
+        rows = {r["k"]: r for r in SG.wssse_drop(g.results).where(F.col("option") == o).collect()}
+        row = SG.choose_k(g.results, o).first()
+        best, elbow = None, None
+        for k in K_VALUES:
+            parts = moments_[o, k][1]
+            n = sum(x["n"] for x in parts)
+            if rows[k]["silhouette"] >= 0.40 and 100 * min(x["n"] for x in parts) / n >= 5.0:
+                if best is None or rows[k]["silhouette"] > rows[best]["silhouette"]:
+                    best = k
+                if elbow is None and k + 1 in rows and 100 * (1 - _within(moments_[o, k + 1][1], len(cols)) / _within(parts, len(cols))) < 10.0:
+                    elbow = k
+        want = (elbow, "elbow") if elbow is not None else (best, "best_silhouette") if best is not None else None
+        out.append((o, int(n), (None if row is None else (row["k"], row["rule"])) == want))
+    return spark.createDataFrame(out, "option string, rows long, choice_holds boolean")
 
 
 _CUTS = {2: (44.0,), 3: (35.0, 48.0), 4: (35.0, 44.0, 48.0), 5: (20.0, 35.0, 44.0, 48.0)}
@@ -1212,15 +1301,19 @@ def q_composition_kmeans(spark, sf_dir):
     return comp.groupBy("category").agg(F.sum("n").alias("n"), F.bool_and(F.col("pct").between(0, 100)).alias("shares_in_range"))
 
 
-@register("E21_description_kmeans", "SELECT true AS each_described")
+@register("E21_description_kmeans", O.with_chain(upto="kept", final=f"""
+    SELECT count(*) AS rows, true AS each_described FROM kept WHERE {DEVELOP_SQL}"""))
 def q_description_kmeans(spark, sf_dir):
-    """W4 + E21 of the fitted clusters: a sentence for each, with its modal category."""
+    """W4 + E21 of the fitted clusters: a sentence for each, with its modal
+    category, over clusters that hold all rows."""
     model, seg = _chosen_model(spark, sf_dir), _assigned(spark, sf_dir)
-    cat = SG.modal_category(SG.composition(seg, "cluster", "category"), "cluster", "category")
+    comp = SG.composition(seg, "cluster", "category")
+    cat = SG.modal_category(comp, "cluster", "category")
     edu = SG.modal_category(SG.composition(seg, "cluster", "education", EDUCATION_ORDER), "cluster", "education")
     text = SG.describe_clusters(SG.centroids(model, _MEASURES), cat, edu)
     told = text.join(cat, "cluster").agg(F.count(F.when(F.contains(F.col("description"), F.lower("modal_category")), 1)).alias("told"))
-    return told.select((F.col("told") == len(model.stages[-1].clusterCenters())).alias("each_described"))
+    rows = comp.agg(F.sum("n")).scalar()
+    return told.select(rows.alias("rows"), (F.col("told") == len(model.stages[-1].clusterCenters())).alias("each_described"))
 
 
 @register("M6_kmeans_pipeline", O.with_chain(upto="kept", final=f"""
@@ -1275,19 +1368,31 @@ def _grid(spark, sf_dir, kind):
         fr["train"], fr["validate"], FEATURE_NUMERIC, FEATURE_CATEGORIES, TARGET, kind))
 
 
+# A model's RMSE and R2 imply the label's deviation: RMSE^2 / (1 - R2) is its variance.
+def _implied_sd(rmse="rmse", r2="r2"):
+    return F.round(F.sqrt(F.try_divide(F.pow(F.col(rmse), 2), F.lit(1.0) - F.col(r2))), 3)
+
+
+def _sd_sql(where):
+    return f"(SELECT round(stddev_pop(wage), 3) FROM kept WHERE {where})"
+
+
 def _grid_sql(configs):
     return O.with_chain(upto="kept", final="\nUNION ALL ".join(
         f"SELECT '{name}' AS config, CAST({a} AS DOUBLE) AS first_parameter, CAST({b} AS DOUBLE) AS second_parameter, count(*) AS n, "
-        f"true AS metrics_in_range, CAST(1 AS BIGINT) AS best_configs FROM kept WHERE {VALID_SQL}" for name, a, b in configs))
+        f"round(stddev_pop(wage), 3) AS implied_sd, true AS mae_in_range, CAST(1 AS BIGINT) AS best_configs FROM kept WHERE {VALID_SQL}"
+        for name, a, b in configs))
 
 
 def _grid_checked(outcome):
-    """The grid with its checks: metrics in range, and one configuration with the least RMSE, the chosen one."""
+    """The grid with its checks: the label's deviation that RMSE and R2 imply,
+    and one configuration with the least RMSE, the chosen one."""
     r = outcome.results
     least = r.agg(F.min("rmse")).scalar()
     best = r.where((F.col("rmse") == least) & (F.col("config") == outcome.best)).agg(F.count(F.lit(1))).scalar()
     return r.select("config", F.col(r.columns[1]).alias("first_parameter"), F.col(r.columns[2]).alias("second_parameter"), "n",
-                    ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1)).alias("metrics_in_range"), best.alias("best_configs"))
+                    _implied_sd().alias("implied_sd"), ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_in_range"),
+                    best.alias("best_configs"))
 
 
 @register("M17_lr_grid", _grid_sql(RG.LR_CONFIGS))
@@ -1300,6 +1405,51 @@ def q_rf_grid(spark, sf_dir):
     return _grid_checked(_grid(spark, sf_dir, "rf"))
 
 
+#: Largest correlation of a column with the residual (beyond its penalty) that counts as none.
+OPTIMAL = 1e-6
+
+
+@register("M17_lr_optimality", O.with_chain(_IDX_ALL, upto="kept", final="\nUNION ALL ".join(
+    f"SELECT '{c[0]}' AS config, count(*) AS n, {_K_TOTAL} + 1 AS slots, true AS optimal, true AS rmse_agrees FROM kept WHERE {TRAIN_SQL}"
+    for c in RG.LR_CONFIGS)))
+def q_lr_optimality(spark, sf_dir):
+    """Every configuration of the grid meets its optimality conditions on the
+    training rows; its validation RMSE is that of the validation rows' moments."""
+    from panelkit.ml.leastsquares import LeastSquares
+    g, fr = _grid(spark, sf_dir, "lr"), split(spark, sf_dir)
+    slots = len(FE.feature_names(g.features))
+    train, valid = (LeastSquares.of(g.features.transform(fr[k]), TARGET, slots) for k in ("train", "validate"))
+    rmse = {r["config"]: r["rmse"] for r in g.results.collect()}
+    out = []
+    for name, reg, en in RG.LR_CONFIGS:
+        m = g.models[name]
+        beta = m.coefficients.toArray()
+        off = train.violations(beta, m.intercept, reg, en)
+        out.append((name, int(train.n), len(off), bool(off.max() <= OPTIMAL), abs(valid.mse(beta, m.intercept) ** 0.5 / rmse[name] - 1) <= 1e-6))
+    return spark.createDataFrame(out, "config string, n long, slots long, optimal boolean, rmse_agrees boolean")
+
+
+_SLOTS_SQL = """slot AS (SELECT label, variable, CAST(idx + CASE variable WHEN 'education' THEN 3
+      WHEN 'category' THEN 3 + (SELECT count(*) FROM idx WHERE variable = 'education')
+      ELSE 3 + (SELECT count(*) FROM idx WHERE variable IN ('education', 'category')) END AS INTEGER) AS slot FROM idx)"""
+
+
+@register("M16_gram_matrix", O.with_chain(_IDX_ALL, _SLOTS_SQL, f"""tr AS (SELECT *, row_number() OVER () AS rid FROM kept WHERE {TRAIN_SQL})""", f"""
+    cell AS (SELECT rid, 0 AS slot, CAST(age AS DOUBLE) AS x FROM tr UNION ALL SELECT rid, 1, tenure FROM tr UNION ALL SELECT rid, 2, hours FROM tr
+      UNION ALL SELECT rid, s.slot, 1.0 FROM tr JOIN slot s ON s.variable = 'education' AND s.label = tr.education
+      UNION ALL SELECT rid, s.slot, 1.0 FROM tr JOIN slot s ON s.variable = 'category' AND s.label = tr.category
+      UNION ALL SELECT rid, s.slot, 1.0 FROM tr JOIN slot s ON s.variable = 'domain' AND s.label = tr.domain
+      UNION ALL SELECT rid, CAST({_K_TOTAL} AS INTEGER), 1.0 FROM tr UNION ALL SELECT rid, CAST({_K_TOTAL} + 1 AS INTEGER), wage FROM tr)""",
+                                          upto="kept", final="""
+    SELECT a.slot AS i, b.slot AS j, sum(a.x * b.x) AS value FROM cell a JOIN cell b ON a.rid = b.rid AND a.slot <= b.slot
+    WHERE a.x <> 0 AND b.x <> 0 GROUP BY a.slot, b.slot"""))
+def q_gram(spark, sf_dir):
+    """The sufficient statistics of the regression, entry by entry."""
+    from panelkit.ml.leastsquares import gram
+    model, train = _feature_model(spark, sf_dir)
+    return gram(model.transform(train), TARGET, len(FE.feature_names(model)))
+
+
 def _one_predictor(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
@@ -1326,16 +1476,18 @@ def q_coefficients(spark, sf_dir):
 
 
 @register("M18_random_forest", O.with_chain(upto="kept", final=f"""
-    SELECT 'rf_small' AS model, count(*) AS n, true AS metrics_in_range, true AS within_training_range FROM kept WHERE {VALID_SQL}"""))
+    SELECT 'rf_small' AS model, count(*) AS n, round(stddev_pop(wage), 3) AS implied_sd, true AS mae_in_range, true AS within_training_range
+    FROM kept WHERE {VALID_SQL}"""))
 def q_rf(spark, sf_dir):
-    """A forest's prediction is a mean of training labels, so it lies within their range."""
+    """A forest's prediction is a mean of training labels, so it lies within
+    their range; its errors imply the label's deviation."""
     fr = split(spark, sf_dir)
     model = RG.full_pipeline(FEATURE_NUMERIC, FEATURE_CATEGORIES, RG.rf_stage(TARGET, 40, 5)).fit(fr["train"])
     pred = model.transform(fr["validate"])
     lo, hi = fr["train"].agg(F.min(TARGET)).scalar(), fr["train"].agg(F.max(TARGET)).scalar()
     inside = pred.withColumn("inside", F.col(RG.PRED).between(lo, hi)).agg(F.bool_and("inside")).scalar()
     m = MT.regression_metrics(pred, TARGET, RG.PRED, "rf_small")
-    return m.select("model", "n", ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1)).alias("metrics_in_range"),
+    return m.select("model", "n", _implied_sd().alias("implied_sd"), ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("mae_in_range"),
                     inside.alias("within_training_range"))
 
 
@@ -1358,25 +1510,45 @@ def _predictors(spark, sf_dir):
             "linear_regression": lr.transform, "random_forest": rf.transform}
 
 
-@register("M24_model_comparison", O.with_chain(_BASE_TEST, upto="kept", final="""
-    SELECT 'baseline_mean' AS model, count(*) AS n, avg(abs(wage - pred)) AS baseline_mae, true AS in_range FROM bt
-    UNION ALL SELECT 'linear_regression', count(*), NULL, true FROM bt UNION ALL SELECT 'random_forest', count(*), NULL, true FROM bt"""))
+_IDX_DEVELOP = "idx AS (" + "\nUNION ALL ".join(_idx_sql(c, DEVELOP_SQL) for c in FEATURE_CATEGORIES) + ")"
+
+
+@register("M22_lr_coefficients_full", O.with_chain(_IDX_DEVELOP, upto="kept", final="""
+    SELECT name AS variable, true AS optimal FROM (SELECT 'age' AS name UNION ALL SELECT 'tenure' UNION ALL SELECT 'hours' UNION ALL SELECT '(intercept)'
+    UNION ALL SELECT variable || '_ohe_' || label FROM idx)"""))
+def q_coefficients_full(spark, sf_dir):
+    """M22 of the chosen linear model, all slots: each coefficient is optimal on the development rows."""
+    lr, _ = _final_models(spark, sf_dir)
+    cfg = next(c for c in RG.LR_CONFIGS if c[0] == _grid(spark, sf_dir, "lr").best)
+    from pyspark.ml import PipelineModel
+    table = RG.optimality(split(spark, sf_dir)["develop"], TARGET, PipelineModel(stages=lr.stages[:-1]), lr.stages[-1], *cfg[1:])
+    return table.select("variable", (F.col("violation") <= OPTIMAL).alias("optimal"))
+
+
+@register("M24_model_comparison", O.with_chain(_BASE_TEST, upto="kept", final=f"""
+    SELECT 'baseline_mean' AS model, count(*) AS n, avg(abs(wage - pred)) AS baseline_mae, CAST(NULL AS DOUBLE) AS implied_sd,
+           round(sqrt(avg((wage - pred) * (wage - pred))), 4) AS implied_baseline_rmse FROM bt
+    UNION ALL SELECT m, count(*), NULL, {_sd_sql(TEST_SQL)}, round(sqrt(avg((wage - pred) * (wage - pred))), 4)
+    FROM bt, (VALUES ('linear_regression'), ('random_forest')) t(m) GROUP BY m"""))
 def q_comparison(spark, sf_dir):
-    """All three predictors over identical test rows; the baseline's error is SQL's."""
+    """All three predictors over identical test rows. The baseline's error is
+    SQL's; the others' errors imply the label's deviation, and their change in
+    % the baseline's RMSE."""
     out = RG.compare_on_test(split(spark, sf_dir)["test"], TARGET, _predictors(spark, sf_dir), "baseline_mean")
     base = F.col("model") == "baseline_mean"
-    return out.select("model", "n", F.when(base, F.col("mae")).alias("baseline_mae"),
-                      ((F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1) & (~base | (F.col("rmse_change_pct") == 0))).alias("in_range"))
+    return out.select("model", "n", F.when(base, F.col("mae")).alias("baseline_mae"), F.when(~base, _implied_sd()).alias("implied_sd"),
+                      F.round(F.col("rmse") / (F.lit(1.0) + F.col("rmse_change_pct") / 100), 4).alias("implied_baseline_rmse"))
 
 
-@register("M20_temporal_protocol", O.with_chain(_BASE_VALID, _BASE_TEST, upto="kept", final="""
+@register("M20_temporal_protocol", O.with_chain(_BASE_VALID, _BASE_TEST, upto="kept", final=f"""
     SELECT m AS model, (SELECT count(*) FROM bv) AS n_validate, (SELECT count(*) FROM bt) AS n_test,
            CASE WHEN m = 'baseline_mean' THEN (SELECT sqrt(avg((wage - pred) * (wage - pred))) FROM bv) END AS baseline_rmse_validate,
            CASE WHEN m = 'baseline_mean' THEN (SELECT sqrt(avg((wage - pred) * (wage - pred))) FROM bt) END AS baseline_rmse_test,
-           true AS r2_in_range
+           {_sd_sql(VALID_SQL)} AS implied_sd_validate, {_sd_sql(TEST_SQL)} AS implied_sd_test
     FROM (VALUES ('baseline_mean'), ('linear_regression'), ('random_forest')) t(m)"""))
 def q_protocol(spark, sf_dir):
-    """Validation (fitted on train) beside test (refitted on develop), for the baseline and the chosen configurations."""
+    """Validation (fitted on train) beside test (refitted on develop), for the
+    baseline and the chosen configurations, with the deviations that each pair of errors implies."""
     fr = split(spark, sf_dir)
     test = RG.compare_on_test(fr["test"], TARGET, _predictors(spark, sf_dir)).select(
         "model", F.col("n").alias("n_test"), F.col("rmse").alias("rmse_test"), F.col("r2").alias("r2_test"))
@@ -1389,7 +1561,7 @@ def q_protocol(spark, sf_dir):
     base = F.col("model") == "baseline_mean"
     return both.select("model", "n_validate", "n_test", F.when(base, F.col("rmse_validate")).alias("baseline_rmse_validate"),
                        F.when(base, F.col("rmse_test")).alias("baseline_rmse_test"),
-                       ((F.col("r2_validate") <= 1) & (F.col("r2_test") <= 1)).alias("r2_in_range"))
+                       _implied_sd("rmse_validate", "r2_validate").alias("implied_sd_validate"), _implied_sd("rmse_test", "r2_test").alias("implied_sd_test"))
 
 
 def _joint_models(spark, sf_dir):
@@ -1400,29 +1572,43 @@ def _joint_models(spark, sf_dir):
 
 
 @register("M25_joint_models", O.with_chain(upto="kept", final=f"""
-    SELECT period, household, person, wage, true AS residuals_agree FROM kept WHERE {TEST_SQL}"""))
+    SELECT period, household, person, wage, true AS lr_from_table, true AS rf_in_range FROM kept WHERE {TEST_SQL}"""))
 def q_joint_models(spark, sf_dir):
-    gap = F.greatest(*[F.abs(F.col(TARGET) - F.col(f"pred_{m}") - F.col(f"residual_{m}")) for m in ("lr", "rf")])
-    return _joint_models(spark, sf_dir).select(*KEY, "wage", (gap <= 1e-6).alias("residuals_agree"))
+    """The linear prediction, label minus residual, is that of the coefficient
+    table on the raw columns; the forest's lies within the development labels."""
+    lr, _ = _final_models(spark, sf_dir)
+    table = {r["variable"]: r["coefficient"] for r in RG.coefficient_table(lr, split(spark, sf_dir)["test"], None).collect()}
+    joint, develop = _joint_models(spark, sf_dir), split(spark, sf_dir)["develop"]
+    gap = F.abs(RG.from_table(joint, table, FEATURE_NUMERIC, FEATURE_CATEGORIES) - (F.col(TARGET) - F.col("residual_lr")))
+    forest = (F.col(TARGET) - F.col("residual_rf")).between(develop.agg(F.min(TARGET)).scalar() - 1e-6, develop.agg(F.max(TARGET)).scalar() + 1e-6)
+    return joint.select(*KEY, "wage", (gap <= 1e-6).alias("lr_from_table"), forest.alias("rf_in_range"))
+
+
+def _label_means(spark, sf_dir, errors, groups):
+    """Mean error of each model plus its mean prediction in the same group: the label's mean there."""
+    joint = _joint_models(spark, sf_dir).select(*groups, F.col("pred_lr").alias("lr"), F.col("pred_rf").alias("rf"))
+    names = [c if isinstance(c, str) else "band" for c in groups]
+    means = joint.unpivot(names, ["lr", "rf"], "model", "p").groupBy(*names, "model").agg(F.avg("p").alias("p"))
+    return errors.join(means, [*names, "model"]).withColumn("label_mean", F.round(F.col("mean_error") + F.col("p"), 4))
 
 
 @register("A17_errors_of_models", O.with_chain(upto="kept", final=f"""
-    SELECT education, m AS model, count(*) AS n, true AS bias_within_error FROM (SELECT * FROM kept WHERE {TEST_SQL}), (VALUES ('lr'), ('rf')) t(m)
-    GROUP BY education, m"""))
+    SELECT education, m AS model, count(*) AS n, round(avg(wage), 4) AS label_mean, true AS bias_within_error
+    FROM (SELECT * FROM kept WHERE {TEST_SQL}), (VALUES ('lr'), ('rf')) t(m) GROUP BY education, m"""))
 def q_errors_of_models(spark, sf_dir):
-    return ER.errors_by_group(_joint_models(spark, sf_dir), "education", ["lr", "rf"]).select(
-        "education", "model", "n", (F.abs("mean_error") <= F.col("mae") + 1e-9).alias("bias_within_error"))
+    got = _label_means(spark, sf_dir, ER.errors_by_group(_joint_models(spark, sf_dir), "education", ["lr", "rf"]), ["education"])
+    return got.select("education", "model", "n", "label_mean", (F.abs("mean_error") <= F.col("mae") + 1e-9).alias("bias_within_error"))
 
 
 @register("A18_errors_of_models_by_p90", O.with_chain(upto="kept", final=f"""
     SELECT CASE WHEN wage >= (SELECT quantile_cont(wage, 0.9) FROM kept WHERE {TEST_SQL}) THEN 'at_or_above' ELSE 'below' END AS band,
-           m AS model, count(*) AS n FROM (SELECT * FROM kept WHERE {TEST_SQL}), (VALUES ('lr'), ('rf')) t(m) GROUP BY 1, 2"""))
+           m AS model, count(*) AS n, round(avg(wage), 4) AS label_mean
+    FROM (SELECT * FROM kept WHERE {TEST_SQL}), (VALUES ('lr'), ('rf')) t(m) GROUP BY 1, 2"""))
 def q_errors_of_models_p90(spark, sf_dir):
     p90 = D.scalar_quantile(split(spark, sf_dir)["test"], TARGET, 0.9).first()[0]
-    return ER.errors_by_threshold(_joint_models(spark, sf_dir), TARGET, p90, ["lr", "rf"]).select("band", "model", "n")
-
-
-_IDX_DEVELOP = "idx AS (" + "\nUNION ALL ".join(_idx_sql(c, DEVELOP_SQL) for c in FEATURE_CATEGORIES) + ")"
+    errors = ER.errors_by_threshold(_joint_models(spark, sf_dir), TARGET, p90, ["lr", "rf"])
+    band = F.when(F.col(TARGET) >= F.lit(p90), F.lit("at_or_above")).otherwise(F.lit("below")).alias("band")
+    return _label_means(spark, sf_dir, errors, [band]).select("band", "model", "n", "label_mean")
 
 
 @register("M23_rf_importances", O.with_chain(_IDX_DEVELOP, upto="kept", final=f"""
