@@ -77,7 +77,7 @@ def test_slots_hold_the_words(spark):
     docs = documents(spark, CASES["many"])
     n = {}
     for r in op.mixed_slots(docs, shard_slots=16).collect():
-        assert 0 <= r["slot"] < 16 and len(r["text"].split()) <= op.BLOCK_WORDS
+        assert 0 <= r["slot"] and len(r["text"].split()) <= op.BLOCK_WORDS
         n[r["source"]] = n.get(r["source"], 0) + len(r["text"].split())
     want = {}
     for r in op.mix(docs).collect():
@@ -87,5 +87,53 @@ def test_slots_hold_the_words(spark):
 
 def test_each_slot_is_drawn_once(spark):
     t = op.targets(op.sizes(documents(spark, CASES["many"])))
-    got = [(r["shard"], r["slot"]) for r in op.draws(t, 16, 8).collect()]
-    assert sorted(got) == [(i // 8, i % 8) for i in range(len(got))]
+    by = {}
+    for r in op.draws(t, 16, 8).collect():
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(by) > 10
+
+
+def test_shard_counts_spread_like_a_multinomial(spark):
+    """Each draw falls into its shard independently: the counts' chi-square is near its degrees of freedom."""
+    rows = rows_of([(f"s{i % 3}", 4000) for i in range(60)])
+    passes = op.epochs(op.targets(op.sizes(documents(spark, rows))), 16)
+    counts = op.shard_counts(passes, 400).collect()
+    draws = {r["sid"]: r["d"] for r in passes.groupBy("sid").sum("n").withColumnRenamed("sum(n)", "d").collect()}
+    shards = -(-sum(draws.values()) // 400)
+    n = {(r["sid"], r["shard"]): r["n"] for r in counts}
+    assert all(sum(v for (s, _), v in n.items() if s == sid) == d for sid, d in draws.items())
+    chi = sum((n.get((sid, t), 0) - d / shards) ** 2 / (d / shards) for sid, d in draws.items() for t in range(shards))
+    free = len(draws) * (shards - 1)
+    assert abs(chi - free) < 5 * (2 * free) ** 0.5
+    # the ranges of a source's draws follow each other without gap or overlap
+    for sid, d in draws.items():
+        at = 0
+        for r in sorted((r for r in counts if r["sid"] == sid), key=lambda r: r["first"]):
+            assert r["first"] == at
+            at += r["n"]
+        assert at == d
+
+
+def test_block_order_is_a_permutation_without_a_fixed_step(spark):
+    passes = op.epochs(op.targets(op.sizes(documents(spark, rows_of([("a", 30_000), ("b", 20_000)])))), 16)
+    order = {}
+    for r in op.block_ranks(passes).collect():
+        order.setdefault((r["sid"], r["epoch"]), []).append((r["rank"], r["block"]))
+    assert len(order) >= 2
+    for got in order.values():
+        got.sort()
+        assert [k for k, _ in got] == list(range(len(got))) and sorted(b for _, b in got) == list(range(len(got)))
+        steps = {(b2 - b1) % len(got) for (_, b1), (_, b2) in zip(got, got[1:])}
+        assert len(steps) > len(got) / 3
+
+
+def test_main_path_has_no_python(spark):
+    plan = op.digest(op.mix(documents(spark, CASES["many"])))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan and "Pandas" not in plan
+
+
+def test_hot_null_id_is_spread(spark):
+    """A third of the rows without an id still hash apart by text."""
+    rows = [(None, words(5, i), "en", "a", 0) for i in range(3000)]
+    h = op.sizes(documents(spark, rows)).select("h").distinct().count()
+    assert h > 2900
