@@ -66,6 +66,32 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered_rows(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """(the rows with a number each, written once; the number's column)."""
+    rid = unused(df, "__rid")
+    return saved(df.withColumn(rid, F.monotonically_increasing_id()), name), rid
+
+
+#: Numbers of rows that may be broadcast (8 bytes each).
+MOST_BROADCAST_ROWS = 4_000_000
+
+
+def without(numbered: DataFrame, gone: DataFrame, rid: str) -> DataFrame:
+    """The rows but those whose number is in ``gone`` (a single column ``rid``),
+    which is broadcast if it has at most MOST_BROADCAST_ROWS rows."""
+    gone = saved(gone, "gone")
+    few = gone.count() <= MOST_BROADCAST_ROWS
+    return numbered.join(F.broadcast(gone) if few else gone.hint("merge"), rid, "left_anti")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, UPPER, UPPER.lower())
@@ -126,3 +152,11 @@ def text_first(documents: DataFrame, carry: list[str]) -> tuple[DataFrame, str]:
 def carried(batch, carry: list[str]) -> list:
     """The carried columns of a batch of ``text_first``."""
     return [batch.column(batch.schema.get_field_index(c)) for c in carry]
+
+
+def sliced(batches, most_bytes: int):
+    """The record batches in slices of not much more than ``most_bytes`` bytes (a row at least)."""
+    for b in batches:
+        step = max(1, b.num_rows * most_bytes // max(most_bytes, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)

@@ -13,6 +13,10 @@ touching the texts again:
 The tokenizer is a file of ranks (base64 token and rank by line); the driver
 reads it, checks its size (MAX_RANKS_BYTES) and broadcasts it.
 
+The encoder's splitter fails on very long runs of white space, so texts are
+cut at runs of LONG_RUN characters or more, only where the splitting rule itself
+cuts: such a run is one piece, but for its last character if a word follows.
+
 Defined cases: null and empty texts have length 0 and count as documents;
 repeated rows count each; an empty table has an empty histogram; special
 tokens' strings are ordinary text; columns other than text and the group
@@ -23,6 +27,7 @@ of the documents does not exceed.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,12 +36,17 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import saved
+from panelkit.llm.common import saved, sliced
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_RANKS_BYTES = 64 << 20
 #: The vocabulary's rule for splitting a text before merging (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as that rule has it, in runs that are counted by themselves.
+LONG_RUN = 1 << 15
+LONG_SPACES = re.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+#: Bytes of text that a task turns into Python objects at a time.
+SLICE_BYTES = 16 << 20
 #: Lengths to a bucket of the running sums.
 BUCKET = 256
 
@@ -47,6 +57,19 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def n_tokens(encoding: tiktoken.Encoding, text: str | None) -> int:
+    """Tokens of a whole text of any length."""
+    if not text:
+        return 0
+    total, at = 0, 0
+    for run in LONG_SPACES.finditer(text) if len(text) >= LONG_RUN else ():
+        # the run's last character may belong to the word after it
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[at:run.start()])) + len(encoding._encode_single_piece(text[run.start():end].encode()))
+        at = end
+    return total + len(encoding.encode_ordinary(text[at:] if at else text))
+
+
 def encoded_lengths(documents: DataFrame, carry: list[str], ranks_path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """``carry`` columns and n_tokens (long) for each document row."""
     with open(ranks_path, "rb") as f:
@@ -57,9 +80,9 @@ def encoded_lengths(documents: DataFrame, carry: list[str], ranks_path: str = RA
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*carry).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(kept.value, pattern).encode_ordinary
-        for b in batches:
-            n = [len(encode(t)) if t else 0 for t in b.column(0).to_pylist()]
+        encoding = _encoding(kept.value, pattern)
+        for b in sliced(batches, SLICE_BYTES):
+            n = [n_tokens(encoding, t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64())], [*b.schema.names[1:], "n_tokens"])
     return documents.select("text", *carry).mapInArrow(run, f"{schema}n_tokens long")
 

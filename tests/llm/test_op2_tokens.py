@@ -40,3 +40,21 @@ def test_empty(spark):
     sums = op.digest(documents(spark, []))
     assert sums.count() == 0
     assert op.truncated_totals(sums, [5]).first()["cut_5"] == 0 and op.quantiles(sums, [0.5]).first()[0] is None
+
+
+def test_long_runs_keep_their_tokens(monkeypatch):
+    """A text cut at long runs has the tokens of the whole, in all places a run can stand."""
+    enc = op._encoding(open(op.RANKS, "rb").read(), op.PATTERN)
+    texts = [a + run + b for run in (" " * 50, "\n" * 50, " \n" * 30, "\t\u3000" * 40, "\x85" * 45 + " ")
+             for a in ("", "word", "word.", "7") for b in ("", "word", "'s", "7", "!", "\u00e9" + " " * 60 + "x")]
+    whole = [len(enc.encode_ordinary(t)) for t in texts]
+    monkeypatch.setattr(op, "LONG_RUN", 40)
+    monkeypatch.setattr(op, "LONG_SPACES", op.re.compile(op.LONG_SPACES.pattern.replace(str(1 << 15), "40")))
+    assert [op.n_tokens(enc, t) for t in texts] == whole
+
+
+def test_very_long_runs(spark):
+    runs = [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "!" * 2_000_000, "x" + " " * 2_000_000 + "y"]
+    got = op.encoded_lengths(spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "doc_id long, text string"), ["doc_id"]).collect()
+    n = {r["doc_id"]: r["n_tokens"] for r in got}
+    assert all(n[i] > 0 for i in range(5)) and n[4] == n[0] + 1 or n[4] >= n[0]
