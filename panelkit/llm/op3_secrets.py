@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import carried, text_first
+from panelkit.llm.common import carried, sliced, text_first
 from panelkit.llm.fitting import _picked, excerpt
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -61,6 +61,8 @@ TRAIN_DOCS, MAX_TRAIN_CHARS, WINDOW = 6000, 20_000, 48
 STEPS, RATE, PENALTY = 40, 0.2, 0.3
 PLAIN_WINDOWS, SPAN_WINDOWS, VARIANTS = 1500, 600, 3
 CACHE = 150_000
+#: Bytes of text that a task turns into Python objects at a time.
+SLICE_BYTES = 32 << 20
 MARK = "[SECRET]"
 
 #: Feature slots of a token and their sizes; words and first letters are hashed.
@@ -189,15 +191,17 @@ class Field:
             best = max(best, into + out)
         return best
 
-    def best_path(self, e: np.ndarray) -> list[int]:
-        """Viterbi over a run of emissions that stands between tokens that are O."""
-        score = e[0] + self.moves[0]
+    def best_path(self, e: np.ndarray, first: bool = False, last: bool = False) -> list[int]:
+        """Viterbi over a run of emissions that stands between tokens that are
+        O; first, last: where the text begins or ends with the run, so that no
+        transition leads into or out of it."""
+        score = e[0] + (0.0 if first else self.moves[0])
         back = []
         for x in e[1:]:
             step = score[:, None] + self.moves
             back.append(step.argmax(0))
             score = step.max(0) + x
-        s = int((score + self.moves[:, 0]).argmax())
+        s = int((score + (0.0 if last else self.moves[:, 0])).argmax())
         path = [s]
         for b in reversed(back):
             s = int(b[s])
@@ -405,8 +409,8 @@ class Tagger:
         breaks = np.flatnonzero((np.diff(open_) > 1) | (doc[open_[1:]] != doc[open_[:-1]])) + 1
         found: dict[int, list[tuple[int, int]]] = {}
         for run in np.split(open_, breaks):
-            path = self.field.best_path(e[run[0]:run[-1] + 1])
             k, begin = int(doc[run[0]]), None
+            path = self.field.best_path(e[run[0]:run[-1] + 1], run[0] == first[k], run[-1] == first[k] + sizes[k] - 1)
             for i, s in zip(run - first[k], path):
                 if s == 1 or (s == 2 and begin is None):
                     begin = int(i)
@@ -444,7 +448,7 @@ def scan(documents: DataFrame, field: Field, carry: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(kept.value)
-        for b in batches:
+        for b in sliced(batches, SLICE_BYTES):
             given = b.column(0).to_pylist()
             texts = [t or "" for t in given]
             spans = [all_spans(base_spans(t), a) for t, a in zip(texts, tagger.spans(texts))]
