@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import saved
+from panelkit.llm.common import numbered_rows, saved, without
 from panelkit.llm.components import connected_components
 
 WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -302,11 +302,14 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, max_bits: int = MA
 def deduplicated(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, that with the smallest doc_id (null last);
     of equal ids one. The numbered rows are written once: numbers of two scans
-    need not agree."""
-    numbered = saved(documents.withColumn("__rid", F.monotonically_increasing_id()), "op1-rows")
-    found = near_duplicates(numbered, words, max_bits, ("doc_id", "__rid"))
-    one = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__rid"))["__rid"].alias("__rid"))
-    return numbered.join(one.select("__rid"), "__rid", "left_semi").select(*documents.columns)
+    need not agree. The others' numbers are joined to the rows, as they are
+    fewer, and texts move only if there are too many of them to broadcast."""
+    numbered, rid = numbered_rows(documents, "op1-rows")
+    found = saved(near_duplicates(numbered, words, max_bits, ("doc_id", rid)).select("component", F.col("doc_id").alias("id"), F.col(rid).alias("row")), "op1-found")
+    one = (found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"].alias("keep"), F.count(F.lit(1)).alias("n"))
+           .where("n > 1").select(F.col("component").alias("c"), "keep"))
+    others = found.join(one, F.col("component") == F.col("c")).where("row <> keep").select(F.col("row").alias(rid))
+    return without(numbered, others, rid).select(*documents.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ascii_lower, saved
+from panelkit.llm.common import ascii_lower, numbered_rows, saved, without
 
 #: Between words once A-Z may stand for a-z: ASCII that is no letter or digit.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -135,6 +135,17 @@ def _runs(documents: DataFrame, bits: list[int], shapes: list[tuple[int, int]],
     return df.select(*carry, F.col("n_words").cast("long").alias("n_words"), F.concat(*parts).alias("runs"))
 
 
+def _placed(runs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows (rid, n_words, a, len, i, lo, sh, near): each shingle of a run with
+    the words around it that a window can reach, not with the run."""
+    def place(i):
+        lo = F.greatest(i - (window - 1), F.lit(0))
+        return F.struct(i.alias("i"), lo.alias("lo"), F.array_join(F.slice("w", i + 1, F.col("k")), " ").alias("sh"),
+                        F.slice("w", lo + 1, F.lit(2 * window)).alias("near"))
+    places = F.transform(F.sequence(F.lit(0), F.size("w") - F.col("k")), place)
+    return runs.select("rid", "n_words", "a", F.size("w").alias("len"), F.inline(places))
+
+
 def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 numbers: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, found, windows). ``numbers`` names a column that numbers the
@@ -154,8 +165,7 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
 
     runs = texts.where(F.size("runs") > 0).select("rid", "n_words", F.explode("runs").alias("r"))
     runs = runs.select("rid", "n_words", "r.k", "r.a", F.split("r.words", " ").alias("w"))
-    placed = runs.select("rid", "n_words", "k", "a", "w", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("k"))).alias("i"))
-    placed = placed.withColumn("sh", F.array_join(F.slice("w", F.col("i") + 1, F.col("k")), " "))
+    placed = _placed(runs, window)
 
     counts = placed.groupBy("sh").agg(F.count(F.lit(1)).alias("n"))
     by_rarity = Window.partitionBy("win").orderBy("n", "off")
@@ -165,9 +175,9 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW
               .select("sh", "win", "m", "off"))
 
     start = F.col("i") - F.col("off")
-    found = (placed.select("rid", "n_words", "a", "w", "i", "sh").join(prefix, "sh")
-             .where((start >= 0) & (start + F.col("m") <= F.size("w")) & (F.col("m") <= F.col("n_words")))
-             .where(F.array_join(F.slice("w", start + 1, F.col("m")), " ") == F.col("win"))
+    found = (placed.join(prefix, "sh")
+             .where((start >= 0) & (start + F.col("m") <= F.col("len")) & (F.col("m") <= F.col("n_words")))
+             .where(F.array_join(F.slice("near", start - F.col("lo") + 1, F.col("m")), " ") == F.col("win"))
              .select("rid", (F.col("a") + start).alias("start"), "m", "win"))
     return texts, found, windows
 
@@ -197,10 +207,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any window. The numbered rows are written once:
     numbers of two scans need not agree."""
-    numbered = saved(documents.withColumn("__rid", F.monotonically_increasing_id()), "op6-rows")
-    _, found, _ = occurrences(numbered, benchmark, window, "__rid")
-    hit = saved(found.select(F.col("rid").alias("__rid")).distinct(), "op6-hit")
-    return numbered.join(hit, "__rid", "left_anti").select(*documents.columns)
+    numbered, rid = numbered_rows(documents, "op6-rows")
+    _, found, _ = occurrences(numbered, benchmark, window, rid)
+    return without(numbered, found.select(F.col("rid").alias(rid)).distinct(), rid).select(*documents.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:

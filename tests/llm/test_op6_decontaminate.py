@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from panelkit.llm import op6_decontaminate as op
 
 from ..conftest import SMALL
@@ -82,3 +84,18 @@ def test_rows_are_known_however_scans_pack_files(spark, tmpdir_path):
 def test_main_path_has_no_python(spark):
     plan = op.decontaminate(documents(spark), bench(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_long_copy_moves_in_proportion(spark):
+    """A document equal to one long item: what the join moves grows with its words, not with their square."""
+    def moved(n):
+        text = " ".join(f"w{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+        _, found, _ = op.occurrences(docs, bench)
+        assert found.count() == n - 9
+        runs = spark.createDataFrame([(1, n, 5, 0, text.split())], "rid long, n_words int, k int, a int, w array<string>")
+        placed = op._placed(runs)
+        return placed.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    few, many = moved(2000), moved(4000)
+    assert many < 2.2 * few and many < 4000 * 2000
