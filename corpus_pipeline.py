@@ -4,8 +4,8 @@ Every stage works on all rows its predecessor kept, and is written as Parquet
 and read again. All but the last return the columns of documents:
 
 1. language_id: documents without a language (null texts, texts without a
-   letter) are rejected; the others stay with the columns they had, also if no
-   language could be learned.
+   letter) are rejected; of the others, those whose lang is null get the
+   predicted one (none if no language could be learned).
 2. near_dedup: SimHash near-duplicates; the document with the smallest doc_id
    of each group stays.
 3. decontaminate: documents that hold a benchmark window go.
@@ -13,21 +13,34 @@ and read again. All but the last return the columns of documents:
    document goes.
 5. mix: what the mix of the remaining documents takes of each.
 
-Rows with null ids, repeated rows and empty tables pass as the operators say.
+Rows with null ids, repeated rows, texts of any length and empty tables pass as the operators say.
+Columns beside text travel through an operator as one struct, so that no
+column of the documents can clash with its results.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import op1_simhash, op3_secrets, op6_decontaminate, op7_mix, op9_language
 from panelkit.llm.common import saved, table
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text, and the columns beside it as one struct."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+
+
+def _unpacked(got: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of documents again, ``changed`` ones anew."""
+    return got.select(*[changed.get(c, F.col(c) if c == "text" else F.col("row")[c]).alias(c) for c in columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    got = op9_language.identify(docs, op9_language.train(docs), docs.columns)
-    return got.where("__lettered").select(*docs.columns)
+    got = op9_language.identify(_packed(docs), op9_language.train(docs), ["text", "row"]).where("__lettered")
+    found = F.when(F.col("lang_pred") != "und", F.col("lang_pred"))
+    return _unpacked(got, docs.columns, lang=F.coalesce(F.col("row")["lang"], found))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +52,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    got = op3_secrets.scan(docs, op3_secrets.train(docs), [c for c in docs.columns if c != "text"])
-    marked = F.size("spans") > 0
-    return (got.withColumn("n_chars", F.when(marked, F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-            .withColumnRenamed("clean", "text").select(*docs.columns))
+    got = op3_secrets.scan(_packed(docs), op3_secrets.train(docs), ["row"])
+    length = F.length("clean").cast(docs.schema["n_chars"].dataType)
+    return _unpacked(got, docs.columns, text=F.col("clean"), n_chars=F.when(F.size("spans") > 0, length).otherwise(F.col("row")["n_chars"]))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
