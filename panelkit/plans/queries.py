@@ -346,6 +346,39 @@ def q_prepared(spark, sf_dir):
     return prepared(spark, sf_dir)
 
 
+def _key_stores(spark, sf_dir):
+    """Two stores in buckets of the panel key, written once: the typed raw rows and the kept rows."""
+    from panelkit.plans.survey import ANALYTIC_COLUMNS
+    from panelkit.sources.buckets import write_key_store
+
+    def write():
+        _, path = _store_path(spark, sf_dir, "keys")
+        raw = _raw_keyed(spark, sf_dir).select(*KEY, *[c for c in CONTENT_COLUMNS if c not in KEY])
+        source = write_key_store(raw, KEY, f"{path}-raw")
+        return source, write_key_store(kept(spark, sf_dir).select(*ANALYTIC_COLUMNS), KEY, f"{path}-kept", source.buckets)
+    return _memo(spark, sf_dir, "key_stores", write)
+
+
+@register("A6_key_audit_store", ORACLE["A6_key_audit"])
+def q_key_audit_store(spark, sf_dir):
+    from panelkit.operators import keystore as KS
+    return KS.key_audit(_key_stores(spark, sf_dir)[0], ["household", "person"])
+
+
+@register("A7_duplicate_keys_store", ORACLE["A7_duplicate_keys"])
+def q_duplicate_keys_store(spark, sf_dir):
+    from panelkit.operators import keystore as KS
+    return KS.duplicate_keys(_key_stores(spark, sf_dir)[0], CONTENT_COLUMNS)
+
+
+@register("J1_prepared_with_flag_store", ORACLE["J1_prepared_with_flag"])
+def q_prepared_store(spark, sf_dir):
+    from panelkit.operators import keystore as KS
+    from panelkit.plans.survey import ANALYTIC_COLUMNS
+    source, panel = _key_stores(spark, sf_dir)
+    return KS.flag_duplicates(panel, source, CONTENT_COLUMNS).select(*ANALYTIC_COLUMNS, "duplicate_key")
+
+
 @register("E14_flag_counts", O.with_chain(_RAW_KEYED, _DUPS, _PREPARED, upto="kept", final="""
     SELECT period, duplicate_key, count(*) AS n FROM prepared GROUP BY ALL"""))
 def q_flag_counts(spark, sf_dir):
