@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.coerce import INTEGER_PATTERN, clean_text, is_finite, label, parse_double
+from panelkit.operators.observed import NULLS, PanelObservation
 from panelkit.plans.survey import PanelSpec
 
 
-def parse_stage(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def parse_stage(df: DataFrame, spec: PanelSpec, extra: list[Column] | None = None) -> DataFrame:
     """First half of the typing: trim every raw cell once and parse the
-    numeric ones once (``_t_<raw>`` text, ``_d_<raw>`` double)."""
+    numeric ones once (``_t_<raw>`` text, ``_d_<raw>`` double). ``extra``
+    columns over the raw cells pass along."""
+    kept = [] if not extra else df.select(*extra).columns
     raws = sorted(set(spec.ids.values()) | set(spec.measures.values()) | set(spec.codes.values()))
-    t = df.select(*spec.provenance, *[clean_text(r).alias(f"_t_{r}") for r in raws])
+    t = df.select(*spec.provenance, *[clean_text(r).alias(f"_t_{r}") for r in raws], *(extra or []))
     nums = sorted(set(spec.measures.values()) | set(spec.codes.values()))
     return t.select(
         *spec.provenance,
         *[F.col(f"_t_{r}") for r in spec.ids.values()],
         *[parse_double(F.col(f"_t_{r}")).alias(f"_d_{r}") for r in nums],
+        *kept,
     )
 
 
-def finish_stage(parsed: DataFrame, spec: PanelSpec) -> DataFrame:
+def finish_stage(parsed: DataFrame, spec: PanelSpec, kept: list[str] | None = None) -> DataFrame:
     """Second half: ids, measures, whole-number codes, derived columns and
-    dictionary labels from the parsed values."""
-    cols = [F.col(c) for c in spec.provenance]
+    dictionary labels from the parsed values; ``kept`` columns pass along."""
+    cols = [F.col(c) for c in [*spec.provenance, *(kept or [])]]
     cols += [F.when(F.col(f"_t_{raw}").rlike(INTEGER_PATTERN), F.col(f"_t_{raw}").try_cast("bigint")).alias(name)
              for name, raw in spec.ids.items()]
     cols += [F.col(f"_d_{raw}").alias(name) for name, raw in spec.measures.items()]
@@ -58,8 +62,9 @@ def type_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def prepare_panel(raw: DataFrame, spec: PanelSpec, rules, path: str, by: str = "period",
-                  reason_col: str = "exclusion_reason") -> None:
-    """E5 + E8 + S7: type, mark and write the panel partitioned by period.
+                  reason_col: str = "exclusion_reason", observation: PanelObservation | None = None) -> None:
+    """E5 + E8 + S7: type, mark and write the panel partitioned by period. An
+    ``observation`` takes the cascade's and the missing table's counts on the way.
 
     The shuffle that clusters rows by period for the write sits between the
     parse and the rest of the typing, so each half is its own code-generated
@@ -68,7 +73,10 @@ def prepare_panel(raw: DataFrame, spec: PanelSpec, rules, path: str, by: str = "
     """
     from panelkit.operators.rules import mark_reasons
     from panelkit.sources.storage import clustered
-    marked = mark_reasons(finish_stage(clustered(parse_stage(raw, spec), by), spec), rules, reason_col)
+    extra = [] if observation is None else [observation.null_bits()]
+    marked = mark_reasons(finish_stage(clustered(parse_stage(raw, spec, extra), by), spec, [c for c in (NULLS,) if extra]), rules, reason_col)
+    if observation is not None:
+        marked = observation.attach(marked)
     marked.write.mode("overwrite").partitionBy(by).parquet(path)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import rules as R
 from panelkit.operators.harmonise import type_panel
+from panelkit.operators.observed import PanelObservation
 from panelkit.plans import oracle as O
 from panelkit.plans.survey import KEPT, RULE_NAMES, SURVEY_SPEC, survey_rules
 from panelkit.plans.testpanel import raw_panel
@@ -38,6 +39,7 @@ def register(name: str, sql: str | None = None):
 # ---- shared Spark chain ---------------------------------------------------
 
 _STORES: dict[tuple[str, str, str], str] = {}
+_OBSERVED: dict[tuple[str, str, str], PanelObservation] = {}
 _STORE_LOCK = threading.RLock()      # queries may run on several threads of one session
 
 
@@ -85,8 +87,9 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, path = _store_path(spark, sf_dir, "marked")
     with _STORE_LOCK:
         if key not in _STORES:
-            prepare_panel(raw_store(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period")
-            _STORES[key] = path
+            seen = PanelObservation(list(SURVEY_SPEC.raw_columns), RULE_NAMES)
+            prepare_panel(raw_store(spark, sf_dir), SURVEY_SPEC, survey_rules(), path, "period", observation=seen)
+            _STORES[key], _OBSERVED[key] = path, seen
     return spark.read.parquet(_STORES[key])
 
 
@@ -428,6 +431,32 @@ def q_missing(spark, sf_dir):
     return M.missing_table(raw_store(spark, sf_dir), RAW_COLUMNS, "all")
 
 
+def observed(spark, sf_dir) -> PanelObservation:
+    """The counts taken while the marked panel was written."""
+    marked(spark, sf_dir)
+    return _OBSERVED[_store_path(spark, sf_dir, "marked")[0]]
+
+
+@register("A3_missing_observed", ORACLE["A3_missing_table"])
+def q_missing_observed(spark, sf_dir):
+    return observed(spark, sf_dir).missing_table(spark, "all")
+
+
+@register("R3_cascade_observed", ORACLE["R3_exclusion_cascade"])
+def q_cascade_observed(spark, sf_dir):
+    return R.exclusion_cascade(observed(spark, sf_dir).counts(spark), RULE_NAMES, weight="n")
+
+
+@register("A5_reasons_observed", ORACLE["A5_reason_counts"])
+def q_reasons_observed(spark, sf_dir):
+    return R.reason_counts_long(observed(spark, sf_dir).counts(spark), RULE_NAMES, kept=KEPT, weight="n")
+
+
+@register("S10_rows_observed", O.with_chain(upto="canon", final="SELECT period, count(*) AS rows FROM canon GROUP BY period"))
+def q_rows_observed(spark, sf_dir):
+    return observed(spark, sf_dir).rows_by(spark)
+
+
 @register("J4_missing_compare", O.with_chain(
     "ma AS (" + _missing_sql("(SELECT * FROM canon WHERE period_year <= 2000)", "develop") + ")",
     "mb AS (" + _missing_sql("(SELECT * FROM canon WHERE period_year = 2001)", "test") + ")",
