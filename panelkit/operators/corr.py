@@ -2,8 +2,8 @@
 
 Pearson: one aggregation with a ``corr`` per pair (partial+final, k^2
 tiny buffers). Spearman: Pearson on average ranks with ties; ranks come
-from the distributed rank table (no global sort in one task) and are
-joined back per variable by value.
+from range partitions (no global sort in one task) and come back by a row
+number, so no join meets a hot value.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.joins import checked_join
-from panelkit.operators.ranks import average_ranks
+from panelkit.operators.joins import cut
+from panelkit.operators.ranks import rows_ranked
 
 
 def _complete(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -35,16 +35,13 @@ def pearson_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.expr(f"stack({len(entries)}, {', '.join(entries)}) as (var_x, var_y, r)"))
 
 
-def rank_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+def rank_columns(df: DataFrame, cols: list[str], parts: int | None = None) -> DataFrame:
     """Replace each column by its average rank (ties share the mean
-    rank), computed over complete rows: one rank table for all columns, then
-    a lookup of each column's values."""
-    out = _complete(df, cols)
-    ranks = average_ranks(out.unpivot([], cols, "_v", "_x"), "_x", ["_v"])
-    for c in cols:
-        own = ranks.where(F.col("_v") == c).select(F.col("_x").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
-        out = checked_join(out, own, c, "left")
-    return out.select(*[F.col(f"_rk_{c}").alias(c) for c in cols])
+    rank), computed over complete rows. A row keeps its number through the
+    ranking of all columns and gets its ranks back by it."""
+    rows = cut(_complete(df, cols)).withColumn("_row", F.monotonically_increasing_id())
+    ranked = rows_ranked(rows.unpivot(["_row"], cols, "_v", "_x"), "_row", "_x", "_v", parts)
+    return ranked.groupBy("_row").agg(*[F.max(F.when(F.col("_v") == c, F.col("avg_rank"))).alias(c) for c in cols]).drop("_row")
 
 
 def spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from panelkit.operators import describe as D
-from panelkit.operators.ranks import average_ranks, exact_quantiles
+from panelkit.operators.ranks import average_ranks, exact_quantiles, rows_ranked
 
 
 def _data(spark, n=3000, seed=7):
@@ -81,3 +81,48 @@ def test_null_groups_are_groups(spark):
     assert got == {"a": (1.0, 3.0), None: (5.0, 9.0)}
     two = df.withColumn("h", F.lit(None).cast("string"))
     assert {(r["g"], r["h"]): r["n"] for r in box_stats(two, "v", ["g", "h"]).collect()} == {("a", None): 2, (None, None): 2}
+
+
+def rankdata(values):
+    """1-based ranks, ties sharing their mean."""
+    v = np.array(values)
+    return np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+
+
+def _ranked(spark, parts):
+    rnd = random.Random(11)
+    vals = [(i, "v", 7.0 if i % 3 == 0 else float(rnd.randint(1, 40))) for i in range(3000)]     # a third at one value
+    vals += [(i, "w", float(rnd.randint(1, 3))) for i in range(500)] + [(0, None, 1.0), (1, None, 1.0), (2, "w", None)]
+    df = spark.createDataFrame(vals, "row long, g string, x double").repartition(6)
+    got = {(r["row"], r["g"]): r["avg_rank"] for r in rows_ranked(df, "row", "x", "g", parts).collect()}
+    return vals, got
+
+
+def test_rows_get_their_average_ranks_in_place(spark):
+    for parts in (1, 2, 13, 60):
+        vals, got = _ranked(spark, parts)
+        for g in ("v", "w", None):
+            own = [(i, x) for i, gg, x in vals if gg == g and x is not None]
+            want = rankdata([x for _, x in own])
+            assert [got[i, g] for i, _ in own] == list(want), (parts, g)
+        assert len(got) == sum(x is not None for _, _, x in vals)
+
+
+def test_a_hot_value_is_cut_like_any_run(spark):
+    """A column with a third of its rows at one value: no range holds much more than its share."""
+    df = spark.range(0, 40000, 1, 8).select(F.col("id").alias("row"), F.lit("v").alias("g"),
+                                            F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") % 1000).cast("double").alias("x"))
+    ranged = df.repartitionByRange(20, "g", "x", "row").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = sorted(r["count"] for r in ranged.collect())
+    assert len(sizes) == 20 and sizes[-1] <= 1.5 * sizes[len(sizes) // 2]
+
+
+def test_spearman_with_ties_and_hot_values(spark):
+    from panelkit.operators.corr import spearman_matrix
+    rnd = random.Random(5)
+    rows = [(float(rnd.randint(1, 9)), 4.0 if i % 3 else float(i), float(rnd.random())) for i in range(900)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 2.0)], "a double, b double, c double")
+    want = np.corrcoef([rankdata(c) for c in zip(*rows)])
+    for r in spearman_matrix(df, ["a", "b", "c"]).collect():
+        i, j = "abc".index(r["var_x"]), "abc".index(r["var_y"])
+        assert abs(r["r"] - want[i][j]) < 1e-9
