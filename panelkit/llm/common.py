@@ -154,6 +154,10 @@ def carried(batch, carry: list[str]) -> list:
     return [batch.column(batch.schema.get_field_index(c)) for c in carry]
 
 
+#: Bytes of text that a task turns into Python objects at a time.
+SLICE_BYTES = 4 << 20
+
+
 def sliced(batches, most_bytes: int):
     """The record batches in slices of not much more than ``most_bytes`` bytes (a row at least)."""
     for b in batches:

@@ -36,7 +36,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import saved, sliced
+from panelkit.llm.common import SLICE_BYTES, saved, sliced
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_RANKS_BYTES = 64 << 20
@@ -45,8 +45,6 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: White space as that rule has it, in runs that are counted by themselves.
 LONG_RUN = 1 << 15
 LONG_SPACES = re.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
-#: Bytes of text that a task turns into Python objects at a time.
-SLICE_BYTES = 16 << 20
 #: Lengths to a bucket of the running sums.
 BUCKET = 256
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import carried, sliced, text_first
+from panelkit.llm.common import SLICE_BYTES, carried, sliced, text_first
 from panelkit.llm.fitting import _picked, excerpt
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -61,8 +61,6 @@ TRAIN_DOCS, MAX_TRAIN_CHARS, WINDOW = 6000, 20_000, 48
 STEPS, RATE, PENALTY = 40, 0.2, 0.3
 PLAIN_WINDOWS, SPAN_WINDOWS, VARIANTS = 1500, 600, 3
 CACHE = 150_000
-#: Bytes of text that a task turns into Python objects at a time.
-SLICE_BYTES = 32 << 20
 MARK = "[SECRET]"
 
 #: Feature slots of a token and their sizes; words and first letters are hashed.

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import carried, crc_mod, text_first
+from panelkit.llm.common import SLICE_BYTES, carried, crc_mod, sliced, text_first
 from panelkit.llm.fitting import class_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -256,7 +256,7 @@ def identify(documents: DataFrame, languages: Languages, carry: list[str]) -> Da
         if names:
             table, starts = transitions(texts, n_symbols)
             bits = np.log2([len(t) + 1 for t in texts])
-        for b in batches:
+        for b in sliced(batches, SLICE_BYTES):
             docs = [symbols(t, to_symbol) if t else to_symbol[:0] for t in b.column(0).to_pylist()]
             lettered = np.array([bool(len(s)) for s in docs], bool)
             pred, score = np.full(len(docs), "und", object), np.zeros(len(docs))
