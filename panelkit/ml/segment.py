@@ -24,7 +24,8 @@ from panelkit.functions.predicates import age_band, hours_band, tenure_band
 from panelkit.ml.features import scaler
 from panelkit.ml.weighted import WEIGHT, Moments, distinct_vectors, grid_scores, moments, scaler_of
 from panelkit.operators.describe import quantiles
-from panelkit.operators.joins import cut, null_safe_join, total
+from panelkit.operators.joins import checked_join, cut, null_safe_join, total
+from panelkit.operators.ranks import rank_table
 
 SEED = 42
 
@@ -163,11 +164,14 @@ def composition(df: DataFrame, cluster: str, col: str, order: list[str] | None =
     c = c.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy(cluster)))
     if order:
         return c.withColumn("rank", label_rank(col, order).cast("int"))
-    # a category's place in the sorted vocabulary, null first
-    vocabulary = total(c, F.array_sort(F.collect_set(col)))
+    # a category's place in the sorted vocabulary, null first: rows of a small
+    # table of categories, ranked by ranges and joined back
+    names = c.select(F.col(col).alias("_name"), F.lit("v").alias("_g")).distinct()
+    ranked = rank_table(names.where(F.col("_name").isNotNull()), "_name", ["_g"]).select("_name", F.col("below").alias("_place"))
     nulls = total(c, F.max(F.col(col).isNull().cast("int")))
-    place = F.when(F.col(col).isNull(), 0).otherwise(F.array_position(vocabulary, F.col(col)) - 1 + nulls)
-    return c.withColumn("rank", place.cast("int"))
+    placed = checked_join(c.withColumn("_name", F.col(col)), ranked, "_name", "left")
+    place = F.when(F.col(col).isNull(), 0).otherwise(F.col("_place") + nulls)
+    return placed.withColumn("rank", place.cast("int")).select(*c.columns, "rank")
 
 
 def composition_wide(df: DataFrame, cluster: str, col: str, values: list[str], other: str = "other") -> DataFrame:

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 
 def bernoulli_sample(df: DataFrame, n: int, seed: int = 42, total: int | None = None) -> DataFrame:
-    """T5: Bernoulli sample with fraction min(1, n / N), then capped at n
-    rows (so at most n, not exactly n). Depends on the partitioning of
-    ``df``; use ``hash_sample`` for a reproducible one."""
+    """T5: Bernoulli sample with fraction min(1, n / N), then capped at n rows
+    (so at most n, not exactly n). A row is drawn if a seeded hash of its
+    content lies below the fraction, and the cap takes the smallest hashes, so
+    the sample is the same under any partitioning. Equal rows share their draw."""
     total = df.count() if total is None else total
     frac = 1.0 if total == 0 else min(1.0, n / total)
-    return df.sample(withReplacement=False, fraction=frac, seed=seed).limit(n)
+    cells = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    draw = F.pmod(F.xxhash64(F.lit(seed), *cells), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return df.withColumn("_draw", draw).where(F.col("_draw") < frac).orderBy("_draw").limit(n).drop("_draw")
 
 
 def key_hash(key: list[str]):

@@ -1853,3 +1853,74 @@ def q_joined_predictions(spark, sf_dir):
     """Two prediction frames joined on a key that is checked to be unique."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("double").alias("y"))
     return ER.join_predictions(o.select("id", (F.col("y") - 1).alias("pred_a")), o.select("id", (F.col("y") * 2).alias("pred_b")), ["id"])
+
+
+# ---- ingest from files -----------------------------------------------------------
+
+def _csv_files(spark, sf_dir):
+    """The raw panel as csv files of text, some for each period, written once: the manifest."""
+    from panelkit.sources.ingest import Source
+    from panelkit.sources.storage import clustered
+
+    def write():
+        _, path = _store_path(spark, sf_dir, "csv")
+        raw = raw_panel(spark, sf_dir).select("period", *RAW_COLUMNS)
+        (clustered(raw, "period").write.mode("overwrite").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+         .option("ignoreTrailingWhiteSpace", "false").partitionBy("period").csv(path))
+        jvm = spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/period=*/part-*")
+        found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+        out = []
+        for f in found:
+            period = f.getPath().getParent().getName().split("=", 1)[1]
+            year, quarter = period.split("Q")
+            out.append(Source(period, int(year), int(quarter), "develop", f.getPath().toString()))
+        return sorted(out, key=lambda s: s.path)
+    return _memo(spark, sf_dir, "csv", write)
+
+
+@register("S1_ingest_files", O.with_chain(upto="canon", final=f"SELECT period, period_year, period_quarter, {', '.join(RAW_COLUMNS)} FROM canon"))
+def q_ingest_files(spark, sf_dir):
+    """S1 + S5: all files in one scan for each header, provenance by the manifest."""
+    from panelkit.sources.refresh import ingest_files
+    return ingest_files(spark, _csv_files(spark, sf_dir), RAW_COLUMNS).select("period", "period_year", "period_quarter", *RAW_COLUMNS)
+
+
+@register("S7_refresh_one_quarter", O.with_chain(upto="canon", final="""
+    SELECT max(period) AS rewritten, CAST(count(DISTINCT period) - 1 AS BIGINT) AS unchanged, count(*) AS rows FROM canon"""))
+def q_refresh(spark, sf_dir):
+    """A store without the last file is brought up to date: only the last quarter is rewritten."""
+    import uuid
+
+    from panelkit.sources.refresh import refresh, stored
+    files = _csv_files(spark, sf_dir)
+    dest = f"{_store_path(spark, sf_dir, 'refresh')[1]}-{uuid.uuid4().hex}"
+    refresh(spark, files[:-1], RAW_COLUMNS, dest)
+    got = refresh(spark, files, RAW_COLUMNS, dest)
+    return stored(spark, dest).agg(F.lit(",".join(got.rewritten)).alias("rewritten"), F.lit(len(got.unchanged)).cast("long").alias("unchanged"),
+                                   F.count(F.lit(1)).alias("rows"))
+
+
+@register("S10_load_report", O.with_chain(upto="canon", final=f"""
+    SELECT period, count(*) AS rows, {len(RAW_COLUMNS)} AS source_columns, '—' AS missing_required FROM canon GROUP BY period"""))
+def q_load_report(spark, sf_dir):
+    from panelkit.sources.refresh import load_report, refresh
+    files, dest = _csv_files(spark, sf_dir), _store_path(spark, sf_dir, "report")[1]
+    refresh(spark, files, RAW_COLUMNS, dest)
+    return (load_report(spark, files, RAW_COLUMNS, dest).groupBy("period", "source_columns", "missing_required").agg(F.sum("rows").alias("rows"))
+            .select("period", "rows", "source_columns", "missing_required"))
+
+
+@register("S9_missing_sources", O.with_chain(upto="canon", final="SELECT count(DISTINCT period) AS periods, 2 AS missing FROM canon"))
+def q_missing_sources(spark, sf_dir):
+    """Of a manifest with two files that do not exist, those two are named, before anything is read."""
+    from panelkit.sources.ingest import Source, check_manifest
+    files = _csv_files(spark, sf_dir)
+    lost = [Source("1900T1", 1900, 1, "test", f"{files[0].path}.{k}") for k in (1, 2)]
+    try:
+        check_manifest(spark, [*files, *lost])
+        named = 0
+    except FileNotFoundError as e:
+        named = sum(s.path in str(e) for s in lost)
+    periods = len({s.period for s in files})
+    return spark.range(1).select(F.lit(periods).cast("long").alias("periods"), F.lit(named).alias("missing"))
