@@ -1924,3 +1924,23 @@ def q_missing_sources(spark, sf_dir):
         named = sum(s.path in str(e) for s in lost)
     periods = len({s.period for s in files})
     return spark.range(1).select(F.lit(periods).cast("long").alias("periods"), F.lit(named).alias("missing"))
+
+
+# ---- sketches --------------------------------------------------------------------
+
+@register("A11_median_sketched", O.with_chain(upto="kept", final="""
+    SELECT education, count(*) AS n, min(wage) AS min, max(wage) AS max, true AS within_bound FROM kept WHERE wage IS NOT NULL GROUP BY education"""))
+def q_median_sketched(spark, sf_dir):
+    """Median wage by education from stored sketches of each period: its rank
+    among the group's rows is within the sketches' error of a half."""
+    from panelkit.operators import sketches as S
+    from panelkit.operators.joins import checked_join
+    path = _store_path(spark, sf_dir, "sketches")[1]
+    rows = kept(spark, sf_dir).select("period", "education", "wage").where("wage IS NOT NULL")
+    S.store_sketches(rows, "wage", path, by=["education"])
+    got = S.sketched_quantiles(S.stored_sketches(spark, path), [0.5, 0.0, 1.0], ["education"])
+    ranks = checked_join(rows, got, "education", null_safe=True).groupBy("education", "n", F.col("q1").alias("min"), F.col("q2").alias("max")).agg(
+        F.count(F.when(F.col("wage") < F.col("q0"), 1)).alias("below"), F.count(F.when(F.col("wage") <= F.col("q0"), 1)).alias("upto"))
+    bound = S.rank_error()
+    fits = (F.col("below") / F.col("n") <= 0.5 + bound) & (F.col("upto") / F.col("n") >= 0.5 - bound)
+    return ranks.select("education", "n", "min", "max", fits.alias("within_bound"))
