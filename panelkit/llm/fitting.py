@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import crc_mod
+from panelkit.llm.common import crc_mod, saved
 
 STEPS = 1_000_000
 
@@ -16,11 +16,12 @@ def _picked(key: Column, share: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(STEPS)) < share * STEPS
 
 
-def excerpt(key: Column, max_chars: int) -> Column:
+def excerpt(key: Column, max_chars: int | Column) -> Column:
     """The text, or ``max_chars`` characters of a longer one, from a place hashed from the key."""
     text, n = F.col("text"), F.length("text")
+    max_chars = F.lit(max_chars) if isinstance(max_chars, int) else max_chars
     at = F.pmod(F.xxhash64(key, F.lit("excerpt")), F.greatest(n - max_chars + 1, F.lit(1))) + 1
-    return F.when(n > max_chars, text.substr(at.cast("int"), F.lit(max_chars))).otherwise(text)
+    return F.when(n > max_chars, text.substr(at.cast("int"), max_chars.cast("int"))).otherwise(text)
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, per_class: int, max_chars: int,
@@ -45,17 +46,29 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, per_cl
     return out.sort_values("doc_id").reset_index(drop=True)
 
 
-def class_sample(documents: DataFrame, column: str, per_class: int, max_chars: int, folds: int, held_out: int) -> pd.DataFrame:
-    """Rows (doc_id, text, y) of at most about ``per_class`` documents of each
-    value of ``column``, which the documents carry, outside the held-out fold;
-    of a text longer than ``max_chars`` an excerpt."""
+#: Classes whose shares may be broadcast (a few dozen bytes each).
+MOST_BROADCAST_CLASSES = 200_000
+
+
+def class_sample(documents: DataFrame, column: str, per_class: int, class_chars: int, most_chars: int, folds: int, held_out: int,
+                 fewest: int = 5) -> pd.DataFrame:
+    """Rows (doc_id, text, y) of documents of each value of ``column``, which
+    the documents carry, outside the held-out fold. A class gets about
+    ``class_chars`` characters, all classes together ``most_chars``, shared evenly among about
+    ``per_class`` documents (fewer, but ``fewest`` at least, where a share is small): an excerpt
+    from a hashed place of each, so no document stands for its class."""
     fit = (F.col("y").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)
            & (crc_mod(F.col("doc_id"), folds) != held_out))
     docs = documents.select("doc_id", "text", F.col(column).alias("y")).where(fit)
-    shares = (docs.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-              .select("y", F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("n")).alias("share")))
-    rows = (docs.join(F.broadcast(shares), "y").where(_picked(F.coalesce("doc_id", F.lit(-1)), F.col("share")))
-            .withColumn("text", excerpt(F.coalesce("doc_id", F.lit(-1)), max_chars))
+    counts = saved(docs.groupBy("y").agg(F.count(F.lit(1)).alias("n")), "classes")
+    classes = counts.count()
+    chars = max(1, min(class_chars, most_chars // max(1, classes)))
+    each = max(fewest, min(per_class, chars // 100))
+    shares = counts.select("y", F.least(F.lit(1.0), F.lit(float(each)) / F.col("n")).alias("share"),
+                           F.ceil(F.lit(float(chars)) / F.least(F.lit(each), F.col("n"))).cast("int").alias("chars"))
+    shares = F.broadcast(shares) if classes <= MOST_BROADCAST_CLASSES else shares.hint("merge")
+    key = F.coalesce("doc_id", F.lit(-1))
+    rows = (docs.join(shares, "y").where(_picked(key, F.col("share"))).withColumn("text", excerpt(key, F.col("chars")))
             .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
     out = rows.select("doc_id", "text", "y").toPandas()
     return out.sort_values(["y", "doc_id"]).reset_index(drop=True)

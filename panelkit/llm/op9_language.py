@@ -8,10 +8,10 @@ with single blanks between words, for training and parsing alike. Every letter
 of the training texts is a symbol of its own; a letter that no language's text
 has is a phrase in each of them.
 
-Training takes a bounded sample: about DOCS_PER_LANGUAGE documents for each
-language, outside the held-out fold (of a text longer than MAX_TRAIN_CHARS
-characters so many from a hashed place), and
-of them the first TRAIN_CHARS characters (fewer if there are many languages).
+Training takes a bounded sample: about TRAIN_CHARS characters for each
+language (all languages together MOST_CHARS, so fewer if there are many), as
+excerpts from hashed places of about DOCS_PER_LANGUAGE documents outside the
+held-out fold.
 The automata are built by each Python worker from that text, which is all
 that is broadcast. Every text is parsed whole, in segments of SEGMENT
 characters that are parsed side by side (a cut adds a phrase to every
@@ -40,7 +40,7 @@ from panelkit.llm.common import SLICE_BYTES, carried, crc_mod, sliced, text_firs
 from panelkit.llm.fitting import class_sample
 
 FOLDS, HELD_OUT = 5, 0
-DOCS_PER_LANGUAGE, MAX_TRAIN_CHARS, TRAIN_CHARS = 60, 20_000, 30_000
+DOCS_PER_LANGUAGE, TRAIN_CHARS = 60, 30_000
 #: All languages' training text together.
 MOST_CHARS = 2_000_000
 #: Transitions by the commonest symbols are kept in one dense table of at most
@@ -89,7 +89,8 @@ class Languages:
         seen: dict[int, int] = {}
         cut: list[str] = []
         for parts in texts:
-            cut.append("\n".join(parts)[:limit])
+            share = limit if sum(map(len, parts)) <= limit else -(-limit // len(parts))
+            cut.append("\n".join(p[:share] for p in parts))
             cp, n = np.unique(lower[_code_points(cut[-1])], return_counts=True)
             for c, k in zip(cp.tolist(), n.tolist()):
                 if c:
@@ -237,7 +238,7 @@ def count_phrases(docs: list[np.ndarray], table: Automata, starts: np.ndarray, n
 
 
 def train(documents: DataFrame, column: str = "lang") -> Languages:
-    rows = class_sample(documents, column, DOCS_PER_LANGUAGE, MAX_TRAIN_CHARS, FOLDS, HELD_OUT)
+    rows = class_sample(documents, column, DOCS_PER_LANGUAGE, TRAIN_CHARS, MOST_CHARS, FOLDS, HELD_OUT)
     names = sorted(rows["y"].unique().tolist())
     return Languages(names, [rows.loc[rows["y"] == n, "text"].tolist() for n in names])
 

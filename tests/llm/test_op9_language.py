@@ -99,7 +99,7 @@ def test_awkward_rows(spark):
 
 def test_language_of_long_texts_alone_is_learned(spark):
     rows = [(i, words(5000, i) if i % 2 else "le mot avec papier vert " * 30, "en" if i % 2 else "fr", "a", 1) for i in range(30)]
-    assert all(len(r[1]) > op.MAX_TRAIN_CHARS for r in rows if r[2] == "en")
+    assert all(len(r[1]) > 20_000 for r in rows if r[2] == "en")
     got = op.digest(documents(spark, rows)).collect()
     assert all(r["lang_pred"] == ("en" if r["doc_id"] % 2 else "fr") for r in got)
 
