@@ -38,16 +38,29 @@ def register(name: str, sql: str | None = None):
 
 # ---- shared Spark chain ---------------------------------------------------
 
+#: The given tables that the raw panel is derived from.
+PANEL_TABLES = ("lineitem", "orders", "part")
 _STORES: dict[tuple[str, str, str], str] = {}
 _OBSERVED: dict[tuple[str, str, str], PanelObservation] = {}
 _STORE_LOCK = threading.RLock()      # queries may run on several threads of one session
 
 
+def _input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Length and time of the files that the panel is made of: a changed input is another one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for t in PANEL_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        out.append(f"{fs.getContentSummary(p).getLength()}@{fs.getFileStatus(p).getModificationTime()}")
+    return ",".join(out)
+
+
 def _store_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[tuple[str, str, str], str]:
     import hashlib
 
     from panelkit.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, f"{sf_dir} {_input_state(spark, sf_dir)}", name)
     tag = hashlib.md5("|".join(key).encode()).hexdigest()[:16]
     return key, f"{ensure_checkpoint_dir(spark).rstrip('/')}/panels/{name}-{tag}"
 
@@ -1131,7 +1144,7 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _memo(spark, sf_dir, name, fn):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, _input_state(spark, sf_dir), name)
     with _STORE_LOCK:
         if key not in _MEMO:
             _MEMO[key] = fn()
