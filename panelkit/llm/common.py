@@ -164,3 +164,20 @@ def sliced(batches, most_bytes: int):
         step = max(1, b.num_rows * most_bytes // max(most_bytes, b.nbytes))
         for at in range(0, b.num_rows, step):
             yield b.slice(at, step)
+
+
+_held: dict = {}
+
+
+def held(key, make):
+    """What ``make`` gives for ``key``, kept by a Python worker from task to
+    task. A worker serves one operator after the other, so it keeps one thing
+    only: another key, or ``release``, drops it."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    _held.clear()

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import SLICE_BYTES, numbered_rows, saved, sliced, without
+from panelkit.llm.common import SLICE_BYTES, numbered_rows, release, saved, sliced, without
 from panelkit.llm.components import connected_components
 
 WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -98,6 +98,7 @@ def fingerprints(documents: DataFrame, words: int = WORDS, carry: tuple[str, ...
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*carry).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in sliced(batches, SLICE_BYTES):
             fp = simhash(b.column(0).to_pylist(), words).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], [*carry, "fp"])

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import SLICE_BYTES, carried, sliced, text_first
+from panelkit.llm.common import SLICE_BYTES, carried, release, sliced, text_first
 from panelkit.llm.fitting import _picked, excerpt
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -360,6 +360,7 @@ class Tagger:
             sign = np.zeros((len(new), 2), bool)
             sign[:, 1] = (f[:, 0] & 4) > 0
             self.kind = np.concatenate([self.kind, sign])
+            self.vocabulary.features[-len(new):] = [None] * len(new)  # scored, and not looked at again
 
     def spans(self, texts: list[str]) -> list[list[Span]]:
         """The spans that the field finds in each text."""
@@ -445,6 +446,7 @@ def scan(documents: DataFrame, field: Field, carry: list[str]) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         tagger = Tagger(kept.value)
         for b in sliced(batches, SLICE_BYTES):
             given = b.column(0).to_pylist()

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import SLICE_BYTES, carried, crc_mod, sliced, text_first
+from panelkit.llm.common import SLICE_BYTES, carried, crc_mod, held, sliced, text_first
 from panelkit.llm.fitting import class_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -206,10 +206,9 @@ class Automata:
         return np.where(self.keys[at] == want, self.nexts[at], ~fresh[:, of])
 
 
-@lru_cache(1)
 def transitions(texts: tuple[bytes | str, ...], n_symbols: int) -> tuple[Automata, np.ndarray]:
-    """(automata, starts)."""
-    automata = Automata(texts, n_symbols)
+    """(automata, starts), built once by a worker."""
+    automata = held(("op9", texts, n_symbols), lambda: Automata(texts, n_symbols))
     return automata, automata.starts
 
 
