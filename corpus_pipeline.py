@@ -11,7 +11,8 @@ and read again. All but the last return the columns of documents:
 3. decontaminate: documents that hold a benchmark window go.
 4. secret_scan: secrets in texts are replaced by a mark, n_chars follows; no
    document goes.
-5. mix: what the mix of the remaining documents takes of each.
+5. mix: what the mix of the remaining documents takes of each;
+   ``mixed_texts`` gives the mix itself, slot by slot.
 
 Rows with null ids, repeated rows, texts of any length and empty tables pass as the operators say.
 Columns beside text travel through an operator as one struct, so that no
@@ -73,8 +74,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that all stages before the mix kept."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return STAGES[-1][1](spark, kept(spark, sf_dir), sf_dir)
+
+
+def mixed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix that ``run`` counts, as text: rows (shard, slot, source, text)."""
+    return op7_mix.mixed_slots(kept(spark, sf_dir))
