@@ -96,6 +96,13 @@ def test_run_over_the_small_table(spark):
     assert all(r["taken"] <= 2 * r["size"] for r in rows)
 
 
+def test_mixed_texts_hold_the_words_that_the_mix_counts(spark):
+    taken = sum(r["taken"] for r in P.run(spark, SMALL).collect())
+    slots = P.mixed_texts(spark, SMALL).collect()
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in slots) == taken
+    assert len({(r["shard"], r["slot"]) for r in slots}) == len(slots)
+
+
 CLASHING = ("lang_pred", "score", "__lettered", "spans", "clean", "row", "__rid", "__RID_", "rid", "fp", "component", "h", "id", "n_words", "size", "block", "win")
 
 
