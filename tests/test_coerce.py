@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from panelkit.functions.coerce import canonical_text, canonical_text_of_number, is_finite, label, to_code, to_double, to_id
+from panelkit.functions.coerce import apart, canonical_from_clean, canonical_text, canonical_text_of_number, is_finite, label, to_code, to_double, to_id
 from panelkit.plans.survey import EDUCATION_LABELS
 
 
@@ -54,3 +54,24 @@ def test_is_finite(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double")
     got = [r[0] for r in df.select(F.coalesce(is_finite("x"), F.lit(False))).collect()]
     assert got == [True, False, False, False, False]
+
+
+def test_canonical_text_at_the_edges_of_its_short_check(spark):
+    """Text that one check takes for canonical, and text just beside it."""
+    vals = ["0", "-0", "+5", "-7", "05", "1.50", "1.5", "+1.5", "-.5", "0.000001", "123456789.000001", "1234567890123456.1", "1e2", "2.", "1.5\n"]
+    want = ["0", "0", "5", "-7", "5", "1.50", "1.5", "+1.5", "-.5", "0.000001", "123456789.000001", "1234567890123456", "100", "2", "1.5"]
+    got = [r[0] for r in _one_col(spark, vals).select(canonical_text("v")).collect()]
+    assert got == want
+
+
+def test_many_cells_keep_compiled_methods_small(spark):
+    """Forty cells' grammars in one projection: no method above the 8000 bytes that are JIT-compiled."""
+    import re
+    df = _one_col(spark, ["1.0", " x", None]).select(*[F.concat("v", F.lit(str(i % 2))).alias(f"c{i}") for i in range(40)])
+
+    def largest(frame):
+        text = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "codegen")
+        return max([int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)] or [0])
+    inline = df.select(*[canonical_from_clean(F.col(c)).alias(c) for c in df.columns])
+    cells = df.select(*[apart(canonical_from_clean, c).alias(c) for c in df.columns])
+    assert largest(cells) <= 8000 and cells.collect() == inline.collect()
