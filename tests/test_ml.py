@@ -92,3 +92,14 @@ def test_metrics_match_evaluator(spark):
     for name in ("mae", "rmse", "r2"):
         ev = RegressionEvaluator(labelCol="y", predictionCol="prediction", metricName=name).evaluate(df)
         assert abs(m[name] - ev) < 1e-12
+
+
+def test_forest_keeps_its_rows_nodes_and_its_trees(spark):
+    """The kept nodes save the walk from the root at every level and change no tree."""
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(400).selectExpr("CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST((id * 37) % 101 AS DOUBLE) AS y")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    stage = RG.rf_stage("y", 5, 4)
+    assert stage.getCacheNodeIds()
+    kept, walked = (s.fit(rows).toDebugString.split("\n", 1)[1] for s in (stage, stage.copy().setCacheNodeIds(False)))
+    assert kept == walked
