@@ -75,3 +75,30 @@ def test_many_cells_keep_compiled_methods_small(spark):
     inline = df.select(*[canonical_from_clean(F.col(c)).alias(c) for c in df.columns])
     cells = df.select(*[apart(canonical_from_clean, c).alias(c) for c in df.columns])
     assert largest(cells) <= 8000 and cells.collect() == inline.collect()
+
+
+def test_cells_read_as_they_came_are_the_grammars_own(spark):
+    """Untrimmed, signed, long, special and non-ASCII cells."""
+    from panelkit.functions.coerce import canonical_cell_text, cell_double
+    vals = ["0", "7", "-0", "-7", "+7", "07", "1.0", "1.5", "-1.50", "15.0 ", " 3", "3\n", "1.5\n", "\t", "", None, "abc", "nan", "-NaN", "Infinity",
+            "-inf", "1e3", "1.", ".5", "1.5d", "0x1", "\u0663", "\u00a07", "123456789012345", "1234567890123456", "123456789012345.123456789012345",
+            "9" * 40, "0.1", "1_000", "7\r", "-", "--1", "1.2.3"]
+    df = _one_col(spark, vals)
+    got = df.select(canonical_cell_text("v").alias("t"), cell_double("v").alias("d")).collect()
+    want = df.select(canonical_text("v").alias("t"), to_double("v").alias("d")).collect()
+    assert list(map(repr, got)) == list(map(repr, want))
+
+
+def test_plain_cells_take_no_other_grammar(spark, monkeypatch):
+    """A panel of plain cells is ingested and typed without the interpreted rest of the grammar."""
+    from panelkit.functions import coerce
+    from panelkit.operators.harmonise import parse_stage
+    from panelkit.plans.survey import RAW_COLUMNS, SURVEY_SPEC
+    from panelkit.sources.ingest import ingest_frame
+    monkeypatch.setattr(coerce, "apart", lambda fn, c: F.raise_error(F.lit("other grammar")).cast("string"))
+    cells = ["3", "1234567", "-1", "20.5", None]
+    raw = spark.createDataFrame([tuple(c for _ in RAW_COLUMNS) for c in cells], ", ".join(f"{c} string" for c in RAW_COLUMNS))
+    given = {"source": F.lit("s"), "period": F.lit("2020T1"), "period_year": F.lit(2020), "period_quarter": F.lit(1)}
+    ingested = ingest_frame(raw, RAW_COLUMNS, given)
+    assert [r["P02A03"] for r in ingested.collect()] == cells
+    assert [r["_d_P02A03"] for r in parse_stage(ingested, SURVEY_SPEC).collect()] == [3.0, 1234567.0, -1.0, 20.5, None]
