@@ -19,6 +19,8 @@ from panelkit.operators.joins import cut
 from panelkit.operators.keys import any_null
 
 ROWS_A_BUCKET = 1_000_000
+#: Cells of the keys' hash in which rows are counted before any key is.
+CELLS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -45,15 +47,18 @@ def write_key_store(df: DataFrame, key: list[str], path: str, buckets: int | Non
     Stores that are to be joined without a shuffle need the same ``buckets``."""
     spark = df.sparkSession
     complete = df.where(~any_null(key))
-    counts = cut(complete.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).groupBy((F.col("_n") > hot_rows).alias("_hot")).agg(
-        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys")))
-    found = {r["_hot"]: r for r in counts.collect()}  # two rows
-    rows = sum(r["rows"] for r in found.values())
+    # combined map-side: a hot key's cell of the hash holds more than hot_rows rows too, so only rows of such cells are counted by key
+    cell = F.pmod(F.xxhash64(*key), F.lit(CELLS)).alias("_cell")
+    cells = cut(complete.groupBy(cell).agg(F.count(F.lit(1)).alias("_n")))
+    full = cells.where(F.col("_n") > hot_rows).select("_cell")
+    found = cells.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("full")).first()
+    rows = found["rows"]
     n = buckets or bucket_count(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = path.rstrip("/")
     plain = df.where(any_null(key))
-    if True in found:
-        hot = F.broadcast(cut(complete.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*key)))
+    if found["full"]:
+        some = complete.select(*key, cell).join(F.broadcast(full), "_cell", "left_semi")
+        hot = F.broadcast(cut(some.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*key)))
         plain = plain.unionByName(complete.join(hot, key, "left_semi"))
         complete = complete.join(hot, key, "left_anti")
     plain.write.mode("overwrite").parquet(f"{base}/plain")

@@ -86,3 +86,22 @@ def test_buckets_follow_the_rows(rows, tmpdir_path):
     empty = write_key_store(rows.limit(0), KEY, f"{tmpdir_path}/e")
     assert KS.key_audit(empty).first().asDict() == {"rows": 0, "distinct_keys": 0, "surplus_rows": 0, "null_key_rows": 0}
     assert KS.duplicate_keys(empty, ["content"]).count() == 0
+
+
+def test_without_hot_keys_no_key_is_counted(rows, tmpdir_path, monkeypatch):
+    """Rows are counted by cells of the keys' hash; a count by key would shuffle every key."""
+    from panelkit.sources import buckets as B
+    counted = []
+    monkeypatch.setattr(B, "cut", lambda df, was=B.cut: counted.extend(exchanges(df)) or was(df))
+    cold = write_key_store(rows, KEY, f"{tmpdir_path}/cold", 8, hot_rows=10_000)
+    assert counted and not any("person" in line for line in counted)
+    assert same(cold.rows(), rows) and cold.plain.count() == 4
+
+
+def test_a_hot_key_shares_its_cell(rows, tmpdir_path, monkeypatch):
+    """All keys in one cell: only the hot one leaves the buckets."""
+    from panelkit.sources import buckets as B
+    monkeypatch.setattr(B, "CELLS", 1)
+    few = write_key_store(rows, KEY, f"{tmpdir_path}/few", 8, hot_rows=100)
+    assert same(few.rows(), rows)
+    assert few.plain.where("person = 1000").count() == 500 and few.plain.count() == 504
