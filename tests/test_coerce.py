@@ -102,3 +102,24 @@ def test_plain_cells_take_no_other_grammar(spark, monkeypatch):
     ingested = ingest_frame(raw, RAW_COLUMNS, given)
     assert [r["P02A03"] for r in ingested.collect()] == cells
     assert [r["_d_P02A03"] for r in parse_stage(ingested, SURVEY_SPEC).collect()] == [3.0, 1234567.0, -1.0, 20.5, None]
+
+
+def test_padded_and_zero_fraction_cells_take_no_other_grammar(spark, monkeypatch):
+    """Blanks around a canonical cell and a fraction of zeros are taken off without the interpreted rest of the grammar."""
+    from panelkit.functions import coerce
+    monkeypatch.setattr(coerce, "apart", lambda fn, c: F.raise_error(F.lit("other grammar")).cast("string"))
+    vals = ["2.0", " 3 ", " 15.0 ", "-4.", "0.00", " 1.5", "1234"]
+    got = [r[0] for r in _one_col(spark, vals).select(coerce.canonical_cell_text("v")).collect()]
+    assert got == ["2", "3", "15", "-4", "0", "1.5", "1234"]
+
+
+def test_short_checks_of_a_cell_agree_with_the_grammar(spark):
+    """Cells at the edges of the digit, blank and zero-fraction checks, and numbers that no cast should be asked for."""
+    from panelkit.functions.coerce import canonical_cell_text, cell_double
+    vals = ["10", "99", "1000", "9999", "10000", "01", "0010", "1a", "12a4", "1 34", "12\u0663", "1\u0663", "\u00e912", "1:", "1/", "-12", "+12", " 12", "12 ",
+            "2.0", "2.", "02.0", "-0.0", "+2.0", " 2.0\t", "\t2.0", "2.0 0", "0.0", "-3.000", "2.0\n", " \n 7 ", "1e999", "-1e999", "1E2", "5e-1", "+nan", "NAN",
+            "-infinity", "+INF", "nan ", "1\u2028", "12\u2028", "2.0\u2028", "nan\u2028", "1\u0085", "    ", "1234567890.5", "0.0000001", "1.0000000"]
+    df = _one_col(spark, vals)
+    got = df.select(canonical_cell_text("v").alias("t"), cell_double("v").alias("d")).collect()
+    want = df.select(canonical_text("v").alias("t"), to_double("v").alias("d")).collect()
+    assert list(map(repr, got)) == list(map(repr, want))
