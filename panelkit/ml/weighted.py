@@ -89,7 +89,7 @@ class Scores:
 
 
 def grid_scores(points: DataFrame, cols: list[str], m: Moments, grid: dict[int, list[list[float]]], weight: str = WEIGHT) -> dict[int, Scores]:
-    """Scores of every k of the grid from two scans of the vectors.
+    """Scores of every k of the grid: a scan of the vectors for all moments, and one for each k, in one job.
 
     A row's mean squared distance to cluster j is |x|^2 + sq_j/n_j - 2 x.s_j/n_j,
     so the moments of at most sum(k) clusters answer all silhouettes at once. The own cluster's
@@ -99,29 +99,24 @@ def grid_scores(points: DataFrame, cols: list[str], m: Moments, grid: dict[int,
     for r in cluster_moments(points, cols, m, grid, weight).collect():
         table[r["k"]][r["cluster"]] = r
     z = [F.col(f"_z{j}") for j in range(len(cols))]
-    base = points.select(F.col(weight).alias("_w"), *[x.alias(f"_z{j}") for j, x in enumerate(m.scaled(cols))])
-    # step by step, so that no expression is repeated inside another
-    base = base.withColumns({"_sq": reduce(lambda a, b: a + b, [x * x for x in z]),
-                             **{f"_own{k}": _nearest(z, centres)["c"] for k, centres in grid.items()}})
-    base = base.withColumns({
-        f"_gap{k}_{c}": F.col("_sq") + F.lit(r["sq"] / r["n"]) - F.lit(2.0) * reduce(
-            lambda a, b: a + b, [x * F.lit(r[f"s{j}"] / r["n"]) for j, x in enumerate(z)]) for k, rows in table.items() for c, r in rows.items()})
-    near, away = {}, {}
-    for k, rows in table.items():
-        own, gap = F.col(f"_own{k}"), {c: F.col(f"_gap{k}_{c}") for c in rows}
-        mine, nearest = F.lit(None).cast("double"), F.lit(None).cast("double")
+    square = reduce(lambda a, b: a + b, [x * x for x in z])
+    means = []
+    for i, (k, rows) in enumerate(table.items()):
+        # a scan and a stage for each k, step by step: all of the grid in one would outgrow a compiled method
+        base = points.select(F.col(weight).alias("_w"), *[x.alias(f"_z{j}") for j, x in enumerate(m.scaled(cols))])
+        base = base.withColumns({"_sq": square, "_own": _nearest(z, grid[k])["c"]})
+        base = base.withColumns({f"_gap{c}": F.col("_sq") + F.lit(r["sq"] / r["n"]) - F.lit(2.0) * reduce(
+            lambda a, b: a + b, [x * F.lit(r[f"s{j}"] / r["n"]) for j, x in enumerate(z)]) for c, r in rows.items()})
+        own, mine = F.col("_own"), F.lit(None).cast("double")
         for c, r in rows.items():
-            others = [g for o, g in gap.items() if o != c]
-            if r["n"] > 1 and others:
-                mine = F.when(own == c, gap[c] * F.lit(r["n"] / (r["n"] - 1))).otherwise(mine)
-                nearest = F.when(own == c, F.least(*others) if len(others) > 1 else others[0]).otherwise(nearest)
-        near[f"_a{k}"], away[f"_b{k}"] = mine, nearest
-    base = base.withColumns({**near, **away})
-    shapes = []
-    for k, rows in table.items():
-        a, b = F.col(f"_a{k}"), F.col(f"_b{k}")
+            if r["n"] > 1 and len(rows) > 1:
+                mine = F.when(own == c, F.col(f"_gap{c}") * F.lit(r["n"] / (r["n"] - 1))).otherwise(mine)
+        others = [F.when(own != c, F.col(f"_gap{c}")) for c in rows]
+        a, b = F.col("_a"), F.col("_b")
         score = F.when(a < b, F.lit(1.0) - a / b).when(a > b, b / a - F.lit(1.0)).otherwise(0.0)
-        shapes.append(score if len(rows) > 1 else F.lit(None).cast("double"))
-    means = base.agg(*[(F.sum(F.col("_w") * s) / F.sum("_w")).alias(f"k{i}") for i, s in enumerate(shapes)]).first()
-    return {k: Scores(means[i], sum(r["cost"] for r in table[k].values()),
+        base = base.withColumns({"_a": mine, "_b": F.least(*others) if len(others) > 1 else F.lit(None).cast("double")})
+        score = score if len(rows) > 1 else F.lit(None).cast("double")
+        means.append(base.agg((F.sum(F.col("_w") * score) / F.sum("_w")).alias("mean")).select(F.lit(i).alias("i"), "mean"))
+    mean = {r["i"]: r["mean"] for r in reduce(lambda a, b: a.unionByName(b), means).collect()}
+    return {k: Scores(mean[i], sum(r["cost"] for r in table[k].values()),
                       100.0 * min(r["n"] for r in table[k].values()) / m.n) for i, k in enumerate(grid)}
