@@ -69,12 +69,14 @@ def prepare_panel(raw: DataFrame, spec: PanelSpec, rules, path: str, by: str = "
     past the size the JIT compiles). Its tasks are sized by bytes.
     """
     from panelkit.operators.rules import mark_reasons
+    from panelkit.session import shuffles_dropped
     from panelkit.sources.storage import clustered
     extra = [] if observation is None else [observation.null_bits()]
     marked = mark_reasons(finish_stage(clustered(parse_stage(raw, spec, extra), by), spec, [c for c in (NULLS,) if extra]), rules, reason_col)
     if observation is not None:
         marked = observation.attach(marked)
-    marked.write.mode("overwrite").partitionBy(by).parquet(path)
+    with shuffles_dropped(raw.sparkSession):
+        marked.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def observed_codes(df: DataFrame, code_col: str, label_col: str | None = None) -> DataFrame:

@@ -15,10 +15,11 @@ MAX_BROADCAST_BYTES = 64 << 20
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint in the shared folder
     (``spark.checkpoint.dir``) and cut its lineage; later counts and joins
-    read the checkpoint instead of recomputing the input."""
-    from panelkit.session import ensure_checkpoint_dir
+    read the checkpoint instead of recomputing the input, so its shuffle files go."""
+    from panelkit.session import ensure_checkpoint_dir, shuffles_dropped
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def _width(c: Column, kind: T.DataType) -> Column:

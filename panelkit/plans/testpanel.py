@@ -52,7 +52,8 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    j = l.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    # part brings one number, orders four columns: joined last, they cross one shuffle
+    j = l.join(p, F.col("l_partkey") == F.col("p_partkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
     # pending-order lines are reported twice: one pass, the copy made by an
     # explode rather than a second join

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.joins import cut
 from panelkit.operators.keys import any_null
+from panelkit.session import shuffles_dropped
 
 ROWS_A_BUCKET = 1_000_000
 #: Cells of the keys' hash in which rows are counted before any key is.
@@ -51,7 +52,8 @@ def write_key_store(df: DataFrame, key: list[str], path: str, buckets: int | Non
     cell = F.pmod(F.xxhash64(*key), F.lit(CELLS)).alias("_cell")
     cells = cut(complete.groupBy(cell).agg(F.count(F.lit(1)).alias("_n")))
     full = cells.where(F.col("_n") > hot_rows).select("_cell")
-    found = cells.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("full")).first()
+    with shuffles_dropped(spark):
+        found = cells.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("full")).first()
     rows = found["rows"]
     n = buckets or bucket_count(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = path.rstrip("/")
@@ -61,12 +63,13 @@ def write_key_store(df: DataFrame, key: list[str], path: str, buckets: int | Non
         hot = F.broadcast(cut(some.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*key)))
         plain = plain.unionByName(complete.join(hot, key, "left_semi"))
         complete = complete.join(hot, key, "left_anti")
-    plain.write.mode("overwrite").parquet(f"{base}/plain")
     name = _table(base)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    # dealt by the buckets' own hash, so a task writes one file of one bucket
-    (complete.repartition(n, *key).write.mode("overwrite").format("parquet").bucketBy(n, key[0], *key[1:]).sortBy(key[0], *key[1:])
-     .option("path", f"{base}/bucketed").saveAsTable(name))
+    with shuffles_dropped(spark):
+        plain.write.mode("overwrite").parquet(f"{base}/plain")
+        # dealt by the buckets' own hash, so a task writes one file of one bucket
+        (complete.repartition(n, *key).write.mode("overwrite").format("parquet").bucketBy(n, key[0], *key[1:]).sortBy(key[0], *key[1:])
+         .option("path", f"{base}/bucketed").saveAsTable(name))
     spark.createDataFrame([(key, n)], "key array<string>, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{base}/about")
     return KeyStore(list(key), n, spark.table(name), spark.read.schema(df.schema).parquet(f"{base}/plain"))
 

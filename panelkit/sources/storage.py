@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from panelkit.session import shuffles_dropped
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Overwrite a Parquet directory."""
@@ -21,7 +23,8 @@ def clustered(df: DataFrame, by: str) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, by: str = "period") -> None:
     """Parquet partitioned by period, in files sized by the data."""
-    clustered(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        clustered(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
