@@ -1871,15 +1871,17 @@ def q_joined_predictions(spark, sf_dir):
 # ---- ingest from files -----------------------------------------------------------
 
 def _csv_files(spark, sf_dir):
-    """The raw panel as csv files of text, some for each period, written once: the manifest."""
+    """The raw panel as compressed csv files of text, some for each period, written once: the manifest."""
+    from panelkit.session import shuffles_dropped
     from panelkit.sources.ingest import Source
     from panelkit.sources.storage import clustered
 
     def write():
         _, path = _store_path(spark, sf_dir, "csv")
         raw = raw_panel(spark, sf_dir).select("period", *RAW_COLUMNS)
-        (clustered(raw, "period").write.mode("overwrite").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
-         .option("ignoreTrailingWhiteSpace", "false").partitionBy("period").csv(path))
+        with shuffles_dropped(spark):
+            (clustered(raw, "period").write.mode("overwrite").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+             .option("ignoreTrailingWhiteSpace", "false").option("compression", "gzip").partitionBy("period").csv(path))
         jvm = spark.sparkContext._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/period=*/part-*")
         found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.joins import checked_join, cut
 from panelkit.sources.ingest import Source, check_manifest, ingest_frame, path_exists
-from panelkit.sources.storage import clustered
 
 MANIFEST = "path string, period string, year int, quarter int, role string"
 _FILE = "__file"
@@ -44,13 +43,15 @@ def file_uri(spark: SparkSession, path: str) -> str:
 
 
 def header(spark: SparkSession, path: str, fmt: str) -> tuple[str, ...]:
-    """Column names of a file, without a job: the first line of a csv file,
-    the footer of a Parquet one."""
+    """Column names of a file, without a job: the first line of a csv file (compressed
+    as its ending says), the footer of a Parquet one."""
     if fmt != "csv":
         return tuple(spark.read.format(fmt).load(path).columns)
     p, fs = _hadoop(spark, path)
     jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p) if codec is None else codec.createInputStream(fs.open(p))
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
         line = reader.readLine()
     finally:
@@ -133,7 +134,8 @@ def refresh(spark: SparkSession, sources: list[Source], required: list[str], des
     changed = sorted(p for p, files in now.items() if before.get(p) != files)
     if changed:
         rows = ingest_files(spark, [s for s in sources if s.period in set(changed)], required, fmt)
-        (clustered(rows, "period").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # a file has one period, so a task meets few: the store has no more files than its sources have splits, without a shuffle
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("period").parquet(f"{base}/rows"))
         kept = {p: files for p, files in before.items() if p not in now}
         listed = [(p, f, d) for p, files in {**now, **kept}.items() for f, d in sorted(files)]
